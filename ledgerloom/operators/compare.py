@@ -16,13 +16,13 @@ def _cells(df: DataFrame, keys: list[str], fields: list[str], sign: int) -> Data
     def cell(name: str) -> Column:
         if isinstance(df.schema[name].dataType, NUMBERS):
             number = F.col(name).cast("double")
-            return F.struct(F.lit(name).alias("field"), nothing.alias("text"), F.when(~F.isnan(number), number).alias("number"))
+            return F.struct(F.lit(name).alias("__field"), nothing.alias("__text"), F.when(~F.isnan(number), number).alias("__number"))
         text = F.col(name).cast("string")
-        return F.struct(F.lit(name).alias("field"), F.when(text != "", text).alias("text"), no_number.alias("number"))
+        return F.struct(F.lit(name).alias("__field"), F.when(text != "", text).alias("__text"), no_number.alias("__number"))
 
-    there = F.struct(F.lit("").alias("field"), nothing.alias("text"), no_number.alias("number"))
-    rows = df.select(*keys, F.explode(F.array(there, *[cell(f) for f in fields])).alias("cell"))
-    return rows.select(*keys, "cell.*", F.lit(sign).alias("sign"))
+    there = F.struct(F.lit("").alias("__field"), nothing.alias("__text"), no_number.alias("__number"))
+    rows = df.select(*keys, F.explode(F.array(there, *[cell(f) for f in fields])).alias("__cell"))
+    return rows.select(*keys, "__cell.*", F.lit(sign).alias("__sign"))
 
 
 def diff_copies(first: DataFrame, second: DataFrame, keys: list[str], fields: list[str], tolerance: float = 1e-9) -> DataFrame:
@@ -36,19 +36,19 @@ def diff_copies(first: DataFrame, second: DataFrame, keys: list[str], fields: li
     """
     both = _cells(first, keys, fields, 1).unionByName(_cells(second, keys, fields, -1))
     # one vote a side however often a row repeats; partial aggregation runs before the only large shuffle
-    plus, minus = F.max(F.when(F.col("sign") > 0, 1).otherwise(0)), F.max(F.when(F.col("sign") < 0, 1).otherwise(0))
-    left = both.groupBy(*keys, "field", "text", "number").agg((plus - minus).alias("signed")).where("signed <> 0")
-    one, two = F.col("signed") > 0, F.col("signed") < 0
-    fielded = left.groupBy(*keys, "field").agg(
-        F.sum(F.col("signed")).alias("balance"), F.count("*").alias("n"),
-        F.max(F.when(one, F.col("number"))).alias("a"), F.max(F.when(two, F.col("number"))).alias("b"),
-        F.max(F.when(one & F.col("text").isNotNull(), 1).when(two & F.col("text").isNotNull(), 1).otherwise(0)).alias("texts"),
+    c = F.col
+    plus, minus = F.max(F.when(c("__sign") > 0, 1).otherwise(0)), F.max(F.when(c("__sign") < 0, 1).otherwise(0))
+    left = both.groupBy(*keys, "__field", "__text", "__number").agg((plus - minus).alias("__signed")).where("__signed <> 0")
+    one, two = c("__signed") > 0, c("__signed") < 0
+    fielded = left.groupBy(*keys, "__field").agg(
+        F.sum("__signed").alias("__balance"), F.count("*").alias("__rows"), F.max(F.when(one, c("__number"))).alias("__a"), F.max(F.when(two, c("__number"))).alias("__b"),
+        F.max(c("__text").isNotNull()).alias("__texts"),
     )
-    near = (F.col("texts") == 0) & (F.col("n") == 2) & (F.col("balance") == 0) & (F.abs(F.col("a") - F.col("b")) <= tolerance * F.greatest(F.abs("a"), F.abs("b")))
+    near = ~c("__texts") & (c("__rows") == 2) & (c("__balance") == 0) & (F.abs(c("__a") - c("__b")) <= tolerance * F.greatest(F.abs("__a"), F.abs("__b")))
     fielded = fielded.where(~F.coalesce(near, F.lit(False)))
     found = fielded.groupBy(*keys).agg(
-        F.max(F.when(F.col("field") == "", F.col("balance"))).alias("presence"),
-        F.collect_set(F.when(F.col("field") != "", F.col("field"))).alias("differing"),
+        F.max(F.when(c("__field") == "", c("__balance"))).alias("__presence"),
+        F.collect_set(F.when(c("__field") != "", c("__field"))).alias("__differing"),
     )
-    findings = F.when(F.col("presence") > 0, F.array(F.lit("only_in_first"))).when(F.col("presence") < 0, F.array(F.lit("only_in_second"))).otherwise(F.col("differing"))
+    findings = F.when(c("__presence") > 0, F.array(F.lit("only_in_first"))).when(c("__presence") < 0, F.array(F.lit("only_in_second"))).otherwise(c("__differing"))
     return found.select(*keys, F.explode(findings).alias("finding"))

@@ -50,6 +50,7 @@ class Index:
     """Spans of all values of a chunk of documents: one slot for each array item and each member of an object."""
 
     def __init__(self, docs: list[bytes]):
+        docs = [d or b" " for d in docs]
         self.data = b"".join(docs)
         buf = np.frombuffer(self.data, np.uint8)
         lengths = np.array([len(d) for d in docs], np.int64)

@@ -43,7 +43,7 @@ def fiscal_axis(facts: DataFrame) -> DataFrame:
     rows = rows.withColumns({"flow": flow, "any": F.max(flow).over(W.partitionBy(F.lit(1)))})  # a few hundred periods
     rows = rows.where(c("flow") | ~c("any")).withColumns({"label": period_label(c("period"), c("period_span")), "rank": span_rank(c("period_span"))})
     best = rows.groupBy("label").agg(F.min(F.struct(c("period").alias("end"), "rank", c("period_span").alias("span"))).alias("k"))
-    order = W.partitionBy(F.lit(1)).orderBy("k.end", "k.rank")
+    order = W.partitionBy(F.lit(1)).orderBy("k.end", "k.rank", "label")
     return best.select("label", "k.end", "k.span", F.row_number().over(order).alias("place"))
 
 
