@@ -6,11 +6,11 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 #: Characters that cannot be seen. Fixed values.
-INVISIBLE = "­​‌‍‎‏⁠﻿"
+INVISIBLE = "\u00ad\u200b\u200c\u200d\u200e\u200f\u2060\ufeff"
 #: Spaces other than U+0020. Fixed values.
-SPACES = "              　"
+SPACES = "\u00a0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u202f\u205f\u3000"
 #: Hyphens that stand for "-". Fixed values.
-HYPHENS = "‐‑−﹣"
+HYPHENS = "\u2010\u2011\u2212\ufe63"
 #: The full-width block maps onto ASCII by a constant offset.
 WIDE = "".join(chr(0xFF01 + i) for i in range(94))
 NARROW = "".join(chr(0x21 + i) for i in range(94))

@@ -219,12 +219,12 @@ def flatten_chunk(units: list[str], payloads: list[bytes]) -> pd.DataFrame:
 
 def _unwrap(payload: str | None) -> bytes:
     """The payload's bytes without a byte order mark; a payload that is a JSON string holding JSON gives its content."""
-    text = (payload or "").lstrip("﻿").strip()
+    text = (payload or "").lstrip("\ufeff").strip()
     for _ in range(2):
         if not text.startswith('"'):
             break
         try:
-            text = str(json.loads(text)).lstrip("﻿").strip()
+            text = str(json.loads(text)).lstrip("\ufeff").strip()
         except ValueError:
             return b'"'
     return text.encode("utf-8", "surrogatepass")

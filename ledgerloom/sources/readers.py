@@ -61,7 +61,7 @@ def read_list(spark: SparkSession, path: str, columns: list[str]) -> DataFrame:
         for pdf in frames:
             out = []
             for name, text in zip(pdf["file"], pdf["value"]):
-                reader = csv.DictReader(io.StringIO((text or "").lstrip("﻿ \t\r\n")))
+                reader = csv.DictReader(io.StringIO((text or "").lstrip("\ufeff \t\r\n")))
                 for line, row in enumerate(reader, 1):
                     if any(isinstance(v, str) and v.strip() for v in row.values()):
                         row = {str(k).strip(): v for k, v in row.items() if k}
