@@ -104,7 +104,9 @@ class Matcher:
             named[" " + " ".join(words) + " "].append(i)
         for name, at in named.items():
             self.automaton.add_word(name, (len(name), at))
-        self.automaton.make_automaton()
+        if named:
+            self.automaton.make_automaton()
+        self.empty = not named
         self.having = defaultdict(list)
         for i, (_, words, _) in enumerate(self.entries):
             for w in {*words, *(x + y for x, y in zip(words, words[1:]))}:  # neighbours also as one glued word
@@ -173,7 +175,7 @@ class Matcher:
 
     def _best(self, scope: str | None, label: str | None) -> tuple[str, float, str]:
         words = words_of(label or "")
-        if not words or not any(ch.isalpha() for w in words for ch in w):
+        if self.empty or not words or not any(ch.isalpha() for w in words for ch in w):
             return "", 0.0, "none"
         allowed = (lambda s: True) if scope is None else (lambda s: s in (scope, "*"))
         found = self.mentions(words, allowed)
