@@ -50,10 +50,9 @@ def _year(digits: Column) -> Column:
 
 
 def _month(token: Column) -> Column:
-    out = F.lit(None).cast("int")
-    for i, name in enumerate(MONTHS, 1):
-        out = F.when(F.substring(token, 1, 3) == name[:3], i).otherwise(out)
-    return out
+    """1 to 12 of a month's first three letters, else null."""
+    at = F.instr(F.lit("".join(m[:3] for m in MONTHS)), F.substring(token, 1, 3))
+    return F.when((F.length(token) > 2) & (at % 3 == 1), ((at + 2) / 3).cast("int"))
 
 
 def _end(year: Column, month: Column, day: Column | None = None) -> Column:

@@ -44,9 +44,15 @@ _WORDS = r"(?:as\s+a\s+|whole\s+)?(?:thousands?|millions?|billions?|basis|per|'?
 _TAIL = rf"(?:{FOOTNOTE})*\s*$"
 
 
+def lookup(table: dict[str, str | float], key: Column) -> Column:
+    """The table's entry for a key, null without one; the table is one literal, parsed once."""
+    quoted = lambda x: "'" + x.replace("'", "\\'") + "'" if isinstance(x, str) else f"{x!r}D"
+    return F.expr("map(" + ", ".join(f"{quoted(k)}, {quoted(v)}" for k, v in table.items()) + ")")[key]
+
+
 def _coded(spelling: Column, table: dict[str, str]) -> Column:
     """The code of a spelling; most texts have none and skip the table, being null or empty."""
-    return F.create_map(*[F.lit(x) for item in table.items() for x in item])[F.nullif(spelling, F.lit(""))]
+    return lookup(table, F.nullif(spelling, F.lit("")))
 
 
 def _bare(c: Column) -> Column:
@@ -87,12 +93,12 @@ def unit_of_cell(c: Column) -> Column:
 
 def factor(code: Column) -> Column:
     """What a value in that unit is multiplied by to come out in the common unit of its kind."""
-    return F.create_map(*[F.lit(x) for name, f in UNITS.items() for x in (name, f)])[code]
+    return lookup(UNITS, code)
 
 
 def kind(code: Column) -> Column:
     """amount, ratio, duration, staff or multiple."""
-    return F.create_map(*[F.lit(x) for item in KINDS.items() for x in item])[code]
+    return lookup(KINDS, code)
 
 
 def with_stated_unit(df: DataFrame, out: str = "unit_code", cell: str = "value_raw", row_unit: str = "row_unit", row_label: str = "row_leaf_label", col_unit: str = "col_unit", col_label: str = "col_leaf_label", table_unit: str = "table_unit", table_title: str = "table_title") -> DataFrame:

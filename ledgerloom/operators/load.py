@@ -113,8 +113,8 @@ def printed_links(tables: DataFrame) -> DataFrame:
     return links.select(parts[0].alias("doc_id"), parts[1].cast("int").alias("table_no"), (c("node").cast("int") + 1).alias("row_id"), (c("parent").cast("int") + 1).alias("up"))
 
 
-def build_star(units: DataFrame, filings: DataFrame) -> dict[str, DataFrame]:
-    """Frames table_t, col_dim, row_dim, cell_fact, sums, column_sums and load_warning of all units.
+def build_star(units: DataFrame, filings: DataFrame, only: set[str] | None = None) -> dict[str, DataFrame]:
+    """Frames table_t, col_dim, row_dim, cell_fact, sums, column_sums and load_warning of all units, or the ones in ``only``.
 
     cell_fact has the period of the first that states one (column, row, banner above, title, filing) with that source's
     span, the unit by precedence and last the filing's most frequent table unit, and whole-book members for axes that
@@ -129,7 +129,7 @@ def build_star(units: DataFrame, filings: DataFrame) -> dict[str, DataFrame]:
     kept = sized.where("n <= coalesce(width, 0)").where(~F.coalesce(c("row_type"), F.lit("data")).isin("section_header", "sub_header", "note"))
     cells = kept.select(*KEY, "row_id", F.posexplode("values").alias("at", "v")).select(*KEY, "row_id", (c("at") + 1).alias("col_id"), c("v.value").alias("value_raw"))
     cells = cells.withColumns({"cell_state": cell_state(c("value_raw")), "value_num": cell_number(c("value_raw"))})
-    titled = tables.select(*KEY, "unit_id", "institution", "doc_period", "title", "label_header", "section_id", "continued", read_period(c("title")).alias("t"))
+    titled = stage(tables.select(*KEY, "unit_id", "institution", "doc_period", "title", "label_header", "section_id", "continued", read_period(c("title")).alias("t")))
     no_unit = F.lit(None).cast("string")
     facts = cells.join(cols, [*KEY, "col_id"]).join(rows.select(*KEY, "row_id", "label", c("period").alias("r_period"), c("period_span").alias("r_span"), "banner_period", "banner_span"), [*KEY, "row_id"]).join(titled.select(*KEY, "doc_period", "title", "label_header", "t"), KEY)
     facts = with_stated_unit(facts.withColumns({"u": no_unit}), "unit", row_unit="u", row_label="label", col_unit="u", col_label="leaf", table_unit="u", table_title="title")
@@ -143,28 +143,30 @@ def build_star(units: DataFrame, filings: DataFrame) -> dict[str, DataFrame]:
     best = votes.groupBy("doc_id").agg(F.max("count").alias("top"))
     modal = votes.join(best, "doc_id").where(c("count") == c("top")).groupBy("doc_id").agg(F.min("unit").alias("modal"), F.count("*").alias("ties")).where("ties = 1").select("doc_id", "modal")
     named = lambda df: df.withColumnRenamed("table_no", "table_id").withColumn("table_id", c("table_id").cast("string"))
-    column_units = cols.select(*KEY, "col_id", unit_of_heading(c("leaf")).alias("unit"))
-    sums = verified_totals(named(rows), named(facts), named(column_units)).withColumn("table_no", c("table_id").cast("int")).drop("table_id")
-    sums = stage(sums)
-    parents = row_parents(rows, printed_links(tables), sums)
+    need = only or {"table_t", "col_dim", "row_dim", "cell_fact", "sums", "column_sums", "load_warning"}
     when = facts.groupBy(*KEY).agg(F.max(F.when(c("period_source") == "col", c("period"))).alias("col_period"))
     table_t = titled.join(when, KEY, "left").withColumn("table_period", F.coalesce(c("t.end"), c("col_period"), c("doc_period")))
     table_t = table_t.withColumn("table_id", F.concat_ws("|", F.coalesce("section_id", F.lit("")), slug(c("title")), c("table_period").cast("string"))).drop("t")
     twice = table_t.groupBy("doc_id", "table_id").agg(F.count("*").alias("n")).where("n > 1")
     ids = table_t.select(*KEY, "table_id")
-    warnings = wide.select("doc_id", "table_no", F.concat(F.lit("row "), c("row_id").cast("string"), F.lit(" is wider than the heading")).alias("warning"))
-    warnings = warnings.unionByName(ids.join(twice, ["doc_id", "table_id"]).select("doc_id", "table_no", F.concat(F.lit("table id comes twice: "), "table_id").alias("warning")))
-    warnings = warnings.unionByName(sums.where("sums_to is null").select("doc_id", "table_no", F.concat(F.lit("total "), c("row_id").cast("string"), F.lit(" not verified: "), "outcome").alias("warning")))
-    sums_of = sums.where("sums_to is not null").select(*KEY, "row_id", "sums_to", "sums_sign")
-    return {
-        "table_t": table_t,
-        "col_dim": cols,
-        "row_dim": rows.drop("values").join(parents, [*KEY, "row_id"]).join(sums_of, [*KEY, "row_id"], "left").withColumn("label_key", label_key(c("label"))),
-        "cell_fact": facts.join(modal, "doc_id", "left").withColumn("unit", F.coalesce("unit", "modal")).drop("modal").join(ids, KEY),
-        "sums": sums,
-        "column_sums": total_columns(named(facts), named(cols)),
-        "load_warning": warnings,
-    }
+    out = {"table_t": table_t, "col_dim": cols}
+    if "cell_fact" in need:
+        out["cell_fact"] = facts.join(modal, "doc_id", "left").withColumn("unit", F.coalesce("unit", "modal")).drop("modal").join(ids, KEY)
+    if "column_sums" in need:
+        out["column_sums"] = total_columns(named(facts), named(cols))
+    if need & {"row_dim", "sums", "load_warning"}:
+        column_units = cols.select(*KEY, "col_id", unit_of_heading(c("leaf")).alias("unit"))
+        sums = verified_totals(named(rows), named(facts), named(column_units)).withColumn("table_no", c("table_id").cast("int")).drop("table_id")
+        out["sums"] = sums = stage(sums)
+    if "load_warning" in need:
+        warnings = wide.select("doc_id", "table_no", F.concat(F.lit("row "), c("row_id").cast("string"), F.lit(" is wider than the heading")).alias("warning"))
+        warnings = warnings.unionByName(ids.join(twice, ["doc_id", "table_id"]).select("doc_id", "table_no", F.concat(F.lit("table id comes twice: "), "table_id").alias("warning")))
+        out["load_warning"] = warnings.unionByName(sums.where("sums_to is null").select("doc_id", "table_no", F.concat(F.lit("total "), c("row_id").cast("string"), F.lit(" not verified: "), "outcome").alias("warning")))
+    if "row_dim" in need:
+        parents = row_parents(rows, printed_links(tables), sums)
+        sums_of = sums.where("sums_to is not null").select(*KEY, "row_id", "sums_to", "sums_sign")
+        out["row_dim"] = rows.drop("values").join(parents, [*KEY, "row_id"]).join(sums_of, [*KEY, "row_id"], "left").withColumn("label_key", label_key(c("label")))
+    return out
 
 
 def breakdown_violations(star: dict[str, DataFrame]) -> DataFrame:
