@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
@@ -87,12 +88,15 @@ def sumsafe_lower_bound(spark: SparkSession, d: str) -> DataFrame:
 
 @query("SELECT (SELECT count(*) FROM filing) documents, (SELECT count(*) FROM (SELECT DISTINCT doc_id, table_id FROM row_dim)) tables, (SELECT count(*) FROM (SELECT DISTINCT doc_id, table_id, row_id FROM row_dim)) AS row_count, (SELECT count(*) FROM (SELECT DISTINCT doc_id, table_id, row_id, col_id FROM cell_fact)) AS cell_count")
 def corpus_counters(spark: SparkSession, d: str) -> DataFrame:
-    docs = table(spark, d, "filing").agg(F.count("*").alias("documents"))
     rows = table(spark, d, "row_dim").select("doc_id", "table_id", "row_id").distinct()
-    tabs = rows.select("doc_id", "table_id").distinct().agg(F.count("*").alias("tables"))
-    facts = table(spark, d, "cell_fact").select("doc_id", "table_id", "row_id", "col_id").distinct().agg(F.count("*").alias("cell_count"))
-    one = lambda df: df.withColumn("__one", F.lit(1))
-    return one(docs).join(one(tabs), "__one").join(one(rows.agg(F.count("*").alias("row_count"))), "__one").join(one(facts), "__one").drop("__one")
+    parts = {
+        "documents": table(spark, d, "filing").select(F.lit(1).alias("x")),
+        "tables": rows.select("doc_id", "table_id").distinct(),
+        "row_count": rows,
+        "cell_count": table(spark, d, "cell_fact").select("doc_id", "table_id", "row_id", "col_id").distinct(),
+    }
+    counted = [df.agg(F.count("*").alias("n")).select(F.lit(name).alias("what"), "n") for name, df in parts.items()]
+    return reduce(DataFrame.unionByName, counted).agg(*[F.max(F.when(c("what") == name, c("n"))).alias(name) for name in parts])
 
 
 # --- vintages, precedence, slices ---------------------------------------------------------------------------------
@@ -373,9 +377,9 @@ def partition_rollup_fill_only(spark: SparkSession, d: str) -> DataFrame:
     keys = ["institution", "concept_key", "period", "period_span"]
     rows = table(spark, d, "fact_metric").where("value_num is not null and not isnan(value_num) and geo_key = 'GLOBAL' and legal_entity = 'CONSOLIDATED'")
     whole = rows.where("segment_key = 'SEG_TOTAL'").groupBy(*keys).agg(F.round(F.max("value_num"), 4).alias("value")).withColumn("origin", F.lit("reported"))
-    members = table(spark, d, "fact_metric").where("segment_key <> 'SEG_TOTAL'").agg(F.count_distinct("segment_key").alias("need"))
+    need = table(spark, d, "fact_metric").where("segment_key <> 'SEG_TOTAL'").agg(F.count_distinct("segment_key")).first()[0]
     parts = rows.where("segment_key <> 'SEG_TOTAL'").groupBy(*keys, "segment_key").agg(F.max("value_num").alias("x")).groupBy(*keys).agg(F.round(F.sum(exact("x")).cast("double"), 4).alias("value"), F.count("*").alias("n"))
-    parts = parts.withColumn("one", F.lit(1)).join(F.broadcast(members.withColumn("one", F.lit(1))), "one").where("n = need").select(*keys, "value", F.lit("derived").alias("origin"))
+    parts = parts.where(c("n") == need).select(*keys, "value", F.lit("derived").alias("origin"))
     return G.fill_only(whole, parts, keys)
 
 

@@ -135,17 +135,18 @@ def _served(spark: SparkSession, d: str) -> DataFrame:
 ANCHORS = [("Net interest", "RESULTS", "pnl.interest_earned_on_lending", 1, 1), ("Net interest", "RESULTS", "pnl.interest_paid_on_funding", -1, 2), ("Assets", "FS_BALANCE", "bs.assets", 1, 1), ("Fees", "RESULTS", "pnl.fees", 1, 1)]
 
 
-def _anchors(spark: SparkSession, facts: DataFrame) -> DataFrame:
-    declared = spark.createDataFrame(ANCHORS, "concept string, table_type_id string, canonical_leaf_id string, sign int, member_ordinal int")
-    banks = facts.select("bank").distinct().withColumn("one", F.lit(1))
-    return declared.withColumn("one", F.lit(1)).join(banks, "one").drop("one").withColumn("filter_by", F.lit(None).cast("string"))
+def _anchors(facts: DataFrame) -> DataFrame:
+    names = ["concept", "table_type_id", "canonical_leaf_id", "sign", "member_ordinal"]
+    declared = F.array(*[F.struct(*[F.lit(x).alias(n) for n, x in zip(names, row)]) for row in ANCHORS])
+    banks = facts.select("bank").distinct()
+    return banks.select("bank", F.explode(declared).alias("a")).select("bank", "a.*", F.lit(None).cast("string").alias("filter_by"))
 
 
 @query
 def serve_items(spark: SparkSession, d: str) -> DataFrame:
     """Anchored items of every institution on the fiscal axis, with the share of members that are there."""
     facts = _served(spark, d)
-    return S.compose_items(facts, _anchors(spark, facts), S.fiscal_axis(facts))
+    return S.compose_items(facts, _anchors(facts), S.fiscal_axis(facts))
 
 
 @query
@@ -158,4 +159,4 @@ def serve_axis(spark: SparkSession, d: str) -> DataFrame:
 def serve_coverage(spark: SparkSession, d: str) -> DataFrame:
     """Anchors with hits, filings and latest period."""
     facts = _served(spark, d)
-    return S.anchor_coverage(_anchors(spark, facts), facts)
+    return S.anchor_coverage(_anchors(facts), facts)

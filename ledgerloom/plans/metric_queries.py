@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ledgerloom.functions.labels import caption_key, caption_parts, filing_family, segment
 from ledgerloom.operators import metrics as M
-from ledgerloom.runtime import table
+from ledgerloom.runtime import BROADCAST_ROWS, table
 
 QUERIES, ORACLES = {}, {}
 c = F.col
@@ -84,8 +84,8 @@ FROM d LEFT JOIN n ON n.institution = d.institution AND n.concept_key = d.concep
 def coverage_matrix(spark: SparkSession, d: str) -> DataFrame:
     """What is missing of each declared concept at each institution."""
     filings = table(spark, d, "filing").select("doc_id", "institution")
-    houses = filings.select("institution").distinct().withColumn("one", F.lit(1))
-    declared = table(spark, d, "concept_map").where("table_type <> '*'").select("concept_key").distinct().withColumn("one", F.lit(1)).join(houses, "one").select("institution", "concept_key")
+    concepts = [r[0] for r in table(spark, d, "concept_map").where("table_type <> '*'").select("concept_key").distinct().limit(BROADCAST_ROWS).collect()]  # the reference list, of fixed size
+    declared = filings.select("institution").distinct().select("institution", F.explode(F.array(*[F.lit(x) for x in concepts])).alias("concept_key"))
     rows = table(spark, d, "row_dim").select("doc_id", "table_id", "row_id", "concept_key", F.nullif("canonical_leaf_id", F.lit("")).alias("canonical_leaf_id")).distinct().join(filings, "doc_id")
     return M.coverage_matrix(declared, rows, _cells(spark, d))
 
