@@ -15,6 +15,8 @@ ELLIPSIS = r"\s*(?:\.\.\.|…|\[\.\.\.\]|\[…\])$"
 BROKEN = r"\s*[�<\[{&\\]+$"
 #: A closing stop that ends a text; one behind a figure may also be a decimal point and is looked at closely.
 STOPPED = r"(?:(?<![\d.])\.|[!?。！？])[\"')”’»\]）]*$"
+#: A last word with a figure in it, looked for in the last characters of a sentence.
+FIGURE = r"\d\S*\s*$"
 #: Lengths by which strings are put next to their possible prefixes; shorter tails are looked up directly.
 LEVELS = (12, 24, 48, 96, 192, 384, 768, 1536)
 
@@ -33,15 +35,16 @@ def shape(c: Column) -> Column:
 def _tails(documents: DataFrame) -> DataFrame:
     """One narrow row for each text that may be cut: its last sentence masked, and the marks at its end."""
     c = F.col
-    text = F.rtrim(F.regexp_replace("text", r"\s+$", ""))
+    text = F.regexp_replace("text", r"\s++$", "")
     rows = documents.where(F.col("text").rlike(r"\S")).select("doc_id", "source", text.alias("t"))
-    rows = rows.select("doc_id", "source", c("t").rlike(ELLIPSIS).alias("ellipsis"), c("t").rlike(BROKEN).alias("broken"), c("t").rlike(STOPPED).alias("stopped"), "t")
+    # what ends a text is short, so the patterns read its last characters only
+    end = F.right("t", F.lit(64))
+    rows = rows.select("doc_id", "source", end.rlike(ELLIPSIS).alias("ellipsis"), end.rlike(BROKEN).alias("broken"), end.rlike(STOPPED).alias("stopped"), "t")
     rows = rows.where("ellipsis or broken or not stopped")
     bare = F.regexp_replace(F.regexp_replace(c("t"), ELLIPSIS, ""), BROKEN, "")
-    last = F.element_at(F.filter(F.split(bare, BREAK), lambda x: F.trim(x) != ""), -1)
-    rows = rows.withColumn("last", F.coalesce(F.when(F.size(F.filter(F.split(bare, BREAK), lambda x: F.trim(x) != "")) > 0, last), F.lit("")))
+    rows = rows.withColumn("last", F.coalesce(F.try_element_at(F.filter(F.split(bare, BREAK), lambda x: F.trim(x) != ""), F.lit(-1)), F.lit("")))
     return rows.select(
-        "doc_id", "source", "ellipsis", "broken", mask(c("last")).alias("tail"), F.when(c("last").rlike(r"\d\S*\s*$"), shape(c("last"))).alias("figure"),
+        "doc_id", "source", "ellipsis", "broken", mask(c("last")).alias("tail"), F.when(F.right("last", F.lit(64)).rlike(FIGURE), shape(c("last"))).alias("figure"),
         F.when(c("last").contains("\t"), F.trim(F.substring_index("last", "\t", 1))).alias("row_label"),
     )
 
@@ -54,7 +57,7 @@ def _sentences(documents: DataFrame) -> DataFrame:
     rows = rows.select(F.posexplode("parts").alias("at", "part"), F.size("parts").alias("n"))
     inner = (c("at") < c("n") - 1).cast("long")
     label = F.when(c("part").contains("\t"), F.trim(F.substring_index("part", "\t", 1)))
-    keys = F.when(c("part").rlike(r"\d\S*\s*$"), F.array(mask(c("part")), shape(c("part")))).otherwise(F.array(mask(c("part"))))
+    keys = F.when(F.right("part", F.lit(64)).rlike(FIGURE), F.array(mask(c("part")), shape(c("part")))).otherwise(F.array(mask(c("part"))))
     rows = rows.select(F.explode(F.array_distinct(keys)).alias("key"), inner.alias("inner"), label.alias("row_label"))
     return rows.where("key <> ''").groupBy("key").agg(F.sum("inner").alias("inner"), F.sum(1 - c("inner")).alias("final"), F.min("row_label").alias("row_label"))
 
