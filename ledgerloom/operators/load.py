@@ -10,6 +10,7 @@ from ledgerloom.functions.periods import LEADS, clamp_year, let, read_period, sp
 from ledgerloom.functions.text import label_key, plain, slug, squeeze, strip_footnotes
 from ledgerloom.functions.units import unit_of_heading, with_stated_unit
 from ledgerloom.functions.values import cell_number, cell_state
+from ledgerloom.operators.axes import AXES, column_members, resolve
 from ledgerloom.operators.hierarchy import table_links
 from ledgerloom.operators.totals import total_columns, verified_totals
 from ledgerloom.runtime import stage
@@ -113,16 +114,19 @@ def printed_links(tables: DataFrame) -> DataFrame:
     return links.select(parts[0].alias("doc_id"), parts[1].cast("int").alias("table_no"), (c("node").cast("int") + 1).alias("row_id"), (c("parent").cast("int") + 1).alias("up"))
 
 
-def build_star(units: DataFrame, filings: DataFrame, only: set[str] | None = None) -> dict[str, DataFrame]:
+def build_star(units: DataFrame, filings: DataFrame, only: set[str] | None = None, members: DataFrame | None = None) -> dict[str, DataFrame]:
     """Frames table_t, col_dim, row_dim, cell_fact, sums, column_sums and load_warning of all units, or the ones in ``only``.
 
     cell_fact has the period of the first that states one (column, row, banner above, title, filing) with that source's
-    span, the unit by precedence and last the filing's most frequent table unit, and whole-book members for axes that
-    nothing names. Rows wider than the heading are left out and reported; so are tables whose id comes twice.
+    span, the unit by precedence and last the filing's most frequent table unit, and on each axis the member that the
+    row's label names, else the column's, else the whole book. ``members`` (axes.member_map) tells what labels name;
+    without it nothing is named. Rows wider than the heading are left out and reported; so are tables whose id comes
+    twice and labels that name members of several axes of which none counts.
     """
     tables = stage(raw_tables(units, filings))
-    cols = stage(column_axis(tables))
-    rows = stage(row_axis(tables))
+    members = members if members is None else stage(members)
+    cols = stage(column_members(column_axis(tables), KEY, members))
+    rows = stage(resolve(row_axis(tables), KEY, members))
     width = cols.groupBy(*KEY).agg(F.max("col_id").alias("width"))
     sized = rows.select(*KEY, "row_id", "row_type", F.size(F.coalesce("values", F.array())).alias("n"), "values").join(width, KEY, "left")
     wide = sized.where("n > coalesce(width, 0) and n > 0")
@@ -131,13 +135,13 @@ def build_star(units: DataFrame, filings: DataFrame, only: set[str] | None = Non
     cells = cells.withColumns({"cell_state": cell_state(c("value_raw")), "value_num": cell_number(c("value_raw"))})
     titled = stage(tables.select(*KEY, "unit_id", "institution", "doc_period", "title", "label_header", "section_id", "continued", read_period(c("title")).alias("t")))
     no_unit = F.lit(None).cast("string")
-    facts = cells.join(cols, [*KEY, "col_id"]).join(rows.select(*KEY, "row_id", "label", c("period").alias("r_period"), c("period_span").alias("r_span"), "banner_period", "banner_span"), [*KEY, "row_id"]).join(titled.select(*KEY, "doc_period", "title", "label_header", "t"), KEY)
+    facts = cells.join(cols, [*KEY, "col_id"]).join(rows.select(*KEY, "row_id", "label", c("period").alias("r_period"), c("period_span").alias("r_span"), "banner_period", "banner_span", *[c(a).alias(f"r_{a}") for a in AXES]), [*KEY, "row_id"]).join(titled.select(*KEY, "doc_period", "title", "label_header", "t"), KEY)
     facts = with_stated_unit(facts.withColumns({"u": no_unit}), "unit", row_unit="u", row_label="label", col_unit="u", col_label="leaf", table_unit="u", table_title="title")
     sources = [("col", c("period"), c("period_span")), ("row", c("r_period"), c("r_span")), ("row_banner", c("banner_period"), c("banner_span")), ("table_title", c("t.end"), c("t.span")), ("document", c("doc_period"), no_unit)]
     chosen = F.coalesce(*[F.when(p.isNotNull(), F.struct(p.alias("period"), s.alias("period_span"), F.lit(n).alias("period_source"))) for n, p, s in sources])
     facts = stage(facts.withColumn("chosen", chosen).select(
         *KEY, "row_id", "col_id", "value_raw", "value_num", "cell_state", "unit", "chosen.*", span_start(c("chosen.period_span"), c("chosen.period")).alias("period_start"),
-        F.coalesce("legal_entity", F.lit("CONSOLIDATED")).alias("legal_entity"), F.lit("SEG_TOTAL").alias("segment_key"), F.lit("IND_TOTAL").alias("industry_key"), "col_role",
+        F.coalesce("legal_entity", F.lit("CONSOLIDATED")).alias("legal_entity"), *[F.coalesce(f"r_{a}", a, F.lit(total)).alias(a) for a, total in AXES.items()], "col_role",
     ))
     votes = facts.where("unit is not null").select(*KEY, "unit").distinct().groupBy("doc_id", "unit").count()
     best = votes.groupBy("doc_id").agg(F.max("count").alias("top"))
@@ -149,7 +153,7 @@ def build_star(units: DataFrame, filings: DataFrame, only: set[str] | None = Non
     table_t = table_t.withColumn("table_id", F.concat_ws("|", F.coalesce("section_id", F.lit("")), slug(c("title")), c("table_period").cast("string"))).drop("t")
     twice = table_t.groupBy("doc_id", "table_id").agg(F.count("*").alias("n")).where("n > 1")
     ids = table_t.select(*KEY, "table_id")
-    out = {"table_t": table_t, "col_dim": cols}
+    out = {"table_t": table_t, "col_dim": cols.drop("ambiguous", "banner_ambiguous")}
     if "cell_fact" in need:
         out["cell_fact"] = facts.join(modal, "doc_id", "left").withColumn("unit", F.coalesce("unit", "modal")).drop("modal").join(ids, KEY)
     if "column_sums" in need:
@@ -161,11 +165,13 @@ def build_star(units: DataFrame, filings: DataFrame, only: set[str] | None = Non
     if "load_warning" in need:
         warnings = wide.select("doc_id", "table_no", F.concat(F.lit("row "), c("row_id").cast("string"), F.lit(" is wider than the heading")).alias("warning"))
         warnings = warnings.unionByName(ids.join(twice, ["doc_id", "table_id"]).select("doc_id", "table_no", F.concat(F.lit("table id comes twice: "), "table_id").alias("warning")))
+        doubtful = rows.where("ambiguous").select(*KEY, "label").unionByName(cols.where("ambiguous").select(*KEY, c("leaf").alias("label"))).unionByName(cols.where("banner_ambiguous").select(*KEY, c("banner").alias("label"))).distinct()
+        warnings = warnings.unionByName(doubtful.select(*KEY, F.concat(F.lit("label names members of several axes: "), "label").alias("warning")))
         out["load_warning"] = warnings.unionByName(sums.where("sums_to is null").select("doc_id", "table_no", F.concat(F.lit("total "), c("row_id").cast("string"), F.lit(" not verified: "), "outcome").alias("warning")))
     if "row_dim" in need:
         parents = row_parents(rows, printed_links(tables), sums)
         sums_of = sums.where("sums_to is not null").select(*KEY, "row_id", "sums_to", "sums_sign")
-        out["row_dim"] = rows.drop("values").join(parents, [*KEY, "row_id"]).join(sums_of, [*KEY, "row_id"], "left").withColumn("label_key", label_key(c("label")))
+        out["row_dim"] = rows.drop("values", "ambiguous").join(parents, [*KEY, "row_id"]).join(sums_of, [*KEY, "row_id"], "left").withColumn("label_key", label_key(c("label")))
     return out
 
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ledgerloom.operators import axes as A
 from ledgerloom.operators import identity as I
 from ledgerloom.operators import serving as S
 from ledgerloom.operators import structure as X
@@ -24,13 +25,18 @@ def units(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "parsed").select("unit_id", "doc_id", "tables").dropDuplicates(["unit_id"])
 
 
+def axis_members(spark: SparkSession, d: str) -> DataFrame:
+    """What labels name on each axis: the stored stamps of row_dim, and the places of geo_dim."""
+    return A.member_map(table(spark, d, "row_dim").withColumnRenamed("row_leaf_label", "label"), table(spark, d, "geo_dim"))
+
+
 def star(spark: SparkSession, d: str, *only: str) -> dict[str, DataFrame]:
-    return build_star(units(spark, d), table(spark, d, "filing"), set(only))
+    return build_star(units(spark, d), table(spark, d, "filing"), set(only), axis_members(spark, d))
 
 
 @query
 def load_cells(spark: SparkSession, d: str) -> DataFrame:
-    """Facts of the parsed units: value, state, unit, period and its source, whole-book members."""
+    """Facts of the parsed units: value, state, unit, period and its source, axis members of the row, else the column, else the whole book."""
     return star(spark, d, "cell_fact")["cell_fact"]
 
 

@@ -14,15 +14,16 @@ from ledgerloom.operators.load import build_star
 from ledgerloom.sources.sinks import reload
 
 
-def ingest_units(spark: SparkSession, source: str, schema: str, filings: DataFrame, target: str, checkpoint: str) -> StreamingQuery:
+def ingest_units(spark: SparkSession, source: str, schema: str, filings: DataFrame, target: str, checkpoint: str, members: DataFrame | None = None) -> StreamingQuery:
     """Loads each micro-batch of units (parquet with unit_id, doc_id, tables) into the fact table under ``target``.
 
     The batch loader runs in foreachBatch and replaces whole filings, so a batch that is run again does no harm.
+    ``members`` (axes.member_map) tells which axis members labels name.
     """
 
     def load(batch: DataFrame, _: int) -> None:
         units = batch.select("unit_id", "doc_id", "tables").dropDuplicates(["unit_id"])
-        star = build_star(units, filings)
+        star = build_star(units, filings, members=members)
         reload(star["cell_fact"], f"{target}/cell_fact")
         reload(star["load_warning"], f"{target}/load_warning")
 
