@@ -10,9 +10,10 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ledgerloom.functions.periods import is_flow, period_label, read_period, span_rank, span_start
-from ledgerloom.functions.text import label_key, slug
+from ledgerloom.functions.text import FOOTNOTE, HYPHENS, INVISIBLE, NARROW, SPACES, WIDE, label_key, slug
 from ledgerloom.functions.units import with_stated_unit
 from ledgerloom.functions.values import cell_number, cell_state, expand_pages
+from ledgerloom.operators import axes as A
 from ledgerloom.operators import generic as G
 from ledgerloom.runtime import small_side, table
 
@@ -506,10 +507,33 @@ def axis_exclusivity(spark: SparkSession, d: str) -> DataFrame:
     """A label that is a member of two axes counts for the one that two other labels of its table name alone."""
     rows = [(1, "Retail", "S1", None), (1, "Corporate", "S2", None), (1, "Others", "S9", "I9"), (1, "Total", "SEG_TOTAL", "IND_TOTAL"), (2, "Others", "S9", "I9"), (2, "Trade", None, "I1"), (3, "Trade", None, "I1"), (3, "Farms", None, "I2"), (3, "Others", "S9", "I9"), (3, None, None, None)]
     base = spark.createDataFrame(rows, "t int, label string, seg string, ind string")
-    own = lambda a, b, total: F.count(F.when(c(a).isNotNull() & c(b).isNull() & (c(a) != total), 1))
-    counts = base.groupBy("t").agg(own("seg", "ind", "SEG_TOTAL").alias("ns"), own("ind", "seg", "IND_TOTAL").alias("ni"))
-    both = F.coalesce((c("seg") != "SEG_TOTAL") & (c("ind") != "IND_TOTAL"), F.lit(False))
-    return base.join(counts, "t").select("t", "label", F.when(~both | ((c("ns") >= 2) & (c("ni") < 2)), c("seg")).alias("segment_key"), F.when(~both | ((c("ni") >= 2) & (c("ns") < 2)), c("ind")).alias("industry_key"))
+    base = base.withColumnsRenamed({"seg": "segment_key", "ind": "industry_key"})
+    return A.exclusive(base, ["t"], {x: A.AXES[x] for x in ("segment_key", "industry_key")}).drop("ambiguous")
+
+
+def _label_key_sql(x: str) -> str:
+    """label_key in DuckDB's SQL."""
+    there, here, mark = SPACES + WIDE + HYPHENS + INVISIBLE, " " * len(SPACES) + NARROW + "-" * len(HYPHENS), FOOTNOTE.replace("'", "''")
+    there, here = (y.replace("'", "''") for y in (there, here))
+    text = f"trim(translate({x}, '{there}', '{here}'))"
+    bare = f"trim(regexp_replace({text}, '{mark}+\\s*$', '', 'i'))"
+    return f"lower(trim(regexp_replace(CASE WHEN {bare} = '' THEN {text} ELSE {bare} END, '\\s+', ' ', 'g')))"
+
+
+@query(f"""
+WITH r AS (SELECT doc_id, table_id, row_id, min(row_leaf_label) AS label FROM row_dim GROUP BY 1, 2, 3),
+x AS (SELECT {_label_key_sql('row_leaf_label')} AS k, segment_key AS s, industry_key AS i, geo_key AS g FROM row_dim UNION ALL SELECT {_label_key_sql('label')}, NULL, NULL, geo_key FROM geo_dim),
+m AS (SELECT k, CASE WHEN min(s) = max(s) THEN min(s) END AS s, CASE WHEN min(i) = max(i) THEN min(i) END AS i, CASE WHEN min(g) = max(g) THEN min(g) END AS g FROM x WHERE k <> '' GROUP BY k),
+l AS (SELECT r.*, s, i, g, coalesce(s <> 'SEG_TOTAL', false)::INT AS ms, coalesce(i <> 'IND_TOTAL', false)::INT AS mi, coalesce(g <> 'GLOBAL', false)::INT AS mg, (s IS NOT NULL)::INT + (i IS NOT NULL)::INT + (g IS NOT NULL)::INT AS n FROM r LEFT JOIN m ON k = {_label_key_sql('label')}),
+c AS (SELECT doc_id, table_id, count(*) FILTER (n = 1 AND ms = 1) AS ns, count(*) FILTER (n = 1 AND mi = 1) AS ni, count(*) FILTER (n = 1 AND mg = 1) AS ng FROM l GROUP BY 1, 2),
+h AS (SELECT l.*, ms + mi + mg > 1 AS several, (ms = 1 AND ns >= 2)::INT AS hs, (mi = 1 AND ni >= 2)::INT AS hi, (mg = 1 AND ng >= 2)::INT AS hg FROM l JOIN c USING (doc_id, table_id))
+SELECT doc_id, table_id, row_id, CASE WHEN NOT several OR (hs = 1 AND hi + hg = 0) THEN s END AS segment_key, CASE WHEN NOT several OR (hi = 1 AND hs + hg = 0) THEN i END AS industry_key, CASE WHEN NOT several OR (hg = 1 AND hs + hi = 0) THEN g END AS geo_key, several AND hs + hi + hg <> 1 AS ambiguous FROM h
+""")
+def axis_stamps(spark: SparkSession, d: str) -> DataFrame:
+    """Axis members that the row labels of all stored tables name, by the loader's operator."""
+    stored = table(spark, d, "row_dim").withColumnRenamed("row_leaf_label", "label")
+    rows = stored.groupBy("doc_id", "table_id", "row_id").agg(F.min("label").alias("label"))
+    return A.resolve(rows, ["doc_id", "table_id"], A.member_map(stored, table(spark, d, "geo_dim"))).drop("label")
 
 
 # --- reshaping -----------------------------------------------------------------------------------------------------------

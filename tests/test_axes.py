@@ -53,3 +53,14 @@ def test_stream_stamps_members(spark, members, tmp_path):
     filings = spark.createDataFrame([("d1", "Marisund Concord", date(2026, 6, 30))], "doc_id string, institution string, doc_period date")
     ingest_units(spark, source, UNITS, filings, str(tmp_path / "out"), str(tmp_path / "check"), members).awaitTermination(120)
     assert spark.read.parquet(str(tmp_path / "out/cell_fact")).where("industry_key = 'I2'").count() == 2
+
+
+def test_stored_labels_are_stamped(spark, tmp_path):
+    from ledgerloom.plans.engine_queries import QUERIES
+
+    rows = [("t", 1, "Retail", "S1", None), ("t", 2, "Corporate", "S2", None), ("t", 3, "Others", None, None), ("u", 1, "Others (1)", "S9", None), ("u", 2, "Others", None, "I9"), ("u", 3, "North", None, None)]
+    stored = spark.createDataFrame([("d", *x, None) for x in [*rows, rows[0]]], "doc_id string, table_id string, row_id int, row_leaf_label string, segment_key string, industry_key string, geo_key string")
+    stored.write.parquet(str(tmp_path / "row_dim.parquet"))
+    spark.createDataFrame([("North", "N")], "label string, geo_key string").write.parquet(str(tmp_path / "geo_dim.parquet"))
+    got = {(x["table_id"], x["row_id"]): (x["segment_key"], x["industry_key"], x["geo_key"], x["ambiguous"]) for x in QUERIES["axis_stamps"](spark, str(tmp_path)).collect()}
+    assert got == {("t", 1): ("S1", None, None, False), ("t", 2): ("S2", None, None, False), ("t", 3): ("S9", None, None, False), ("u", 1): (None, None, None, True), ("u", 2): (None, None, None, True), ("u", 3): (None, None, "N", False)}
