@@ -12,6 +12,7 @@ from ledgerloom.functions.units import unit_of_heading, with_stated_unit
 from ledgerloom.functions.values import cell_number, cell_state
 from ledgerloom.operators.axes import AXES, column_members, resolve
 from ledgerloom.operators.hierarchy import table_links
+from ledgerloom.operators.structure import split_captions, whole_tables
 from ledgerloom.operators.totals import total_columns, verified_totals
 from ledgerloom.runtime import stage
 
@@ -117,13 +118,14 @@ def printed_links(tables: DataFrame) -> DataFrame:
 def build_star(units: DataFrame, filings: DataFrame, only: set[str] | None = None, members: DataFrame | None = None) -> dict[str, DataFrame]:
     """Frames table_t, col_dim, row_dim, cell_fact, sums, column_sums and load_warning of all units, or the ones in ``only``.
 
+    Tables that stack several captioned ones are split, then printed continuations are joined to what they continue.
     cell_fact has the period of the first that states one (column, row, banner above, title, filing) with that source's
     span, the unit by precedence and last the filing's most frequent table unit, and on each axis the member that the
     row's label names, else the column's, else the whole book. ``members`` (axes.member_map) tells what labels name;
     without it nothing is named. Rows wider than the heading are left out and reported; so are tables whose id comes
     twice and labels that name members of several axes of which none counts.
     """
-    tables = stage(raw_tables(units, filings))
+    tables = stage(whole_tables(stage(split_captions(raw_tables(units, filings)))))
     members = members if members is None else stage(members)
     cols = stage(column_members(column_axis(tables), KEY, members))
     rows = stage(resolve(row_axis(tables), KEY, members))

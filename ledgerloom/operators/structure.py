@@ -55,6 +55,52 @@ def split_blocks(rows: DataFrame, keys: list[str], kind: str = "date") -> DataFr
 CONTINUED = r"(?i)\s*\(?\s*(?:continued|cont'?d\.?)\s*\)?\s*"
 
 
+def _rebased(parent: Column, low: Column, high: Column, by: Column) -> Column:
+    """A named parent, with a heading's number (``hN``) from ``low`` to ``high`` moved by ``by``; other numbers name none."""
+    number = F.regexp_extract(F.lower(F.trim(parent)), r"^h(\d+)$", 1)
+    n = number.try_cast("int")
+    return F.when(number != "", F.when((n >= low) & (n <= high), F.concat(F.lit("h"), (n + by).cast("string")))).otherwise(parent)
+
+
+def _heads_block(kind: Column, level: Column, order: W) -> Column:
+    """Whether ``hN`` counts the row: no section_header, and the next row is of a higher level."""
+    return F.coalesce((F.coalesce(kind, F.lit("")) != "section_header") & (F.coalesce(F.lead(level).over(order), F.lit(0)) > F.coalesce(level, F.lit(0))), F.lit(False))
+
+
+def _with_fields(r: str, fields: list[str], **new: Column) -> Column:
+    return F.when(c(r).isNotNull(), F.struct(*[new.get(f, c(f"{r}.{f}")).alias(f) for f in fields]))
+
+
+def split_captions(tables: DataFrame) -> DataFrame:
+    """Tables, each that stacks several captioned ones as one table a caption; numbered anew in the same order.
+
+    Input: doc_id, table_no, title, rows and any others, which the parts keep. The caption becomes the title and leaves
+    the rows; rows before the first caption stay a table of the old title; a caption without rows below gives none.
+    """
+    keys = ["doc_id", "table_no"]
+    filled = lambda v: F.exists(v, lambda x: F.coalesce(F.trim(x["value"]) != "", F.lit(False)))
+    stated = F.filter("rows", lambda r: unit_of_label(r["label"]).isNotNull() & ~F.coalesce(filled(r["values"]), F.lit(False)))
+    may = F.coalesce(F.size(stated) >= 2, F.lit(False))
+    rows = tables.where(may).select(*keys, F.posexplode("rows").alias("row_id", "r"))
+    rows = rows.select(*keys, "row_id", "r", c("r.row_type").alias("row_type"), F.coalesce(c("r.level"), F.lit(0)).alias("level"), c("r.label").alias("label"), c("r.values").alias("values"))
+    order = W.partitionBy(*keys).orderBy("row_id")
+    rows = rows.withColumn("heads", _heads_block(c("row_type"), c("level"), order).cast("int")).withColumn("upto", F.sum("heads").over(order))
+    part = W.partitionBy(*keys, "block")
+    body = split_blocks(rows, keys, "caption").withColumn("nth", F.row_number().over(part.orderBy("row_id"))).where("block = 0 or nth > 1")
+    body = body.withColumns({"before": F.min(c("upto") - c("heads")).over(part), "own": F.sum("heads").over(part)})
+    row = _with_fields("r", tables.schema["rows"].dataType.elementType.names, parent=_rebased(c("r.parent"), c("before") + 1, c("before") + c("own"), -c("before")))
+    parts = body.select(*keys, "block", "caption", F.struct("row_id", row.alias("row")).alias("x")).groupBy(*keys, "block").agg(F.min("caption").alias("caption"), F.array_sort(F.collect_list("x")).alias("x"))
+    split = tables.where(may).drop("rows").join(parts, keys).withColumns({"title": F.coalesce("caption", "title"), "rows": F.transform("x", lambda y: y["row"])}).drop("caption", "x")
+    both = tables.where(~may).withColumn("block", F.lit(0)).unionByName(split)
+    return both.withColumn("table_no", F.row_number().over(W.partitionBy("doc_id").orderBy("table_no", "block"))).drop("block")
+
+
+def _printed_heads(columns: str) -> Column:
+    """Names of the columns, each with how often it has come so far: equal headings pair up from left to right."""
+    names = F.transform(columns, lambda x: F.concat_ws("|", label_key(x["group"]), label_key(x["leaf"])))
+    return F.transform(names, lambda h, i: F.concat_ws("#", h, F.size(F.filter(F.slice(names, 1, i + 1), lambda x: x == h)).cast("string")))
+
+
 def continuation_groups(tables: DataFrame) -> DataFrame:
     """Tables (doc_id, table_no, title, columns) with ``first_no``: the table that each one continues, itself if none.
 
@@ -63,10 +109,9 @@ def continuation_groups(tables: DataFrame) -> DataFrame:
     """
     order = W.partitionBy("doc_id").orderBy("table_no")
     bare = label_key(F.regexp_replace("title", CONTINUED, " "))
-    heads = F.transform("columns", lambda x: F.concat_ws("|", label_key(x["group"]), label_key(x["leaf"])))
-    t = tables.withColumns({"bare": bare, "marked": F.coalesce(c("title").rlike(r"(?i)\(?(continued|cont'?d)"), F.lit(False)), "heads": heads})
+    t = tables.withColumns({"bare": bare, "marked": F.coalesce(c("title").rlike(r"(?i)\(?(continued|cont'?d)"), F.lit(False)), "heads": _printed_heads("columns")})
     before_bare, before_heads = F.lag("bare").over(order), F.lag("heads").over(order)
-    goes_on = c("marked") & (c("bare") == before_bare) & (F.size(F.array_except("heads", before_heads)) == 0) & (F.size(F.array_distinct("heads")) == F.size("heads"))
+    goes_on = c("marked") & (c("bare") == before_bare) & (F.size(F.array_except("heads", before_heads)) == 0)
     t = t.withColumn("start", ~F.coalesce(goes_on, F.lit(False)))
     return t.withColumn("first_no", F.last(F.when(c("start"), c("table_no")), True).over(order)).drop("bare", "marked", "heads", "start")
 
@@ -76,22 +121,38 @@ def merge_continuations(tables: DataFrame) -> DataFrame:
 
     Input: doc_id, table_no, title, columns, rows. The chain's parts are read in order; a printed document bounds a chain.
     """
-    t = continuation_groups(tables)
+    return _merged(continuation_groups(tables))
+
+
+def whole_tables(tables: DataFrame) -> DataFrame:
+    """Tables without those that continue others, whose rows stand in the first of their chain; only chains are rebuilt.
+
+    Input: as merge_continuations, and any other columns, which the first part gives.
+    """
+    keys = ["doc_id", "table_no"]
+    groups = continuation_groups(tables.select(*keys, "title", "columns"))
+    later = groups.where("first_no <> table_no").select(*keys, "first_no")
+    chained = groups.join(later.select("doc_id", "first_no").distinct(), ["doc_id", "first_no"], "left_semi").select(*keys, "first_no")
+    merged = _merged(tables.select(*keys, "title", "columns", "rows").join(chained, keys)).select(*keys, c("rows").alias("merged"))
+    return tables.join(later.select(*keys), keys, "left_anti").join(merged, keys, "left").withColumn("rows", F.coalesce("merged", "rows")).drop("merged")
+
+
+def _merged(t: DataFrame) -> DataFrame:
+    """merge_continuations of tables that have their first_no. Rows wider than their part's heading stay wider than the first's."""
+    fields = t.schema["rows"].dataType.elementType.names
     first = t.where("first_no = table_no").select("doc_id", "first_no", c("title").alias("first_title"), c("columns").alias("first_columns"))
-    parts = t.join(first, ["doc_id", "first_no"])
-    name = lambda x: F.concat_ws("|", label_key(x["group"]), label_key(x["leaf"]))
-    at = F.transform("first_columns", lambda x: F.array_position(F.transform("columns", name), name(x)).cast("int"))
-    rows = parts.select("doc_id", "first_no", "table_no", "first_title", "first_columns", at.alias("at"), F.posexplode_outer("rows").alias("i", "r"))
-    laid = F.transform("at", lambda p: F.when(p > 0, F.get(c("r.values"), p - 1)))
-    order = W.partitionBy("doc_id", "first_no").orderBy("table_no", "i")
-    heads = F.coalesce((c("r.row_type") != "section_header") & (F.lead("r.level").over(W.partitionBy("doc_id", "table_no").orderBy("i")) > c("r.level")), F.lit(False))
-    rows = rows.withColumns({"heads": heads, "laid": F.when(c("table_no") == c("first_no"), c("r.values")).otherwise(laid)})
-    rows = rows.withColumn("upto", F.sum(c("heads").cast("int")).over(order))
-    shift = rows.groupBy("doc_id", "first_no", "table_no").agg((F.min(c("upto") - c("heads").cast("int"))).alias("shift"))
-    rows = rows.join(shift, ["doc_id", "first_no", "table_no"])
-    number = F.regexp_extract(F.lower(F.trim(c("r.parent"))), r"^h(\d+)$", 1)
-    parent = F.when(number != "", F.concat(F.lit("h"), (number.try_cast("int") + c("shift")).cast("string"))).otherwise(c("r.parent"))
-    row = F.struct(*[c("laid").alias("values") if f == "values" else parent.alias("parent") if f == "parent" else c(f"r.{f}").alias(f) for f in tables.schema["rows"].dataType.elementType.names])
+    parts = t.join(first, ["doc_id", "first_no"]).withColumns({"heads_here": _printed_heads("columns"), "heads_first": _printed_heads("first_columns")})
+    at = F.transform("heads_first", lambda x: F.array_position("heads_here", x).cast("int"))
+    rows = parts.select("doc_id", "first_no", "table_no", "first_title", "first_columns", F.size("columns").alias("width"), at.alias("at"), F.posexplode_outer("rows").alias("i", "r"))
+    there = F.size(c("r.values"))
+    none = F.get(c("r.values"), there)  # beyond the end: a null of the values' type
+    laid = F.when(there <= 0, c("r.values")).when(there > c("width"), F.concat(c("r.values"), F.transform("at", lambda p: none))).otherwise(F.transform("at", lambda p: F.when(p > 0, F.get(c("r.values"), p - 1))))
+    order = W.partitionBy("doc_id", "first_no", c("i").isNull()).orderBy("table_no", "i")
+    part = W.partitionBy("doc_id", "first_no", "table_no")
+    # the last row of a part may come to head the next one's rows: numbers are those of the whole chain
+    rows = rows.withColumns({"heads": _heads_block(c("r.row_type"), c("r.level"), order).cast("int"), "own": _heads_block(c("r.row_type"), c("r.level"), part.orderBy("i")).cast("int"), "laid": F.when(c("table_no") == c("first_no"), c("r.values")).otherwise(laid)})
+    rows = rows.withColumn("upto", F.sum("heads").over(order)).withColumns({"shift": F.min(c("upto") - c("heads")).over(part), "own": F.sum("own").over(part)})
+    row = _with_fields("r", fields, values=c("laid"), parent=_rebased(c("r.parent"), F.lit(1), c("own"), c("shift")))
     rows = rows.withColumn("row", F.when(c("i").isNotNull(), F.struct("table_no", "i", row.alias("row"))))
     merged = rows.groupBy("doc_id", "first_no").agg(F.first("first_title").alias("title"), F.first("first_columns").alias("columns"), F.array_sort(F.collect_list("row")).alias("x"), F.count_distinct("table_no").alias("parts"))
     return merged.select("doc_id", c("first_no").alias("table_no"), "title", "columns", F.transform("x", lambda y: y["row"]).alias("rows"), "parts")
