@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType
 
 
 def latest_by(df: DataFrame, keys: Sequence[str], order: Sequence[str], ties: Sequence[str]) -> DataFrame:
@@ -45,23 +47,44 @@ def fill_down(df: DataFrame, scope: Sequence[str], order: Sequence[str], value:
 
 
 def nearest_shallower(df: DataFrame, scope: Sequence[str], order: str, level: str, out: str, levels: int = 12) -> DataFrame:
-    """The ``order`` of the nearest earlier row of a strictly smaller level; levels from ``levels`` on count as one.
+    """The ``order`` of the nearest earlier row of a strictly smaller level.
 
-    The last place of every level is one window value; the greatest of those above the row's own level is its parent.
+    If all levels are from 0 to ``levels``, the last place of every level is one window value and the greatest of those
+    above the row's own level is its parent. If the data has others, a scope (one printed table) is one stack pass.
     """
+    low, high = df.agg(F.min(level), F.max(level)).first()
+    if low is not None and (low < 0 or high > levels):
+
+        def run(pdf: pd.DataFrame) -> pd.DataFrame:
+            pdf = pdf.sort_values(order)
+            stack, parents = [], []
+            for at, lv in zip(pdf[order], pdf[level]):
+                if pd.isna(lv):
+                    parents.append(None)
+                    continue
+                while stack and stack[-1][0] >= lv:
+                    stack.pop()
+                parents.append(stack[-1][1] if stack else None)
+                stack.append((lv, at))
+            return pdf.assign(**{out: pd.array(parents, dtype="Int64")})
+
+        return df.groupBy(*scope).applyInPandas(run, StructType([*df.schema.fields, StructField(out, df.schema[order].dataType)]))
     before = W.partitionBy(*scope).orderBy(order).rowsBetween(W.unboundedPreceding, -1)
-    seen = [F.when(F.col(level) > n, F.last(F.when(F.least(F.col(level), F.lit(levels)) == n, F.col(order)), True).over(before)) for n in range(levels)]
+    seen = [F.when(F.col(level) > n, F.last(F.when(F.col(level) == n, F.col(order)), True).over(before)) for n in range(max(levels, 2))]
     return df.withColumn(out, F.greatest(*seen))
 
 
-def level_parent(df: DataFrame, scope: Sequence[str], order: str, level: str, out: str, eligible: Column | None = None, levels: int = 12) -> DataFrame:
-    """The ``order`` of the nearest earlier ``eligible`` row of the level just above the row's own, whatever lies between."""
-    before = W.partitionBy(*scope).orderBy(order).rowsBetween(W.unboundedPreceding, -1)
+def level_parent(df: DataFrame, scope: Sequence[str], order: str, level: str, out: str, eligible: Column | None = None) -> DataFrame:
+    """The ``order`` of the nearest earlier ``eligible`` row of the level just above the row's own, whatever lies between.
+
+    Rows answer for their own level and ask for the one above: one window keyed by the level, for levels of any depth.
+    """
     may = F.lit(True) if eligible is None else eligible
-    found = F.lit(None).cast(df.schema[order].dataType)
-    for n in range(levels):
-        found = F.when(F.col(level) == n + 1, F.last(F.when((F.col(level) == n) & may, F.col(order)), True).over(before)).otherwise(found)
-    return df.withColumn(out, found)
+    answers = df.where(may & F.col(level).isNotNull()).select(*scope, F.col(level).alias("__level"), F.col(order).alias("__at"), F.lit(True).alias("__answers"))
+    asks = df.withColumns({"__level": F.col(level) - 1, "__at": F.col(order), "__answers": F.lit(False)})
+    before = W.partitionBy(*scope, "__level").orderBy("__at", "__answers").rowsBetween(W.unboundedPreceding, -1)
+    both = asks.unionByName(answers, allowMissingColumns=True)
+    return both.withColumn(out, F.last(F.when(F.col("__answers"), F.col("__at")), True).over(before)).where(~F.col("__answers")).drop("__level", "__at", "__answers")
 
 
 def strict_mode(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:

@@ -11,6 +11,7 @@ from ledgerloom.functions.text import label_key, plain, slug, squeeze, strip_foo
 from ledgerloom.functions.units import unit_of_heading, with_stated_unit
 from ledgerloom.functions.values import cell_number, cell_state
 from ledgerloom.operators.axes import AXES, column_members, resolve
+from ledgerloom.operators.generic import level_parent
 from ledgerloom.operators.hierarchy import table_links
 from ledgerloom.operators.structure import split_captions, whole_tables
 from ledgerloom.operators.totals import total_columns, verified_totals
@@ -94,14 +95,10 @@ def row_parents(rows: DataFrame, links: DataFrame, sums: DataFrame) -> DataFrame
     base = rows.select(*KEY, "row_id", "row_type", "level").join(heads, [*KEY, "row_id"], "left")
     base = base.withColumn("heads", (F.lead("level").over(order) > c("level")) & c("adds").isNull())
     kind = F.coalesce("row_type", F.lit("data"))
-    before = order.rowsBetween(W.unboundedPreceding, -1)
-    found = F.lit(None).cast("int")
-    for n in range(12):
-        may = (c("level") == n) & ((kind != "total") | F.coalesce("heads", F.lit(False)))
-        notes = F.last(F.when(may, c("row_id")), True).over(before)
-        data = F.last(F.when(may & (kind != "note"), c("row_id")), True).over(before)
-        found = F.when(c("level") == n + 1, F.when(kind == "note", notes).otherwise(data)).otherwise(found)
-    base = base.withColumn("by_place", found)
+    may = (kind != "total") | F.coalesce("heads", F.lit(False))
+    base = level_parent(base, KEY, "row_id", "level", "notes", may)
+    base = level_parent(base, KEY, "row_id", "level", "data", may & (kind != "note"))
+    base = base.withColumn("by_place", F.when(kind == "note", c("notes")).otherwise(c("data")))
     printed = links.join(base.select(*KEY, c("row_id").alias("up"), c("level").alias("up_level")), [*KEY, "up"])
     out = base.join(printed.select(*KEY, "row_id", "up", "up_level"), [*KEY, "row_id"], "left")
     return out.select(*KEY, "row_id", F.when(c("up_level") < c("level"), c("up")).otherwise(c("by_place")).alias("row_parent"))
