@@ -15,7 +15,7 @@ from ledgerloom.functions.units import with_stated_unit
 from ledgerloom.functions.values import cell_number, cell_state, expand_pages
 from ledgerloom.operators import axes as A
 from ledgerloom.operators import generic as G
-from ledgerloom.runtime import small_side, table
+from ledgerloom.runtime import small_side, stage, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -251,13 +251,19 @@ w AS (SELECT doc_id, table_id, row_id, p, l AS path, 1 AS depth FROM r UNION ALL
 SELECT doc_id, table_id, row_id, arg_max(path, depth) AS lineage, max(depth) AS depth FROM w GROUP BY 1, 2, 3
 """)
 def lineage_path(spark: SparkSession, d: str) -> DataFrame:
-    """Labels from the root row down to each row: the chain of at most 12 parents, by doubling joins."""
+    """Labels from the root row down to each row: the whole chain of parents, by doubling joins. A chain that never ends is an error."""
     rows = table(spark, d, "row_dim").groupBy("doc_id", "table_id", "row_id").agg(F.min("row_parent").alias("ptr"), F.min("row_leaf_label").alias("path")).withColumn("depth", F.lit(1))
     known = rows.select("doc_id", "table_id", c("row_id").alias("ptr"), F.lit(True).alias("known"))
     rows = rows.join(known, ["doc_id", "table_id", "ptr"], "left").select("doc_id", "table_id", "row_id", F.when(c("known"), c("ptr")).alias("ptr"), "path", "depth")
-    for _ in range(4):
+    most = rows.groupBy("doc_id", "table_id").count().agg(F.max("count")).first()[0] or 0
+    for _ in range(most.bit_length() + 1):
+        rows = stage(rows)
+        if rows.where("ptr is not null").isEmpty():
+            break
         ahead = rows.select("doc_id", "table_id", c("row_id").alias("ptr"), c("ptr").alias("next"), c("path").alias("above"), c("depth").alias("more"))
         rows = rows.join(ahead, ["doc_id", "table_id", "ptr"], "left").select("doc_id", "table_id", "row_id", c("next").alias("ptr"), F.when(c("more").isNull(), c("path")).otherwise(F.concat(c("above"), F.lit(" > "), c("path"))).alias("path"), (c("depth") + F.coalesce("more", F.lit(0))).alias("depth"))
+    else:
+        raise ValueError("rows of row_dim name each other as parents in a circle")
     return rows.select("doc_id", "table_id", "row_id", c("path").alias("lineage"), "depth")
 
 
