@@ -549,9 +549,11 @@ def axis_stamps(spark: SparkSession, d: str) -> DataFrame:
 WITH {_CELL} SELECT doc_id, table_id, row_id, arg_min(value_num, (doc_id, col_id)) FILTER (col_id = 1 AND value_num IS NOT NULL) AS c1, arg_min(value_num, (doc_id, col_id)) FILTER (col_id = 2 AND value_num IS NOT NULL) AS c2, arg_min(value_num, (doc_id, col_id)) FILTER (col_id = 3 AND value_num IS NOT NULL) AS c3, arg_min(value_num, (doc_id, col_id)) FILTER (col_id = 4 AND value_num IS NOT NULL) AS c4 FROM v GROUP BY 1, 2, 3
 """)
 def pivot_first(spark: SparkSession, d: str) -> DataFrame:
-    """Printed tables: one row a printed row, its first four columns side by side."""
-    wide = cells(spark, d).groupBy("doc_id", "table_id", "row_id").pivot("col_id", [1, 2, 3, 4]).agg(F.min_by("value_num", F.when(c("value_num").isNotNull(), c("col_id"))))
-    return wide.select("doc_id", "table_id", "row_id", *[c(str(i)).alias(f"c{i}") for i in range(1, 5)])
+    """Printed tables: one row a printed row, all its columns side by side, at least four."""
+    base = cells(spark, d)
+    columns = sorted({1, 2, 3, 4} | {r[0] for r in base.where("col_id is not null").select("col_id").distinct().collect()})
+    wide = base.groupBy("doc_id", "table_id", "row_id").pivot("col_id", columns).agg(F.min_by("value_num", F.when(c("value_num").isNotNull(), c("col_id"))))
+    return wide.select("doc_id", "table_id", "row_id", *[c(str(i)).alias(f"c{i}") for i in columns])
 
 
 @query("""

@@ -17,3 +17,10 @@ def test_lineage_of_deep_rows(spark, tmp_path):
 def test_lineage_in_a_circle(spark, tmp_path):
     with pytest.raises(ValueError):
         lineage(spark, tmp_path, [(1, 2), (2, 1), (3, None)])
+
+
+def test_pivot_keeps_every_column(spark, tmp_path):
+    rows = [("d", "t", 1, i, float(i)) for i in (1, 2, 5, 100)]
+    spark.createDataFrame(rows, "doc_id string, table_id string, row_id int, col_id int, value_num double").write.parquet(f"{tmp_path}/v_cell.parquet")
+    got = QUERIES["pivot_first"](spark, str(tmp_path)).collect()[0].asDict()
+    assert got == {"doc_id": "d", "table_id": "t", "row_id": 1, "c1": 1.0, "c2": 2.0, "c3": None, "c4": None, "c5": 5.0, "c100": 100.0}
