@@ -156,13 +156,19 @@ class QuerySpec:
     problems: tuple[str, ...] = field(default=())
 
 
+#: Most names of one kind that are read to check a spec.
+MOST_NAMES = 50_000
+
+
 def validate_spec(spec: QuerySpec, facts: DataFrame, most: int = 12) -> QuerySpec:
     """The spec completed: unknown names named with close ones, turned ranges put right, no more than ``most`` concepts.
 
     The registry of names is what ``facts`` have; it is as small as the dictionary, and read once.
     """
-    names = sorted(r[0] for r in facts.select("concept_key").where("concept_key is not null").distinct().limit(50_000).collect())
-    houses = sorted(r[0] for r in facts.select("institution").where("institution is not null").distinct().limit(50_000).collect())
+    names = sorted(r[0] for r in facts.select("concept_key").where("concept_key is not null").distinct().limit(MOST_NAMES + 1).collect())
+    houses = sorted(r[0] for r in facts.select("institution").where("institution is not null").distinct().limit(MOST_NAMES + 1).collect())
+    if max(len(names), len(houses)) > MOST_NAMES:
+        raise ValueError(f"more than {MOST_NAMES} names of concepts or institutions")
     problems, good = [], []
     for have, known, what in ((spec.concepts, names, "concept"), (spec.institutions, houses, "institution")):
         kept = []

@@ -84,7 +84,9 @@ FROM d LEFT JOIN n ON n.institution = d.institution AND n.concept_key = d.concep
 def coverage_matrix(spark: SparkSession, d: str) -> DataFrame:
     """What is missing of each declared concept at each institution."""
     filings = table(spark, d, "filing").select("doc_id", "institution")
-    concepts = [r[0] for r in table(spark, d, "concept_map").where("table_type <> '*'").select("concept_key").distinct().limit(BROADCAST_ROWS).collect()]  # the reference list, of fixed size
+    concepts = [r[0] for r in table(spark, d, "concept_map").where("table_type <> '*'").select("concept_key").distinct().limit(BROADCAST_ROWS + 1).collect()]  # the reference list, of fixed size
+    if len(concepts) > BROADCAST_ROWS:
+        raise ValueError(f"more than {BROADCAST_ROWS} concepts are declared")
     declared = filings.select("institution").distinct().select("institution", F.explode(F.array(*[F.lit(x) for x in concepts])).alias("concept_key"))
     rows = table(spark, d, "row_dim").select("doc_id", "table_id", "row_id", "concept_key", F.nullif("canonical_leaf_id", F.lit("")).alias("canonical_leaf_id")).distinct().join(filings, "doc_id")
     return M.coverage_matrix(declared, rows, _cells(spark, d))

@@ -1,5 +1,7 @@
 import pytest
 
+from ledgerloom.operators import serving as S
+from ledgerloom.plans import metric_queries
 from ledgerloom.plans.engine_queries import QUERIES
 
 
@@ -24,3 +26,14 @@ def test_pivot_keeps_every_column(spark, tmp_path):
     spark.createDataFrame(rows, "doc_id string, table_id string, row_id int, col_id int, value_num double").write.parquet(f"{tmp_path}/v_cell.parquet")
     got = QUERIES["pivot_first"](spark, str(tmp_path)).collect()[0].asDict()
     assert got == {"doc_id": "d", "table_id": "t", "row_id": 1, "c1": 1.0, "c2": 2.0, "c3": None, "c4": None, "c5": 5.0, "c100": 100.0}
+
+
+def test_long_lists_are_not_cut(spark, tmp_path, monkeypatch):
+    spark.createDataFrame([("d", "A")], "doc_id string, institution string").write.parquet(f"{tmp_path}/filing.parquet")
+    spark.createDataFrame([("x", f"c{i}") for i in range(3)], "table_type string, concept_key string").write.parquet(f"{tmp_path}/concept_map.parquet")
+    monkeypatch.setattr(metric_queries, "BROADCAST_ROWS", 2)
+    with pytest.raises(ValueError):
+        metric_queries.QUERIES["coverage_matrix"](spark, str(tmp_path))
+    monkeypatch.setattr(S, "MOST_NAMES", 2)
+    with pytest.raises(ValueError):
+        S.validate_spec(S.QuerySpec(("c0",)), spark.createDataFrame([(f"c{i}", "A") for i in range(3)], "concept_key string, institution string"))
