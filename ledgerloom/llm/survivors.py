@@ -32,12 +32,12 @@ def survivors(records: DataFrame, keys: list[str], fields: list[str], precedence
     return rows.select(*keys, "c.field_name", *[F.col(f"c.pick.id_{x}").alias(x) for x in identity])
 
 
-def discover_truth(claims: DataFrame, keys: list[str], prior: dict[str, float] | None = None, rounds: int = 12, within: float = 1e-3) -> tuple[DataFrame, DataFrame]:
+def discover_truth(claims: DataFrame, keys: list[str], prior: dict[str, float] | None = None, rounds: int = 100, within: float = 1e-3) -> tuple[DataFrame, DataFrame]:
     """Iterative truth discovery: (truths, reliability of sources), from claims (keys, field_name, value, source).
 
     Values are voted for with the reliability of their sources, and a source's reliability is its share of votes
     cast for the current truths (smoothed); the two are estimated in turn until no reliability moves more than
-    ``within``, at most ``rounds`` times. Equal votes go to the smaller value. Claims are first counted by key,
+    ``within``; if some still does after ``rounds`` rounds, that is an error. Equal votes go to the smaller value. Claims are first counted by key,
     field, value and source, so a hot key or source is combined before it is shuffled. Null values make no
     claim; a null source is the source ''; no claims give empty results.
     """
@@ -63,6 +63,8 @@ def discover_truth(claims: DataFrame, keys: list[str], prior: dict[str, float] |
         weights = cut(both.select("source", F.least(F.lit(0.999), F.col("now")).alias("weight")))
         if moved is None or moved <= within:
             break
+    else:
+        raise RuntimeError(f"reliabilities still move by {moved} after {rounds} rounds")
     return truths.withColumn("confidence", F.when(F.col("total") > 0, F.col("support") / F.col("total"))).drop("total"), weights.withColumnRenamed("weight", "reliability")
 
 
