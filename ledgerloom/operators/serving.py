@@ -30,10 +30,19 @@ def servable(facts: DataFrame) -> DataFrame:
     return facts.where("canonical_leaf_id is not null and table_type_id is not null and col_role is null and period is not null and value_num is not null and coalesce(legal_entity, 'CONSOLIDATED') = 'CONSOLIDATED'")
 
 
+#: The member of each axis that means the whole book. Fixed values.
+WHOLE = {"segment_key": "SEG_TOTAL", "geo_key": "GLOBAL", "industry_key": "IND_TOTAL"}
+
+
+def whole_book_named(facts: DataFrame) -> DataFrame:
+    """Facts whose null and blank axes name the whole book, as they mean it."""
+    return facts.withColumns({k: F.coalesce(F.nullif(F.trim(k), F.lit("")), F.lit(v)) for k, v in WHOLE.items()})
+
+
 def latest_facts(facts: DataFrame) -> DataFrame:
-    """One fact for each address, period and slice: of the filing with the latest period, then by place."""
-    keys = ["institution", "table_type_id", "canonical_leaf_id", "period", "period_span", "canonical_col_id", "geo_key", "segment_key", "industry_key"]
-    return latest_by(facts, keys, ["doc_period"], ["doc_id", "table_id", "row_id", "col_id"])
+    """One fact for each address, period and slice: of the filing with the latest period, then by place. A null axis is the whole book's slice."""
+    keys = ["institution", "table_type_id", "canonical_leaf_id", "period", "period_span", "canonical_col_id", *WHOLE]
+    return latest_by(whole_book_named(facts), keys, ["doc_period"], ["doc_id", "table_id", "row_id", "col_id"])
 
 
 def fiscal_axis(facts: DataFrame) -> DataFrame:
@@ -47,25 +56,43 @@ def fiscal_axis(facts: DataFrame) -> DataFrame:
     return best.select("label", "k.end", "k.span", F.row_number().over(order).alias("place"))
 
 
+def sliced(facts: DataFrame) -> DataFrame:
+    """Facts joined with members, only those of the one slice a member means.
+
+    A member without ``row_dim_key`` means the whole book on every axis; one with it means that member on the axis that has
+    it and the whole book on the others. Without ``canonical_col_id`` it means columns of the period axis, which have none.
+    """
+    named = [F.coalesce(c(k) == c("row_dim_key"), F.lit(False)) for k in WHOLE]
+    total = [c(k) == v for k, v in WHOLE.items()]
+    whole = F.when(c("row_dim_key").isNull(), total[0] & total[1] & total[2])
+    for n, t, u in ((0, 1, 2), (1, 0, 2), (2, 0, 1)):
+        whole = whole.when(named[n], total[t] & total[u])
+    return facts.where(whole & c("canonical_col_id").eqNullSafe(c("member_col_id")))
+
+
 def compose_items(facts: DataFrame, anchors: DataFrame, axis: DataFrame) -> DataFrame:
     """(bank, concept, label, value, members, declared, complete, unit, parts): anchored items on the axis, composed a bank at a time.
 
-    ``anchors``: concept, bank, table_type_id, canonical_leaf_id, sign, member_ordinal, filter_by. Facts of one address and
-    date that a date-placed member states several times count once. A missing member is not read as 0 unseen: complete
-    says so. Banks are keys, so that one bank's members never add to another's.
+    ``anchors``: concept, bank, table_type_id, canonical_leaf_id, sign, member_ordinal, filter_by, and, if members are cut
+    by column or by axis, canonical_col_id and row_dim_key. Each member has one fact on a column of the axis, of the slice
+    it means (``sliced``): the whole book stated with and without its axes, or a balance stated under several spans, counts
+    once; slices never add up to it. A missing member is not read as 0 unseen: complete says so. Banks are keys, so that one
+    bank's members never add to another's.
     """
     anchors = anchors.withColumn("mode", resolve_filter())
-    declared = anchors.groupBy("bank", "concept").agg(F.count("*").alias("declared"))
-    rows = facts.join(small_side(anchors.drop("filter_by")), ADDRESS)
+    for name in ("canonical_col_id", "row_dim_key"):
+        anchors = anchors.withColumn(name, F.nullif(F.trim(name), F.lit("")) if name in anchors.columns else F.lit(None).cast("string"))
+    declared = anchors.groupBy("bank", "concept").agg(F.count_distinct("member_ordinal").alias("declared"))
+    members = anchors.withColumnRenamed("canonical_col_id", "member_col_id").drop("filter_by")
+    rows = sliced(whole_book_named(facts).join(small_side(members), ADDRESS))
     axis = small_side(axis)
     flows = rows.where("mode = 'period_label'").withColumn("label", period_label(c("period"), c("period_span"))).join(axis.select("label"), "label")
-    slices = ["bank", "concept", "member_ordinal", "table_type_id", "canonical_leaf_id", "period", "segment_key", "industry_key"]
-    stocks = latest_by(rows.where("mode = 'period_end_date'"), slices, ["doc_period"], ["period_span", "doc_id", "table_id", "row_id", "col_id"])
-    stocks = stocks.join(axis.select("label", c("end").alias("closes")), c("period") == c("closes")).drop("closes").select(*flows.columns)
-    placed = flows.unionByName(stocks)
+    stocks = rows.where("mode = 'period_end_date'").join(axis.select("label", c("end").alias("closes")), c("period") == c("closes")).drop("closes").select(*flows.columns)
+    placed = flows.unionByName(stocks).withColumn("rank", span_rank(c("period_span")))
+    one = latest_by(placed, ["bank", "concept", "member_ordinal", "label"], ["doc_period"], ["rank", "period_span", "doc_id", "table_id", "row_id", "col_id"])
     value = c("sign") * c("value_num").cast("decimal(28,4)")
-    out = placed.groupBy("bank", "concept", "label").agg(
-        F.sum(value).cast("double").alias("value"), F.count_distinct("member_ordinal").alias("members"), F.min_by("unit", "member_ordinal").alias("unit"),
+    out = one.groupBy("bank", "concept", "label").agg(
+        F.sum(value).cast("double").alias("value"), F.count("*").alias("members"), F.min_by("unit", "member_ordinal").alias("unit"),
         F.array_join(F.array_sort(F.collect_set(F.concat(F.when(c("sign") < 0, "-").otherwise("+"), "canonical_leaf_id"))), " ").alias("parts"),
     )
     return out.join(declared, ["bank", "concept"]).withColumn("complete", c("members") == c("declared"))

@@ -16,9 +16,16 @@ QUERIES, ORACLES = {}, {}
 c = F.col
 
 
-def query(f):
-    QUERIES[f.__name__] = f
-    return f
+def query(f=None, sql: str | None = None):
+    """Registers a query under its function's name, with the SQL it is held against where there is any."""
+
+    def register(g):
+        QUERIES[g.__name__] = g
+        if sql:
+            ORACLES[g.__name__] = sql
+        return g
+
+    return register(f) if f else register
 
 
 def units(spark: SparkSession, d: str) -> DataFrame:
@@ -148,20 +155,43 @@ def _anchors(facts: DataFrame) -> DataFrame:
     return banks.select("bank", F.explode(declared).alias("a")).select("bank", "a.*", F.lit(None).cast("string").alias("filter_by"))
 
 
-@query
+_SPANS = "('1Q', '2Q', '3Q', '4Q', '1H', '2H', '9M', 'FY')"
+_SERVED_SQL = rf"""
+s AS (SELECT v.institution bank, upper(CASE WHEN table_type = 'balance' THEN 'fs_balance' ELSE table_type END) kind, concept_key leaf, period, period_span, coalesce(nullif(trim(geo_key), ''), 'GLOBAL') geo, coalesce(nullif(trim(segment_key), ''), 'SEG_TOTAL') seg,
+ coalesce(nullif(trim(industry_key), ''), 'IND_TOTAL') ind, value_num, unit, doc_period, v.doc_id, table_id, row_id, col_id
+ FROM (SELECT DISTINCT * FROM v_cell) v LEFT JOIN (SELECT doc_id, doc_period FROM filing) USING (doc_id)
+ WHERE concept_key IS NOT NULL AND table_type IS NOT NULL AND period IS NOT NULL AND value_num IS NOT NULL AND coalesce(legal_entity, 'CONSOLIDATED') = 'CONSOLIDATED' AND NOT coalesce(regexp_matches(col_leaf_label, '(?i)^\s*(\+\s*/|change|movement)'), false)),
+l AS (SELECT * FROM s QUALIFY row_number() OVER (PARTITION BY bank, kind, leaf, period, period_span, geo, seg, ind ORDER BY doc_period DESC NULLS LAST, doc_id, table_id, row_id, col_id) = 1),
+x0 AS (SELECT DISTINCT period, period_span, coalesce(period_span IN {_SPANS}, false) flow FROM l),
+x1 AS (SELECT period, period_span, CASE WHEN flow THEN period_span || strftime(period, '%y') ELSE strftime(period, '%d-%b-%y') END lab, CASE WHEN period_span IN ('1Q', '2Q', '3Q', '4Q', '1H', '2H') THEN 0 WHEN period_span = '9M' THEN 1 WHEN period_span = 'FY' THEN 2 ELSE 3 END rk FROM x0 WHERE flow OR NOT (SELECT max(flow) FROM x0)),
+x AS (SELECT lab, period fin, period_span, row_number() OVER (ORDER BY period, rk, lab) place FROM (SELECT * FROM x1 QUALIFY row_number() OVER (PARTITION BY lab ORDER BY period, rk, period_span) = 1))"""
+_ANCHOR_SQL = "a(concept, kind, leaf, sign, ord) AS (VALUES " + ", ".join(f"('{n}', '{t}', '{f}', {s}, {o})" for n, t, f, s, o in ANCHORS) + ")"
+
+
+@query(sql=f"""
+WITH {_SERVED_SQL}, {_ANCHOR_SQL}, f AS (SELECT l.*, concept, sign, ord, CASE WHEN a.kind LIKE 'FS_BALANCE%' THEN 1 ELSE 0 END dated FROM l JOIN a USING (kind, leaf) WHERE geo = 'GLOBAL' AND seg = 'SEG_TOTAL' AND ind = 'IND_TOTAL'),
+p AS (SELECT f.*, x.lab, CASE WHEN f.period_span IN ('1Q', '2Q', '3Q', '4Q', '1H', '2H') THEN 0 WHEN f.period_span = '9M' THEN 1 WHEN f.period_span = 'FY' THEN 2 ELSE 3 END rk FROM f JOIN x ON CASE WHEN dated = 1 THEN f.period = x.fin ELSE x.lab = CASE WHEN f.period_span IN {_SPANS} THEN f.period_span || strftime(f.period, '%y') ELSE strftime(f.period, '%d-%b-%y') END END),
+o AS (SELECT * FROM p QUALIFY row_number() OVER (PARTITION BY bank, concept, ord, lab ORDER BY doc_period DESC NULLS LAST, rk, period_span, doc_id, table_id, row_id, col_id) = 1),
+n AS (SELECT concept, count(*) declared FROM a GROUP BY 1)
+SELECT bank, concept, lab AS label, sum(sign * value_num::DECIMAL(28,4))::DOUBLE AS value, count(*) AS members, (array_agg(unit ORDER BY ord))[1] AS unit, string_agg(DISTINCT CASE WHEN sign < 0 THEN '-' ELSE '+' END || leaf, ' ' ORDER BY CASE WHEN sign < 0 THEN '-' ELSE '+' END || leaf) AS parts, declared, count(*) = declared AS complete
+FROM o JOIN n USING (concept) GROUP BY bank, concept, lab, declared
+""")
 def serve_items(spark: SparkSession, d: str) -> DataFrame:
     """Anchored items of every institution on the fiscal axis, with the share of members that are there."""
     facts = _served(spark, d)
     return S.compose_items(facts, _anchors(facts), S.fiscal_axis(facts))
 
 
-@query
+@query(sql=f"WITH {_SERVED_SQL} SELECT lab AS label, fin AS \"end\", period_span AS span, place FROM x")
 def serve_axis(spark: SparkSession, d: str) -> DataFrame:
     """The fiscal axis."""
     return S.fiscal_axis(_served(spark, d))
 
 
-@query
+@query(sql=f"""
+WITH {_SERVED_SQL}, {_ANCHOR_SQL}, b AS (SELECT DISTINCT bank FROM l)
+SELECT b.bank, a.kind AS table_type_id, a.leaf AS canonical_leaf_id, count(l.doc_id) AS hits, count(DISTINCT l.doc_id) AS docs, max(l.period) AS latest FROM b CROSS JOIN a LEFT JOIN l ON l.bank = b.bank AND l.kind = a.kind AND l.leaf = a.leaf GROUP BY 1, 2, 3
+""")
 def serve_coverage(spark: SparkSession, d: str) -> DataFrame:
     """Anchors with hits, filings and latest period."""
     facts = _served(spark, d)

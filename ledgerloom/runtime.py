@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import atexit
+import contextlib
 import os
+import shutil
 import tempfile
 import uuid
 
@@ -18,17 +21,49 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+#: Folders that ``stage`` wrote and that are still there.
+_STAGED: list[str] = []
+
+
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share: spark.checkpoint.dir. Only where it is unset (tests) one is made."""
+    """The folder all executors share: spark.checkpoint.dir. Where it is unset a local session makes one, which ends with it; a cluster cannot do without."""
     named = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
     if named:
         return named
     context = spark.sparkContext
     if context._jsc.sc().getCheckpointDir().isEmpty():
-        context.setCheckpointDir(tempfile.mkdtemp(prefix="ledgerloom-"))
+        if not context.master.startswith("local") or context.master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        own = tempfile.mkdtemp(prefix="ledgerloom-")
+        atexit.register(shutil.rmtree, own, ignore_errors=True)
+        context.setCheckpointDir(own)
     return context._jsc.sc().getCheckpointDir().get()
 
 
+def remove(spark: SparkSession, path: str) -> bool:
+    """Deletes a folder of any file system Spark writes to."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
+
+
+def release(spark: SparkSession) -> int:
+    """Deletes what ``stage`` wrote so far; frames read from it must no longer be used. Runs by itself when the program ends."""
+    done = 0
+    while _STAGED:
+        with contextlib.suppress(Exception):  # a session that has ended cannot delete; its folder is the cluster's to clear
+            done += remove(spark, _STAGED.pop())
+    return done
+
+
+def _release_last() -> None:
+    spark = SparkSession.getActiveSession() if _STAGED else None
+    if spark is not None:
+        release(spark)
+
+
+atexit.register(_release_last)
+
+
 def cut(df: DataFrame) -> DataFrame:
     """The frame with its lineage cut by a reliable checkpoint that outlives the loss of an executor."""
     shared_dir(df.sparkSession)
@@ -40,6 +75,7 @@ def stage(df: DataFrame, *partition_by: str) -> DataFrame:
     spark = df.sparkSession
     path = os.path.join(shared_dir(spark), f"stage-{uuid.uuid4().hex}")
     writer = df.write.mode("overwrite")
+    _STAGED.append(path)
     (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

@@ -7,15 +7,25 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ledgerloom.runtime import remove, stage
 
-def reload(df: DataFrame, path: str, partition: str = "doc_id", check: Callable[[DataFrame], DataFrame] | None = None) -> None:
+
+def reload(df: DataFrame, path: str, partition: str = "doc_id", check: Callable[[DataFrame], DataFrame] | None = None, touched: DataFrame | None = None) -> None:
     """Replaces only the partitions of ``df``, after ``check`` (violations of the frame) came out empty.
 
-    A second run with the same rows leaves the same table.
+    ``touched`` (column ``partition``) are the partitions that are loaded anew, of which ``df`` may have no rows any more:
+    what they had before goes. The frame is computed once. A second run with the same rows leaves the same table.
     """
+    df = stage(df)
     if check is not None and (bad := check(df).limit(5).collect()):
         raise ValueError(f"not written, violations: {bad}")
     df.repartition(F.col(partition)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(partition).parquet(path)
+    if touched is not None:
+        spark = df.sparkSession
+        name = spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.getPartitionPathString
+        emptied = touched.select(F.col(partition).cast("string")).distinct().join(df.select(F.col(partition).cast("string")).distinct(), partition, "left_anti")
+        for row in emptied.toLocalIterator():
+            remove(spark, f"{path}/{name(partition, row[0])}")
 
 
 def project(df: DataFrame, columns: dict[str, str]) -> DataFrame:

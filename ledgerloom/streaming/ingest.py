@@ -11,21 +11,27 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from ledgerloom.operators.load import build_star
+from ledgerloom.runtime import stage
 from ledgerloom.sources.sinks import reload
 
 
 def ingest_units(spark: SparkSession, source: str, schema: str, filings: DataFrame, target: str, checkpoint: str, members: DataFrame | None = None) -> StreamingQuery:
-    """Loads each micro-batch of units (parquet with unit_id, doc_id, tables) into the fact table under ``target``.
+    """Loads micro-batches of units (parquet with unit_id, doc_id, tables) into the fact table under ``target``.
 
-    The batch loader runs in foreachBatch and replaces whole filings, so a batch that is run again does no harm.
+    Units are kept under ``target``/units, one folder a batch, and a batch loads its filings anew from all their units so
+    far, of which the last delivered counts: a filing may come in any number of batches, in any order, and a batch that is
+    run again does no harm. Filings that a reload leaves without facts or warnings lose the old ones.
     ``members`` (axes.member_map) tells which axis members labels name.
     """
 
-    def load(batch: DataFrame, _: int) -> None:
-        units = batch.select("unit_id", "doc_id", "tables").dropDuplicates(["unit_id"])
-        star = build_star(units, filings, members=members)
-        reload(star["cell_fact"], f"{target}/cell_fact")
-        reload(star["load_warning"], f"{target}/load_warning")
+    def load(batch: DataFrame, number: int) -> None:
+        batch.select("unit_id", "doc_id", "tables").withColumn("batch", F.lit(number).cast("long")).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch").parquet(f"{target}/units")
+        kept = spark.read.parquet(f"{target}/units")
+        touched = stage(kept.where(F.col("batch") == number).select("doc_id").distinct())
+        units = kept.join(touched, "doc_id", "left_semi").groupBy("unit_id").agg(F.max_by(F.struct("doc_id", "tables"), "batch").alias("u")).select("unit_id", "u.*")
+        star = build_star(stage(units), filings, {"cell_fact", "load_warning"}, members)
+        reload(star["cell_fact"], f"{target}/cell_fact", touched=touched)
+        reload(star["load_warning"], f"{target}/load_warning", touched=touched)
 
     stream = spark.readStream.schema(schema).parquet(source)
     return stream.writeStream.foreachBatch(load).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()

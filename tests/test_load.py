@@ -133,3 +133,19 @@ def test_streamed_events(spark, tmp_path):
     q = repeated_status(stream).writeStream.outputMode("update").format("memory").queryName("s").trigger(availableNow=True).start()
     q.awaitTermination(60)
     assert sorted(tuple(x) for x in spark.sql("select * from s").collect()) == [(0, "error", 2, True), (1, "view", 1, False)] or spark.sql("select count(*) from s").first()[0] == 2
+
+
+def test_filing_in_two_batches(spark, tmp_path):
+    """What an earlier batch loaded of a filing stays, a unit delivered again replaces itself, and emptied filings lose their rows."""
+    source, out = str(tmp_path / "in"), str(tmp_path / "out")
+    filings = spark.createDataFrame(FILINGS, "doc_id string, institution string, doc_period date")
+    batches = [[("u1", "d1", [INCOME]), ("u9", "d2", [INCOME])], [("u2", "d1", [INCOME])], [("u9", "d2", None), ("u2", "d1", [INCOME])]]
+    counts = []
+    for rows in batches:
+        spark.createDataFrame(rows, UNITS).coalesce(1).write.mode("append").parquet(source)
+        ingest_units(spark, source, UNITS, filings, out, str(tmp_path / "check")).awaitTermination(120)
+        counts.append({x["doc_id"]: x["count"] for x in spark.read.parquet(f"{out}/cell_fact").groupBy("doc_id").count().collect()})
+    one = counts[0]["d1"]
+    assert counts == [{"d1": one, "d2": one}, {"d1": 2 * one, "d2": one}, {"d1": 2 * one}]
+    at_once = build_star(spark.createDataFrame([("u1", "d1", [INCOME]), ("u2", "d1", [INCOME])], UNITS), filings)["cell_fact"]
+    assert at_once.count() == 2 * one

@@ -16,8 +16,7 @@ def duck():
     return verify.connect(SF)
 
 
-LLM = {"p3", "p6", "p7", "p8", "p9", "p10"}
-NAMES = [n for n in entry_module.queries() if n.split("_")[0] not in LLM]
+NAMES = [n for module in entry_module.CORE for n in module.QUERIES]
 
 
 @pytest.mark.parametrize("name", NAMES)

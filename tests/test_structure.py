@@ -172,3 +172,19 @@ def test_sources(spark, tmp_path):
     assert got == [(0, 0, 0, "H"), (0, 0, 1, "H"), (0, 0, 2, "R"), (0, 1, 0, "1"), (0, 1, 1, "2"), (0, 1, 2, "R"), (1, 0, 0, "z")]
     roots = spark.createDataFrame([("d", "b", 1, 5), ("d", "a", 1, 5), ("d", "c", 0, 9)], "doc_id string, path string, n_geometry int, n_units int")
     assert richest_root(roots).collect()[0]["path"] == "a"
+
+
+def test_slices_do_not_add_up(spark):
+    """The whole book stated with null axes and with total ones is one slice; a breakdown is not part of it."""
+    base = fact("a", 100.0)
+    named = base[:7] + ("GLOBAL", "SEG_TOTAL", "IND_TOTAL") + base[10:]
+    retail = base[:7] + (None, "RETAIL", " ") + base[10:12] + (60.0,) + base[13:]
+    both = base[:7] + ("SG", "RETAIL", None) + base[10:12] + (30.0,) + base[13:]
+    column = base[:4] + ("c1",) + base[5:12] + (7.0,) + base[13:]
+    facts = spark.createDataFrame([base, named[:15] + ("d0",) + named[16:], retail, both, column], FACT)
+    served = S.latest_facts(S.servable(facts))
+    axis = S.fiscal_axis(served)
+    schema = "concept string, bank string, table_type_id string, canonical_leaf_id string, sign int, member_ordinal int, filter_by string, canonical_col_id string, row_dim_key string"
+    anchors = spark.createDataFrame([("All", "B", "FS_INCOME", "a", 1, 1, None, None, None), ("Retail", "B", "FS_INCOME", "a", 1, 1, None, "", "RETAIL"), ("Column", "B", "FS_INCOME", "a", 1, 1, None, "c1", " "), ("Rest", "B", "FS_INCOME", "a", 1, 1, None, None, None), ("Rest", "B", "FS_INCOME", "a", -1, 2, None, None, "RETAIL")], schema)
+    got = {x["concept"]: (x["value"], x["complete"]) for x in S.compose_items(served, anchors, axis).collect()}
+    assert got == {"All": (100.0, True), "Retail": (60.0, True), "Column": (7.0, True), "Rest": (40.0, True)}
