@@ -5,71 +5,110 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from ledgerloom.functions.periods import let
-from ledgerloom.functions.text import plain, squeeze, strip_footnotes
+from ledgerloom.functions.periods import let, mere_period, read_period
+from ledgerloom.functions.text import plain, strip_footnotes
 
-#: Words that do not tell one kind of filing from another. Fixed values.
-FILLER = ["and", "of", "the", "for", "report", "document", "condensed", "interim", "unaudited", "audited"]
-_CONTINUED = r"(?i)\s*[(\[]?\s*cont(?:inued|['’]?d)\.?\s*[)\]]?\s*"
-_NUMBERING = r"^\s*\d+(?:\.\d+)*\.?\s+"
-_PERIOD_TAIL = r"(?i)\s*[—–-]\s*(?:(?:as\s+)?at\s+)?(?:\d{1,2}\s+)?(?:[a-z]{3,9}\s+)?(?:\d{4}|[1-4]Q\s*\d{2,4}|[12]H\s*\d{2,4}|FY\s*\d{2,4}|(?:half\s+)?year\s+ended.*)\s*$"
-_BREAKDOWN = r"(?i)\s*[—–]\s*((?:[a-z][\w\s/']*)?\bby\b[\w\s/']*)$"
+#: Words of a filing's name that do not tell its kind: small words, and how it was prepared. Fixed values.
+SMALL_WORDS = ["and", "for", "of", "the"]
+PREPARED = ["audited", "condensed", "interim", "report", "unaudited"]
+#: Figures raised above the line, which only ever number footnotes.
+RAISED = "⁰¹²³⁴⁵⁶⁷⁸⁹"
+_STRINGS = "array<string>"
+
+
+def _words(text: Column) -> Column:
+    """Runs of letters and figures of any script, lower case; null has none."""
+    return F.regexp_extract_all(F.lower(F.coalesce(text, F.lit(""))), F.lit(r"(?U)[\p{Alnum}\p{M}]+"), 0)
 
 
 def segment(label: Column, is_data: bool = True) -> Column:
-    """A label as one part of an identity: footnotes and (data) a closing year gone, lower case, underscores between words."""
-    t = F.regexp_replace(F.translate(label, "¹²³⁰⁴⁵⁶⁷⁸⁹", ""), r"\s+", " ")
-    t = F.regexp_replace(strip_footnotes(plain(t)), r"(?<=[a-zA-Z)])\s*\d{1,2}\s*$", "")
-    t = F.regexp_replace(t, r"\s*&\s*", " and ")
-    if is_data:
-        t = let(t, lambda x: F.coalesce(F.nullif(F.trim(F.regexp_replace(x, r"\s*(?:19|20)\d{2}\s*$", "")), F.lit("")), x))
-    return F.regexp_replace(F.regexp_replace(F.lower(t), r"(?U)[^\w]+", "_"), "^_+|_+$", "")
+    """A label as one part of an identity: its words joined by underscores, "&" read as "and".
+
+    Footnote marks go, also a figure glued to the last word; of data labels a year at the end goes too, unless it is all there is.
+    """
+    bare = strip_footnotes(plain(F.translate(label, RAISED, "")))
+    words = _words(F.replace(bare, F.lit("&"), F.lit(" and ")))
+
+    def joined(parts: Column) -> Column:
+        last = F.try_element_at(parts, F.lit(-1))
+        year = (F.size(parts) > 1) & last.rlike("^(?:19|20)[0-9]{2}$") if is_data else F.lit(False)
+        note = F.regexp_replace(last, r"(?<=\p{L})[0-9]{1,2}$", "")
+        number = (F.size(parts) > 1) & last.rlike("^[0-9]{1,2}$")
+        return F.when(F.size(parts) == 0, parts).when(year | number, F.slice(parts, F.lit(1), F.size(parts) - 1)).otherwise(F.concat(F.slice(parts, F.lit(1), F.size(parts) - 1), F.array(note)))
+
+    return F.when(label.isNotNull(), F.array_join(let(words, joined), "_"))
+
+
+def _is_mark(word: Column) -> Column:
+    """Whether a word says that a caption goes on from the page before."""
+    return F.regexp_replace(F.lower(word), r"[^a-z]", "").isin("cont", "contd", "continued")
+
+
+def _panels(caption: Column) -> Column:
+    """A caption's parts between dashes, with neither its number nor marks of continuation, nor parts that are only a period."""
+    words = F.filter(F.split(F.trim(caption), r"\s+"), lambda w: ~_is_mark(w) & (w != ""))
+    numbered = F.get(words, F.lit(0)).rlike(r"^[0-9]+(?:\.[0-9]+)*\.?$") & (F.size(words) > 1)
+    body = F.array_join(F.when(numbered, F.slice(words, F.lit(2), F.size(words))).otherwise(words), " ")
+    dated = lambda part: F.coalesce(mere_period(read_period(part, True)["rest"]), F.lit(False))
+    parts = F.filter(F.transform(F.split(body, r"[—–]| - "), lambda x: F.trim(x)), lambda x: x != "")
+    return F.filter(parts, lambda x, i: (i == 0) | ~dated(x))
 
 
 def caption_key(caption: Column) -> Column:
-    """A caption as a key: numbering, marks of continuation and a closing period gone."""
-    t = F.regexp_replace(F.regexp_replace(F.trim(F.regexp_replace(caption, r"\s+", " ")), _NUMBERING, ""), _CONTINUED, " ")
-    return segment(F.regexp_replace(t, _PERIOD_TAIL, ""), is_data=False)
+    """A caption as a key: the segments of its panels; numbering, marks of continuation and periods gone."""
+    return segment(F.array_join(_panels(caption), " "), is_data=False)
 
 
 def caption_parts(caption: Column) -> Column:
-    """struct(base, breakdown): "Loans — by industry" is the exhibit Loans broken down by industry."""
-    t = F.trim(F.regexp_replace(F.regexp_replace(F.regexp_replace(caption, _NUMBERING, ""), _CONTINUED, " "), _PERIOD_TAIL, ""))
-    hit = F.regexp_extract(t, _BREAKDOWN, 1)
-    base = F.trim(F.regexp_replace(t, _BREAKDOWN, ""))
-    split = (hit != "") & (base != "")
-    return F.struct(F.when(split, base).otherwise(t).alias("base"), F.when(split, F.trim(hit)).alias("breakdown"))
+    """struct(base, breakdown): "Loans — by industry" is the exhibit Loans broken down by industry.
+
+    The breakdown is the last panel if it is not the only one and has the word "by" in it.
+    """
+
+    def split(panels: Column) -> Column:
+        last = F.try_element_at(panels, F.lit(-1))
+        cut = (F.size(panels) > 1) & F.array_contains(_words(last), "by")
+        base = F.when(cut, F.slice(panels, F.lit(1), F.size(panels) - 1)).otherwise(panels)
+        return F.struct(F.array_join(base, " — ").alias("base"), F.when(cut, last).alias("breakdown"))
+
+    return let(_panels(caption), split)
 
 
 def caption_variants(caption: Column) -> Column:
-    """The caption stripped step by step, in order: as printed, its first line, without continuation, without date, without the panel behind a dash."""
-    first = F.trim(F.substring_index(caption, "\n", 1))
-    bare = squeeze(F.regexp_replace(first, _CONTINUED, " "))
-    dateless = F.trim(F.regexp_replace(bare, r"(?i)\s*(?:[-—–]\s*)?(?:for\s+the\s+.*|as\s+(?:at|of)\s+.*|\d{1,2}\s+[a-z]+\s+\d{4}.*)$", ""))
-    panel = F.trim(F.regexp_replace(dateless, r"\s[—–-]\s.*$", ""))
-    qualifier = F.trim(F.regexp_replace(panel, r"(?i)^(?:un)?audited\s+", ""))
-    return F.array_distinct(F.filter(F.array(F.trim(caption), first, bare, dateless, panel, qualifier), lambda x: x != ""))
+    """What a caption may be listed under, from the fullest form to the barest, each once.
+
+    As printed; its first line; that without marks of continuation; its panels without those that are periods; the first
+    panel; the first panel without a word in front that says how the figures were prepared.
+    """
+    line = F.trim(F.substring_index(caption, "\n", 1))
+    unmarked = F.array_join(F.filter(F.split(line, r"\s+"), lambda w: ~_is_mark(w)), " ")
+    panels = _panels(line)
+    first = F.coalesce(F.get(panels, F.lit(0)), F.lit(""))
+    opening = F.lower(F.substring_index(first, " ", 1))
+    unqualified = F.when(opening.isin(*PREPARED) & first.contains(" "), F.trim(F.regexp_replace(first, r"^\S+\s", ""))).otherwise(first)
+    return F.array_distinct(F.filter(F.array(F.trim(caption), line, unmarked, F.array_join(panels, " — "), first, unqualified), lambda x: x != ""))
 
 
 def leaf_id(ancestors: Column, label: Column) -> Column:
-    """Identity of a row below its ancestors' segments: "::" between parts, equal neighbours once, "of which" as a part of its own."""
-    memo = label.rlike(r"(?i)^\s*of\s+which\b")
-    own = F.when(memo, F.array(F.lit("of_which"), segment(F.regexp_replace(label, r"(?i)^\s*of\s+which\s*:?\s*", "")))).otherwise(F.array(segment(label)))
-    parts = F.filter(F.concat(F.coalesce(ancestors, F.array().cast("array<string>")), own), lambda x: F.coalesce(x, F.lit("")) != "")
-    folded = F.aggregate(parts, F.array().cast("array<string>"), lambda acc, x: F.when((F.size(acc) > 0) & (F.element_at(acc, -1) == x), acc).otherwise(F.concat(acc, F.array(x))))
-    return F.array_join(folded, "::")
+    """Identity of a row below its ancestors' segments: "::" between parts, equal neighbours once; "of which" is a part of its own."""
+    memo = F.coalesce(F.slice(_words(label), 1, 2) == F.array(F.lit("of"), F.lit("which")), F.lit(False))
+    item = segment(F.when(memo, F.regexp_replace(label, r"^[^:]*?\b[wW][hH][iI][cC][hH]\b\s*:?", "")).otherwise(label))
+    chain = F.concat(F.coalesce(ancestors, F.array().cast(_STRINGS)), F.when(memo, F.array(F.lit("of_which"))).otherwise(F.array().cast(_STRINGS)), F.array(item))
+    kept = F.filter(chain, lambda x: F.coalesce(x, F.lit("")) != "")
+    return F.array_join(let(kept, lambda parts: F.filter(parts, lambda x, i: (i == 0) | (x != F.get(parts, i - 1)))), "::")
 
 
 def family(name: Column) -> Column:
-    """A kind of filing as a key: filler and qualifying words gone."""
-    words = F.filter(F.split(F.lower(F.coalesce(name, F.lit(""))), "[^a-z0-9]+"), lambda w: (w != "") & ~w.isin(FILLER))
-    return F.array_join(words, "_")
+    """A kind of filing as a key: its words without small ones and without how it was prepared."""
+    return F.array_join(F.filter(_words(F.translate(name, "_", " ")), lambda w: ~w.isin(*SMALL_WORDS, *PREPARED)), "_")
 
 
 def filing_family(doc_id: Column) -> Column:
-    """The kind of a filing from its id (house_period_kind): house and period off; null where nothing is left."""
-    bare = F.regexp_replace(F.lower(doc_id), r"^[a-z]+\d*_(?=(?:[1-4]q|[12]h|fy|9m)\d{2,4}(?:_|$))|^(?=(?:[1-4]q|[12]h|fy|9m)\d{2,4})", "")
-    return F.nullif(family(F.regexp_replace(bare, r"^(?:[1-4]q|[12]h|fy|9m)\d{2,4}(?:_|$)", "")), F.lit(""))
+    """The kind of a filing from its id (house_period_kind): what stands behind the part that is a period; null where nothing does."""
+    parts = F.split(F.lower(doc_id), "_")
+    dated = F.transform(parts, lambda p: F.coalesce(p.rlike("^(?:[1-4]q|[12]h|fy|9m)[0-9]{2,4}$"), F.lit(False)))
+    at = F.array_position(dated, True).cast("int")
+    return F.nullif(family(F.array_join(F.slice(parts, at + 1, F.greatest(F.size(parts) - at, F.lit(0))), " ")), F.lit(""))
 
 
 def safe_clean(printed: Column, cleaned: Column) -> Column:

@@ -1,11 +1,15 @@
-"""Column expressions on reporting periods: reading printed ones, labelling stored ones, spans and bases."""
+"""Column expressions on reporting periods: reading printed ones, labelling stored ones, spans and bases.
+
+Reading is a small grammar over tokens. A text becomes words, figures and signs; every token has a class of one letter;
+a period is the first of the sequences in ``RULES`` that the string of classes holds.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from ledgerloom.functions.text import plain, squeeze
+from ledgerloom.functions.text import lookup, plain, squeeze
 
 MONTHS = ["january", "february", "march", "april", "may", "june", "july", "august", "september", "october", "november", "december"]
 #: Spans that name a window, in the order columns of one closing date stand in: discrete, nine months, full year. Fixed values.
@@ -14,58 +18,80 @@ SPAN_RANK = {"1Q": 0, "2Q": 0, "3Q": 0, "4Q": 0, "1H": 0, "2H": 0, "9M": 1, "FY"
 SPAN_MONTH = {"FY": 1, "1H": 1, "9M": 1, "2H": 7, "1Q": 1, "2Q": 4, "3Q": 7, "4Q": 10}
 #: Spans that one view of the periods shows together, in the order of preference. Fixed values.
 BASES = {"fy": ["FY"], "half": ["1H", "2H"], "quarter_cum": ["1Q", "2Q", "3Q", "9M"], "quarter": ["1Q", "2Q", "3Q", "4Q"], "as_at": ["as_at"]}
-#: Words that may stand beside a period in a heading that is nothing but a period. Fixed values.
-LEADS = ["", "as", "at", "of", "as at", "as of", "for", "for the", "the", "in", "as at the", "period ended", "for the period ended", "year ended", "half year ended", "half-year ended", "quarter ended", "full year", "fair value at"]
+#: Words that leave a text a mere period when they stand beside one. Fixed values.
+BESIDE = {"as", "at", "of", "on", "for", "the", "in", "and", "period", "year", "half", "quarter", "full", "financial", "months", "ended", "ending", "fair", "value"}
+#: Units that may also stand there, as tokens. Fixed values.
+UNIT_TOKENS = {"s", "$", "sgd", "m", "mn", "mil", "million", "000", "k", "b", "bn", "%"}
+
+#: Classes of words: ordinals (o first and second, p the next two), q quarter, h half, n months, k nine, t year to date,
+#: f fiscal year, y year, w what may come before "year", e ended, s the end of a printed ordinal, m a month.
+CLASSES = {
+    "first": "o", "second": "o", "third": "p", "fourth": "p", "q": "q", "qtr": "q", "quarter": "q", "h": "h", "half": "h",
+    "month": "n", "months": "n", "mth": "n", "mths": "n", "mo": "n", "mos": "n", "m": "n", "nine": "k", "ytd": "t", "fy": "f", "year": "y",
+    "full": "w", "financial": "w", "ended": "e", "st": "s", "nd": "s", "rd": "s", "th": "s",
+}
+CLASSES |= {month[:n]: "m" for month in MONTHS for n in range(3, len(month) + 1)}
+_ORDER = {"first": 1, "second": 2, "third": 3, "fourth": 4}
+#: What a window that ends on a date is called in the words before the date: by classes, the span by the date's month.
+_WINDOWS = [("q", lambda month: F.concat(F.ceil(month / 3).cast("string"), F.lit("Q"))), ("[kv]n|t", lambda month: F.lit("9M")), ("h", lambda month: F.when(month <= 6, "1H").otherwise("2H")), ("wy|ye", lambda month: F.lit("FY"))]
 
 
-def _prefixes(word: str, least: int = 3) -> str:
-    """Pattern of the word's beginnings of at least ``least`` letters."""
-    tail = ""
-    for ch in reversed(word[least:]):
-        tail = f"(?:{ch}{tail})?"
-    return word[:least] + tail
+def let(value: Column, use) -> Column:
+    """``use`` of a column that is computed once, however often ``use`` names it."""
+    return F.transform(F.array(value), use)[0]
 
 
-_MONTH = "(?:" + "|".join(_prefixes(m) for m in MONTHS) + ")"
-_YEAR = r"'?(\d{4}|\d{2})\b"
-DATE = rf"\b(\d{{1,2}})\s+({_MONTH})\s+(\d{{4}})"
-HALF = rf"\b(1st|first|1|2nd|second|2)\s*(?:half\b|h\b|h(?=\s*'?\d))\.?\s*{_YEAR}"
-QUARTER = rf"\b(1st|first|1|2nd|second|2|3rd|third|3|4th|fourth|4)\s*(?:quarter\b|qtr\b|q\b|q(?=\s*'?\d))\.?\s*{_YEAR}"
-LEADING = rf"\b([qh])\s*([1-4])\s*{_YEAR}"
-NINE = rf"\b(?:nine\s+months?|9\s*(?:months?|mths?|mos?|m)|ytd)\s*{_YEAR}"
-YEAR = rf"\b(?:fy|(?:full\s+)?year(?=\s))\s*{_YEAR}"
-MONTH_YEAR = rf"\b({_MONTH})[ \-/]{_YEAR}"
-BARE_YEAR = r"\b(\d{4})\b"
-CAPTION_YEAR = r"[—–\-|:]\s*((?:19|20)\d{2})\s*$"
+def tokens(text: Column) -> Column:
+    """Words, figures and signs of a lower-case text; an apostrophe in front of figures is dropped."""
+    return F.regexp_extract_all(F.regexp_replace(text, r"['’](?=[0-9])", ""), F.lit(r"[a-z]+|[0-9]+|[^\sa-z0-9]"), 0)
 
 
-def let(value: Column, use) -> Column:
-    """``use`` of a column that is computed once, however often ``use`` names it."""
-    return F.transform(F.array(value), use)[0]
+def _class(token: Column) -> Column:
+    """The token's class; figures: u 1 and 2, r 3 and 4, v 9, g other single ones, d two, Y a year of 19xx or 20xx, Z other four."""
+    figures = F.when(token.isin("1", "2"), "u").when(token.isin("3", "4"), "r").when(token == "9", "v").when(F.length(token) == 1, "g").when(F.length(token) == 2, "d")
+    figures = figures.when((F.length(token) == 4) & token.rlike("^(?:19|20)"), "Y").when(F.length(token) == 4, "Z").otherwise("x")
+    signs = F.when(token.isin("-", "–", "—"), "-").when(token.isin("/", ".", ":", "|"), token).otherwise("x")
+    return F.when(token.rlike("^[0-9]"), figures).when(token.rlike("^[a-z]"), F.coalesce(lookup(CLASSES, token), F.lit("x"))).otherwise(signs)
+
+
+def _number(token: Column) -> Column:
+    return F.coalesce(lookup(_ORDER, token), token.try_cast("int"))
 
 
-def _year(digits: Column) -> Column:
-    n = digits.try_cast("int")
-    return F.when(F.length(digits) == 2, n + 2000).otherwise(n)
+def _year(token: Column) -> Column:
+    return F.when(F.length(token) == 2, token.try_cast("int") + 2000).otherwise(token.try_cast("int"))
 
 
 def _month(token: Column) -> Column:
-    """1 to 12 of a month's first three letters, else null."""
-    at = F.instr(F.lit("".join(m[:3] for m in MONTHS)), F.substring(token, 1, 3))
-    return F.when((F.length(token) > 2) & (at % 3 == 1), ((at + 2) / 3).cast("int"))
+    return lookup({m[:3]: i for i, m in enumerate(MONTHS, 1)}, F.substring(token, 1, 3))
 
 
-def _end(year: Column, month: Column, day: Column | None = None) -> Column:
-    first = F.try_make_timestamp(year, month, F.lit(1), F.lit(0), F.lit(0), F.lit(0)).cast("date")
-    return F.last_day(first) if day is None else F.when(day <= F.dayofmonth(F.last_day(first)), F.date_add(first, day - 1))
+def _closing(year: Column, month: Column) -> Column:
+    """Last day of a month, null if there is no such month."""
+    return F.last_day(F.try_make_timestamp(year, month, F.lit(1), F.lit(0), F.lit(0), F.lit(0)).cast("date"))
 
 
-def _number(token: Column) -> Column:
-    """1 to 4 of an ordinal or figure."""
-    out = F.lit(None).cast("int")
-    for i, start in enumerate(("1|f(?:irst)", "2|s", "3|t(?:hird)", "4|f(?:ourth)"), 1):
-        out = F.when(token.rlike(f"^(?:{start})"), i).otherwise(out)
-    return out
+def _dated(day: Column, month: Column, year: Column) -> Column:
+    return F.try_make_timestamp(year, month, day, F.lit(0), F.lit(0), F.lit(0)).cast("date")
+
+
+#: (classes, end, span) in the order in which they are tried; ``at(i)`` is the match's i-th token (-1 the last), ``before`` the
+#: classes in front of it. Behind a dash or colon at a caption's end a year may stand alone, in a column heading anywhere.
+_ANY_YEAR = "[YZd]"
+RULES = [
+    ("[urvgd]m[YZ]", lambda at: _dated(at(0).try_cast("int"), _month(at(1)), _year(at(2))), None),
+    (rf"(?:us?|o)h\.?{_ANY_YEAR}", lambda at: _closing(_year(at(-1)), 6 * _number(at(0))), lambda at: F.concat(_number(at(0)).cast("string"), F.lit("H"))),
+    (rf"(?:[ur]s?|[op])q\.?{_ANY_YEAR}", lambda at: _closing(_year(at(-1)), 3 * _number(at(0))), lambda at: F.concat(_number(at(0)).cast("string"), F.lit("Q"))),
+    (rf"q[ur]{_ANY_YEAR}", lambda at: _closing(_year(at(-1)), 3 * _number(at(1))), lambda at: F.concat(at(1), F.lit("Q"))),
+    (rf"hu{_ANY_YEAR}", lambda at: _closing(_year(at(-1)), 6 * _number(at(1))), lambda at: F.concat(at(1), F.lit("H"))),
+    (rf"(?:[kv]n|t){_ANY_YEAR}", lambda at: _closing(_year(at(-1)), F.lit(9)), lambda at: F.lit("9M")),
+    (rf"(?:f|w?y){_ANY_YEAR}", lambda at: _closing(_year(at(-1)), F.lit(12)), lambda at: F.lit("FY")),
+]
+IN_COLUMNS = [
+    (rf"m[-/]?{_ANY_YEAR}", lambda at: _closing(_year(at(-1)), _month(at(0))), lambda at: F.lit("as_at")),
+    ("[YZ]", lambda at: _closing(_year(at(0)), F.lit(12)), lambda at: F.lit("FY")),
+]
+IN_CAPTIONS = [("[-:|]Y$", lambda at: _closing(_year(at(1)), F.lit(12)), lambda at: F.lit("FY"))]
 
 
 def read_period(c: Column, column: bool = False) -> Column:
@@ -73,41 +99,37 @@ def read_period(c: Column, column: bool = False) -> Column:
 
     Tried in order: a date with its month written out, half, quarter ("2Q25", "Q2 2025"), nine months, year; in column headings also
     month and year, and a bare year; elsewhere a year that is the whole caption behind the last dash. A date is a
-    point in time (as_at) unless the words before it name a window that ends there. ``rest`` is the text without it.
+    point in time (as_at) unless the words before it name a window that ends there. ``rest`` has the tokens beside it.
     """
-    t = F.lower(squeeze(plain(c)))
-    if column:
-        t = squeeze(F.regexp_replace(t, r"[¹²³⁰-⁹]+|\s*\((?:\d+|[a-z])\)", ""))
-    return let(let(t, lambda x: _first_period(x, column)), lambda m: F.when(m.isNotNull(), F.struct(m["end"].alias("end"), m["span"].alias("span"), span_start(m["span"], m["end"]).alias("start"), m["rest"].alias("rest"))))
-
-
-def _first_period(t: Column, column: bool) -> Column:
-    g = lambda p, i: F.regexp_extract(t, p, i)
-    made = lambda end, span, p: F.struct(end.alias("end"), span.alias("span"), F.trim(F.regexp_replace(t, p, "")).alias("rest"))
-    before, month = g(rf"^(.*?){DATE}", 1), _month(g(DATE, 2))
-    dated = (
-        F.when(before.contains("half"), F.when(month <= 6, "1H").otherwise("2H"))
-        .when(before.rlike("(?:nine|9) month|ytd"), "9M")
-        .when(before.contains("quarter"), F.concat(F.ceil(month / 3).cast("string"), F.lit("Q")))
-        .when(before.rlike("year ended|full year|financial year"), "FY")
-        .otherwise("as_at")
-    )
-    half, quarter = _number(g(HALF, 1)), _number(g(QUARTER, 1))
-    kind, nth = g(LEADING, 1), g(LEADING, 2).try_cast("int")
-    rules = [
-        (DATE, _end(_year(g(DATE, 3)), month, g(DATE, 1).try_cast("int")), dated),
-        (HALF, _end(_year(g(HALF, 2)), half * 6), F.concat(half.cast("string"), F.lit("H"))),
-        (QUARTER, _end(_year(g(QUARTER, 2)), quarter * 3), F.concat(quarter.cast("string"), F.lit("Q"))),
-        (LEADING, _end(_year(g(LEADING, 3)), F.when(kind == "q", nth * 3).when(nth <= 2, nth * 6)), F.concat(nth.cast("string"), F.upper(kind))),
-        (NINE, _end(_year(g(NINE, 1)), F.lit(9)), F.lit("9M")),
-        (YEAR, _end(_year(g(YEAR, 1)), F.lit(12)), F.lit("FY")),
-    ]
+    t = F.lower(plain(c))
     if column:
-        rules.append((MONTH_YEAR, _end(_year(g(MONTH_YEAR, 2)), _month(g(MONTH_YEAR, 1))), F.lit("as_at")))
-        rules.append((BARE_YEAR, _end(_year(g(BARE_YEAR, 1)), F.lit(12)), F.lit("FY")))
-    else:
-        rules.append((CAPTION_YEAR, _end(_year(g(CAPTION_YEAR, 1)), F.lit(12)), F.lit("FY")))
-    return F.coalesce(*[F.when(t.rlike(p), made(end, span, p)) for p, end, span in rules])
+        t = F.regexp_replace(t, r"[¹²³⁰-⁹]+|\s*\((?:\d+|[a-z])\)", "")
+    found = let(tokens(t), lambda words: let(F.array_join(F.transform(words, _class), ""), lambda code: _first(words, code, RULES + (IN_COLUMNS if column else IN_CAPTIONS))))
+    return let(found, lambda m: F.when(m.isNotNull(), F.struct(m["end"].alias("end"), m["span"].alias("span"), span_start(m["span"], m["end"]).alias("start"), m["rest"].alias("rest"))))
+
+
+def _first(words: Column, code: Column, rules: list) -> Column:
+    def made(pattern: str, end, span) -> Column:
+        place, size = F.regexp_instr(code, F.lit(pattern)) - 1, F.length(F.regexp_extract(code, pattern, 0))
+        at = lambda i: F.get(words, place + (i if i >= 0 else size + i))
+        named = span(at) if span else _window(F.substring(code, F.lit(1), place), _month(at(1)))
+        rest = F.concat(F.slice(words, F.lit(1), place), F.slice(words, place + size + 1, F.size(words)))
+        return F.when(code.rlike(pattern), F.struct(end(at).alias("end"), named.alias("span"), F.array_join(rest, " ").alias("rest")))
+
+    return F.coalesce(*[made(*rule) for rule in rules])
+
+
+def _window(before: Column, month: Column) -> Column:
+    out = F.lit("as_at")
+    for classes, span in reversed(_WINDOWS):
+        out = F.when(before.rlike(classes), span(month)).otherwise(out)
+    return out
+
+
+def mere_period(rest: Column, units: bool = False) -> Column:
+    """Whether a text is nothing but its period, by what read_period leaves of it; null stays null."""
+    words = sorted(BESIDE | (UNIT_TOKENS if units else set()))
+    return F.forall(F.split(rest, " "), lambda w: w.isin(*words) | ~w.rlike("[a-z0-9$%]"))
 
 
 def span_start(span: Column, end: Column) -> Column:
@@ -133,8 +155,8 @@ def period_label(period: Column, span: Column) -> Column:
 
 
 def clamp_year(label: Column, end: Column, span: Column, reported: Column) -> Column:
-    """struct(end, span): a bare-year heading that would end after the report closes at the report's date instead."""
-    bare = F.trim(label).rlike(r"^\d{4}$") & (end > reported)
-    cumulative = F.create_map(*[F.lit(x) for item in {3: "1Q", 6: "1H", 9: "9M", 12: "FY"}.items() for x in item])
-    new_span = F.when(reported == F.last_day(reported), cumulative[F.month(reported)])
-    return F.when(F.coalesce(bare, F.lit(False)), F.struct(reported.alias("end"), F.coalesce(new_span, span).alias("span"))).otherwise(F.struct(end.alias("end"), span.alias("span")))
+    """struct(end, span): a heading of a mere year that is not over when the report closes stands for the year so far."""
+    ahead = F.coalesce((F.length(F.trim(label)) == 4) & F.trim(label).try_cast("int").isNotNull() & (end > reported), F.lit(False))
+    quarters = F.when((reported == F.last_day(reported)) & (F.month(reported) % 3 == 0), (F.month(reported) / 3).cast("int"))
+    so_far = F.coalesce(F.get(F.array(*[F.lit(x) for x in ("1Q", "1H", "9M", "FY")]), quarters - 1), span)
+    return F.struct(F.when(ahead, reported).otherwise(end).alias("end"), F.when(ahead, so_far).otherwise(span).alias("span"))

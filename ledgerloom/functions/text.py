@@ -19,6 +19,12 @@ NARROW = "".join(chr(0x21 + i) for i in range(94))
 FOOTNOTE = r"(?:\s*(?:\((?:note\s*\d{1,3}|\d{1,2}|[a-c]|restated|unaudited|continued|cont'd)\)|/[a-z0-9]\b|[¹²³⁰-⁹*†‡]|[–—-]\s+(?:restated|see\s+note(?:\s+\d+)?)))"
 
 
+def lookup(table: dict[str, str | float | int], key: Column) -> Column:
+    """The table's entry for a key, null without one; the table is one literal, parsed once."""
+    quoted = lambda x: "'" + x.replace("'", "\\'") + "'" if isinstance(x, str) else f"{x!r}D" if isinstance(x, float) else str(x)
+    return F.expr("map(" + ", ".join(f"{quoted(k)}, {quoted(v)}" for k, v in table.items()) + ")")[key]
+
+
 def plain(c: Column) -> Column:
     """Text with full-width forms narrowed, odd spaces and hyphens plain, invisible characters gone, ends trimmed."""
     there = WIDE + SPACES + HYPHENS

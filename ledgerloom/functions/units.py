@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.functions.text import FOOTNOTE, plain, squeeze
+from ledgerloom.functions.text import FOOTNOTE, lookup, plain, squeeze
 
 #: Spellings of scales and plain units, blanks, quotes and brackets left out. Fixed values.
 _SCALES = {
@@ -44,12 +44,6 @@ _WORDS = r"(?:as\s+a\s+|whole\s+)?(?:thousands?|millions?|billions?|basis|per|'?
 _TAIL = rf"(?:{FOOTNOTE})*\s*$"
 
 
-def lookup(table: dict[str, str | float], key: Column) -> Column:
-    """The table's entry for a key, null without one; the table is one literal, parsed once."""
-    quoted = lambda x: "'" + x.replace("'", "\\'") + "'" if isinstance(x, str) else f"{x!r}D"
-    return F.expr("map(" + ", ".join(f"{quoted(k)}, {quoted(v)}" for k, v in table.items()) + ")")[key]
-
-
 def _coded(spelling: Column, table: dict[str, str]) -> Column:
     """The code of a spelling; most texts have none and skip the table, being null or empty."""
     return lookup(table, F.nullif(spelling, F.lit("")))

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from ledgerloom.functions.periods import LEADS, clamp_year, let, read_period, span_start
+from ledgerloom.functions.periods import clamp_year, let, mere_period, read_period, span_start
 from ledgerloom.functions.text import label_key, plain, slug, squeeze, strip_footnotes
 from ledgerloom.functions.units import unit_of_heading, with_stated_unit
 from ledgerloom.functions.values import cell_number, cell_state
@@ -74,7 +74,7 @@ def row_axis(tables: DataFrame) -> DataFrame:
     rows = tables.select(*KEY, "doc_period", F.posexplode("rows").alias("at", "r"))
     rows = rows.select(*KEY, "doc_period", (c("at") + 1).alias("row_id"), c("r.row_id").alias("line_no"), c("r.row_type").alias("row_type"), F.coalesce(c("r.level"), F.lit(0)).alias("level"), c("r.label").alias("label"), c("r.values").alias("values"))
     rows = rows.withColumn("label_clean", squeeze(strip_footnotes(plain(c("label"))))).withColumn("p", read_period(c("label"), True))
-    covers = F.coalesce(F.trim(F.regexp_replace(c("p.rest"), r"(s?\$|sgd)\s*'?(m|mn|000|k|b|bn)?\b|%", "")).isin(LEADS), F.lit(False))
+    covers = F.coalesce(mere_period(c("p.rest"), units=True), F.lit(False))
     rows = rows.withColumn("k", F.when(covers, clamp_year(c("label"), c("p.end"), c("p.span"), c("doc_period"))))
     heading = c("row_type").isin("section_header", "sub_header")
     before = W.partitionBy(*KEY).orderBy("row_id").rowsBetween(W.unboundedPreceding, -1)

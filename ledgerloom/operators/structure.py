@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from ledgerloom.functions.periods import LEADS, read_period
+from ledgerloom.functions.periods import mere_period, read_period
 from ledgerloom.functions.text import label_key
 from ledgerloom.functions.units import unit_of_label
 from ledgerloom.operators.generic import multiset_signature
@@ -41,7 +41,7 @@ def split_blocks(rows: DataFrame, keys: list[str], kind: str = "date") -> DataFr
     valueless = _without_values()
     if kind == "date":
         p = read_period(c("label"), True)
-        head = c("row_type").isin(*_HEADS) & valueless & F.coalesce(p["rest"].isin(LEADS), F.lit(False))
+        head = c("row_type").isin(*_HEADS) & valueless & F.coalesce(mere_period(p["rest"]), F.lit(False))
     else:
         head = valueless & unit_of_label(c("label")).isNotNull() & (c("level") == F.min("level").over(W.partitionBy(*keys)))
     marked = rows.withColumn("head", F.coalesce(head, F.lit(False)))
