@@ -8,58 +8,72 @@ from pyspark.sql import functions as F
 
 from ledgerloom.runtime import stage
 
-#: Where a text is cut into sentences and lines.
-BREAK = r"(?<=[.!?。！？])\s+|\s*\n\s*|(?<=[。！？])"
-#: What a cut leaves behind at the end of a text: an ellipsis, half a character, an opened bracket or tag. Fixed values.
-ELLIPSIS = r"\s*(?:\.\.\.|…|\[\.\.\.\]|\[…\])$"
-BROKEN = r"\s*[�<\[{&\\]+$"
+#: Where a text is cut into sentences and lines; blanks around them go afterwards.
+BREAK = r"(?<=[.!?。！？])(?:\s+|(?<=[。！？]))|\n"
+BLANKS = " \t\n\x0b\f\r"
+#: The patterns below are of texts read from their end, so that they look at a whole text and cost only what stands there.
+#: What a cut leaves behind at the end of a text: an ellipsis; half a character, an opened bracket or tag. Fixed values.
+ELLIPSIS = r"^\s*+(?:\.\.\.|…|\]\.\.\.\[|\]…\[)"
+BROKEN = r"^\s*+[�<\[{&\\]++"
 #: A closing stop that ends a text; one behind a figure may also be a decimal point and is looked at closely.
-STOPPED = r"(?:(?<![\d.])\.|[!?。！？])[\"')”’»\]）]*$"
-#: A last word with a figure in it, looked for in the last characters of a sentence.
-FIGURE = r"\d\S*\s*$"
+STOPPED = r"^\s*+[\"')”’»\]）]*+(?:\.(?![\d.])|[!?。！？])"
+#: The last sentence: up to the first place that is one of BREAK.
+LAST = r"^[\s\S]+?(?=\s+[.!?。！？]|\s*\n|[。！？]|\z)"
+#: What is left out at the end of sentences.
+STOPS = BLANKS + ".!?。！？…"
 #: Lengths by which strings are put next to their possible prefixes; shorter tails are looked up directly.
 LEVELS = (12, 24, 48, 96, 192, 384, 768, 1536)
 
 
 def mask(c: Column) -> Column:
     """Figures as 0, stops at the end gone: the form in which sentences are compared."""
-    return F.regexp_replace(F.trim(F.regexp_replace(c, r"\d[\d.,]*", "0")), r"[\s.!?。！？…]+$", "")
+    return F.rtrim(F.regexp_replace(F.btrim(c, F.lit(BLANKS)), r"\d[\d.,]*", "0"), F.lit(STOPS))
+
+
+def last_word(c: Column) -> Column:
+    """The last word and whatever blanks follow it."""
+    return F.reverse(F.regexp_extract(F.reverse(c), r"^\s*+\S*+", 0))
 
 
 def shape(c: Column) -> Column:
     """The same behind a tab stop, but in the last word every digit is a 0 of its own, so that a cut figure is shorter than a whole one."""
-    body, last = F.regexp_replace(c, r"\S+\s*$", ""), F.regexp_extract(c, r"(\S+)\s*$", 1)
-    return F.concat(F.lit("\t"), F.regexp_replace(body, r"\d[\d.,]*", "0"), F.regexp_replace(F.regexp_replace(last, r"\d", "0"), r"[\s.!?。！？…]+$", ""))
+    last = last_word(c)
+    body = F.substring(c, F.lit(1), F.length(c) - F.length(last))
+    return F.concat(F.lit("\t"), F.regexp_replace(body, r"\d[\d.,]*", "0"), F.rtrim(F.regexp_replace(last, r"\d", "0"), F.lit(STOPS)))
+
+
+def row_label(c: Column) -> Column:
+    """What stands before the first tab stop of a table's row, figures as 0; null for other sentences."""
+    return F.when(c.contains("\t"), F.trim(F.substring_index(F.translate(c, "123456789", "000000000"), "\t", 1)))
 
 
 def _tails(documents: DataFrame) -> DataFrame:
     """One narrow row for each text that may be cut: its last sentence masked, and the marks at its end."""
     c = F.col
-    text = F.regexp_replace("text", r"\s++$", "")
-    rows = documents.where(F.col("text").rlike(r"\S")).select("doc_id", "source", text.alias("t"))
-    # what ends a text is short, so the patterns read its last characters only
-    end = F.right("t", F.lit(64))
-    rows = rows.select("doc_id", "source", end.rlike(ELLIPSIS).alias("ellipsis"), end.rlike(BROKEN).alias("broken"), end.rlike(STOPPED).alias("stopped"), "t")
+    rows = documents.select("doc_id", "source", F.reverse("text").alias("r")).where(c("r").rlike(r"\S"))
+    rows = rows.select("doc_id", "source", c("r").rlike(ELLIPSIS).alias("ellipsis"), c("r").rlike(BROKEN).alias("broken"), c("r").rlike(STOPPED).alias("stopped"), "r")
     rows = rows.where("ellipsis or broken or not stopped")
-    bare = F.regexp_replace(F.regexp_replace(c("t"), ELLIPSIS, ""), BROKEN, "")
-    rows = rows.withColumn("last", F.coalesce(F.try_element_at(F.filter(F.split(bare, BREAK), lambda x: F.trim(x) != ""), F.lit(-1)), F.lit("")))
-    return rows.select(
-        "doc_id", "source", "ellipsis", "broken", mask(c("last")).alias("tail"), F.when(F.right("last", F.lit(64)).rlike(FIGURE), shape(c("last"))).alias("figure"),
-        F.when(c("last").contains("\t"), F.trim(F.substring_index("last", "\t", 1))).alias("row_label"),
-    )
+    bare = F.regexp_replace(F.regexp_replace(F.regexp_replace(c("r"), ELLIPSIS, ""), BROKEN, ""), r"^\s++", "")
+    rows = rows.select("doc_id", "source", "ellipsis", "broken", F.reverse(F.regexp_extract(bare, LAST, 0)).alias("last"))
+    return rows.select("doc_id", "source", "ellipsis", "broken", mask(c("last")).alias("tail"), F.when(last_word(c("last")).rlike(r"\d"), shape(c("last"))).alias("figure"), row_label(c("last")).alias("row_label"))
 
 
 def _sentences(documents: DataFrame) -> DataFrame:
-    """Distinct masked sentences of all texts (key), with how often more text follows them and how often none does."""
+    """Distinct sentences of all texts, every digit a 0, with how often more text follows them and how often none does."""
+    parts = F.split(F.regexp_replace("text", "[1-9]", "0"), BREAK)
+    parts = F.filter(F.transform(parts, lambda x: F.btrim(x, F.lit(BLANKS))), lambda x: x != "")
+    # the list is named twice, so it is bound once: a projection of its own would be merged and computed twice
+    marked = F.transform(F.array(parts), lambda p: F.transform(p, lambda x, i: F.struct(x.alias("part"), (i < F.size(p) - 1).cast("long").alias("inner"))))[0]
+    rows = documents.select(F.explode(marked).alias("s")).select("s.*")
+    return rows.groupBy("part").agg(F.sum("inner").alias("inner"), F.sum(1 - F.col("inner")).alias("final"))
+
+
+def _keys(sentences: DataFrame) -> DataFrame:
+    """The forms in which sentences are compared (key), with how often more text follows them."""
     c = F.col
-    parts = F.filter(F.split("text", BREAK), lambda x: F.trim(x) != "")
-    rows = documents.where(c("text").rlike(r"\S")).select(parts.alias("parts"))
-    rows = rows.select(F.posexplode("parts").alias("at", "part"), F.size("parts").alias("n"))
-    inner = (c("at") < c("n") - 1).cast("long")
-    label = F.when(c("part").contains("\t"), F.trim(F.substring_index("part", "\t", 1)))
-    keys = F.when(F.right("part", F.lit(64)).rlike(FIGURE), F.array(mask(c("part")), shape(c("part")))).otherwise(F.array(mask(c("part"))))
-    rows = rows.select(F.explode(F.array_distinct(keys)).alias("key"), inner.alias("inner"), label.alias("row_label"))
-    return rows.where("key <> ''").groupBy("key").agg(F.sum("inner").alias("inner"), F.sum(1 - c("inner")).alias("final"), F.min("row_label").alias("row_label"))
+    figure = last_word(c("part")).contains("0")
+    forms = F.when(figure, F.array(mask(c("part")), shape(c("part")))).otherwise(F.array(mask(c("part"))))
+    return sentences.select(F.explode(forms).alias("key"), "inner").where("key <> ''").groupBy("key").agg(F.sum("inner").alias("inner"))
 
 
 def strict_prefixes(asked: DataFrame, keys: DataFrame) -> DataFrame:
@@ -126,21 +140,22 @@ def find_truncated(documents: DataFrame, rare_end: float = 0.2) -> DataFrame:
     c = F.col
     whole = documents.select("doc_id", "source", "text")
     tails = stage(_tails(whole))
-    keys = stage(_sentences(whole))
+    sentences = stage(_sentences(whole))
+    keys = stage(_keys(sentences))
     asked = tails.select("tail").unionByName(tails.select(c("figure").alias("tail"))).where("tail <> ''").distinct().select(c("tail").alias("key"))
     longer = strict_prefixes(asked, keys).withColumn("longer", F.lit(True))
     whole_ones = keys.where("inner > 0").select("key", F.lit(True).alias("complete"))
     known = stage(asked.join(longer, "key", "left").join(whole_ones, "key", "left").select("key", F.coalesce("longer", F.lit(False)).alias("longer"), F.coalesce("complete", F.lit(False)).alias("complete")))
     rows = tails.join(known.select(c("key").alias("tail"), "longer", "complete"), "tail", "left")
     rows = rows.join(known.select(c("key").alias("figure"), c("longer").alias("longer_figure"), c("complete").alias("complete_figure")), "figure", "left")
-    ends = keys.where("row_label is not null").groupBy("row_label").agg(F.sum("inner").alias("row_inner"), F.sum("final").alias("row_final"))
+    ends = sentences.select(row_label(c("part")).alias("row_label"), "inner", "final").where("row_label is not null").groupBy("row_label").agg(F.sum("inner").alias("row_inner"), F.sum("final").alias("row_final"))
     rows = rows.join(ends, "row_label", "left")
     yes = lambda x: F.coalesce(x, F.lit(False))
     evidence = (
         F.when(c("broken"), "mark")
         .when(yes(c("longer")) & ~yes(c("complete")), "prefix")
         .when(yes(c("longer_figure")) & ~yes(c("complete_figure")) & yes(c("complete")), "figure")
-        .when(yes(c("row_final") <= rare_end * (c("row_final") + c("row_inner"))) & (c("row_inner") >= 3), "table")
+        .when(yes(c("row_final") <= rare_end * (c("row_final") + c("row_inner"))) & (c("row_inner") >= 2), "table")
     )
     rows = stage(rows.select("doc_id", "source", "tail", yes(c("complete")).alias("complete"), evidence.alias("evidence")))
     open_ends = rows.where("evidence is null and not complete")
