@@ -6,12 +6,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from ledgerloom.runtime import stage
+from ledgerloom.runtime import small_side, stage
 
 #: Steps into which the Pareto ranks of a source are counted before the step that holds the threshold is sorted.
 STEPS = 4_096
 #: Most sources with a target; their figures are kept on the driver.
 MOST_SOURCES = 10_000
+#: Rounds in which the rates must settle. A rate only rises, when documents that it gives more than their repeats are found.
+ROUNDS = 1_000
 
 
 def plan_sizes(targets: list[tuple[str, float, int]], tokens: dict[str, int], total: float | None = None) -> tuple[float, dict[str, float]]:
@@ -47,13 +49,13 @@ def mix(sized: DataFrame, target: DataFrame, seed: int = 11, total: float | None
     if len(goals) > MOST_SOURCES:
         raise ValueError(f"more than {MOST_SOURCES} sources have a target")
     weight = F.greatest(F.coalesce(c("weight").cast("double"), F.lit(1.0)), F.lit(0.0)) if "weight" in sized.columns else F.lit(1.0)
-    docs = sized.select("doc_id", "source", "tokens", weight.alias("weight")).where("tokens > 0").join(F.broadcast(wanted.select("source")), "source", "left_semi")
+    docs = sized.select("doc_id", "source", "tokens", weight.alias("weight")).where("tokens > 0").join(small_side(wanted.select("source")), "source", "left_semi")
     docs = stage(docs)
     sums = {r["source"]: (r["n"], r["w"]) for r in docs.groupBy("source").agg(F.sum("tokens").alias("n"), F.sum(c("tokens") * c("weight")).alias("w")).collect()}
     size, budget = plan_sizes(goals, {s: n for s, (n, w) in sums.items() if w > 0}, total)
     rate = _rates(docs, {s: (budget[s], sums[s][1], m) for s, _, m in goals if s in budget})
     plan = spark.createDataFrame([(s, float(rate[s]), int(m), float(budget[s])) for s, _, m in goals if s in budget], "source string, rate double, most int, budget double")
-    docs = docs.join(F.broadcast(plan), "source")
+    docs = docs.join(small_side(plan), "source")
     expected = F.least(c("rate") * c("weight"), c("most").cast("double"))
     docs = docs.withColumn("expected", F.when(F.abs(expected - F.round(expected)) < 1e-9, F.round(expected)).otherwise(expected))
     docs = docs.withColumn("whole", F.floor("expected").cast("int")).withColumn("chance", c("expected") - F.floor("expected"))
@@ -66,7 +68,7 @@ def mix(sized: DataFrame, target: DataFrame, seed: int = 11, total: float | None
     steps = docs.where("step is not null").groupBy("source", "step").agg(F.sum("tokens").alias("in_step"))
     steps = steps.join(sums_by, "source").withColumn("upto", F.sum("in_step").over(W.partitionBy("source").orderBy("step")))
     steps = steps.select("source", "step", (c("upto") - c("in_step")).alias("before_step"), (c("upto") <= c("open")).alias("all_in"), (c("upto") - c("in_step") < c("open")).alias("some_in"), "open")
-    placed = docs.join(F.broadcast(steps), ["source", "step"], "left")
+    placed = docs.join(small_side(steps), ["source", "step"], "left")
     sure = placed.where("step is null or all_in or not some_in").withColumn("extra", F.coalesce(c("all_in").cast("int"), F.lit(0)))
     edge = placed.where("step is not null and not all_in and some_in")
     upto = F.sum("tokens").over(W.partitionBy("source").orderBy("rank", "doc_id").rowsBetween(W.unboundedPreceding, 0))
@@ -86,7 +88,7 @@ def mix(sized: DataFrame, target: DataFrame, seed: int = 11, total: float | None
 def _rates(docs: DataFrame, goals: dict[str, tuple[float, float, int]]) -> dict[str, float]:
     """For each source the factor on the weights with which the expected tokens meet the goal, although no document exceeds its repeats."""
     rate = {s: b / w for s, (b, w, _) in goals.items()}
-    for _ in range(20):
+    for _ in range(ROUNDS):
         if not rate:
             break
         now = F.create_map(*[F.lit(x) for s, (_, _, m) in goals.items() for x in (s, m / rate[s])])[F.col("source")]
@@ -96,4 +98,6 @@ def _rates(docs: DataFrame, goals: dict[str, tuple[float, float, int]]) -> dict[
         if all(abs(new[s] - rate[s]) <= 1e-9 * rate[s] for s in new):
             break
         rate = new
+    else:
+        raise RuntimeError(f"rates still move after {ROUNDS} rounds")
     return rate
