@@ -63,13 +63,18 @@ def _ending(c: Column, lead: str) -> Column:
     return _coded(_bare(hit), SPELLINGS)
 
 
+def _may(c: Column, marks: str) -> Column:
+    """Whether a text has one of the marks a unit needs, or a character that may be such a mark in another form."""
+    return c.rlike(rf"{marks}|[^\x20-\x7e]")
+
+
 def unit_of_label(c: Column) -> Column:
     """Unit at the end of a row label ("Credit cost, bps", "Branch staff (FTE) ²") or a title.
 
     A unit counts only behind a comma, a dash, an opening bracket or the word "in"; so a rate in an
     item's name ("4.1% perpetual notes") or a plain last word ("... within one year") states none.
     """
-    return _ending(c, r"(?:,|[(\[]|\s[-–—])\s*(?:in\s+)?|\sin\s+")
+    return F.when(_may(c, r"[,(\[-]|(?i: in )"), _ending(c, r"(?:,|[(\[]|\s[-–—])\s*(?:in\s+)?|\sin\s+"))
 
 
 def unit_of_heading(c: Column) -> Column:
@@ -82,7 +87,7 @@ def unit_of_cell(c: Column) -> Column:
     t = F.regexp_replace(F.lower(squeeze(plain(c))), rf"(?i){FOOTNOTE}+\s*$", "")
     parts = rf"^[-(–—]*\s*({_CURRENCY})?\s*[-(–—]?\s*(?:{_NUMBER})\s*\)?\s*([a-z%$' ]*?(?:\(s\))?)\s*\)?$"
     unit = F.regexp_extract(F.regexp_replace(t, parts, "$1$2"), r"^(?:[a-z%$ ']|'?000)[a-z%$ '()]*$", 0)
-    return _coded(_bare(unit), CELL_SPELLINGS)
+    return F.when(_may(c, "[A-Za-z%$']"), _coded(_bare(unit), CELL_SPELLINGS))
 
 
 def factor(code: Column) -> Column:
@@ -95,18 +100,19 @@ def kind(code: Column) -> Column:
     return lookup(KINDS, code)
 
 
-def with_stated_unit(df: DataFrame, out: str = "unit_code", cell: str = "value_raw", row_unit: str = "row_unit", row_label: str = "row_leaf_label", col_unit: str = "col_unit", col_label: str = "col_leaf_label", table_unit: str = "table_unit", table_title: str = "table_title") -> DataFrame:
-    """The frame with the code of the unit that counts: the cell's own, the row's if per cent, the column's, the row's, the table's.
+def stated_unit(cell: str = "value_raw", row_unit: str = "row_unit", row_label: str = "row_leaf_label", col_unit: str = "col_unit", col_label: str = "col_leaf_label", table_unit: str = "table_unit", table_title: str = "table_title") -> Column:
+    """Code of the unit that counts: the cell's own, the row's if per cent, the column's, the row's, the table's.
 
-    Row, column and table state a unit in their unit field or, where that is null, in their label or title.
-    Each place is read once, in a projection of its own, so that no pattern is matched twice for a row.
+    Row, column and table state a unit in their unit field or, where that is null, in their label or title. A place is
+    read only if none before it states a unit, the row once.
     """
     c = F.col
-    df = df.withColumns({
-        "__cell": unit_of_cell(c(cell)),
-        "__row": F.when(c(row_unit).isNotNull(), unit_code(c(row_unit))).otherwise(unit_of_label(c(row_label))),
-        "__col": F.when(c(col_unit).isNotNull(), unit_code(c(col_unit))).otherwise(unit_of_heading(c(col_label))),
-        "__table": F.when(c(table_unit).isNotNull(), unit_code(c(table_unit))).otherwise(unit_of_label(c(table_title))),
-    })
-    first = F.coalesce(c("__cell"), F.when(c("__row") == "percent", c("__row")), c("__col"), c("__row"), c("__table"))
-    return df.withColumn(out, first).drop("__cell", "__row", "__col", "__table")
+    row = F.when(c(row_unit).isNotNull(), unit_code(c(row_unit))).otherwise(unit_of_label(c(row_label)))
+    col = F.when(c(col_unit).isNotNull(), unit_code(c(col_unit))).otherwise(unit_of_heading(c(col_label)))
+    whole = F.when(c(table_unit).isNotNull(), unit_code(c(table_unit))).otherwise(unit_of_label(c(table_title)))
+    return F.coalesce(unit_of_cell(c(cell)), F.transform(F.array(row), lambda r: F.coalesce(F.when(r == "percent", r), col, r, whole))[0])
+
+
+def with_stated_unit(df: DataFrame, out: str = "unit_code", **fields: str) -> DataFrame:
+    """The frame with ``stated_unit``. To filter by it, stage the frame first: a pushed-down filter reads it again for each mention."""
+    return df.withColumn(out, stated_unit(**fields))

@@ -8,13 +8,14 @@ from pyspark.sql import functions as F
 from ledgerloom.operators.compare import diff_copies
 from ledgerloom.operators.hierarchy import hierarchy, table_links
 from ledgerloom.operators.nested import flatten, stated_values, unit_payloads
-from ledgerloom.operators.units import changed_by_unit, standardise_units
-from ledgerloom.runtime import table
+from ledgerloom.operators.units import changed_by_unit, judge_units, read_units, standardise_units, stated_part
+from ledgerloom.runtime import stage, table
 
 
 def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
-    standard, _ = standardise_units(table(spark, sf_dir, "v_cell"))
-    return changed_by_unit(standard)
+    # by its definition only stated units count here, so nothing is predicted
+    read = read_units(table(spark, sf_dir, "v_cell")).select("doc_id", "table_id", "row_id", "col_id", "value", "unit")
+    return changed_by_unit(stated_part(stage(read)))
 
 
 def p1_units(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -23,6 +24,11 @@ def p1_units(spark: SparkSession, sf_dir: str) -> DataFrame:
     return standard
 
 
+def p1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How well the classifier finds units that were stated and are hidden from it."""
+    return judge_units(table(spark, sf_dir, "v_cell"))
+
+
 def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     row_key, cell_key = ["doc_id", "table_id", "row_id"], ["doc_id", "table_id", "row_id", "col_id"]
     rows = diff_copies(table(spark, sf_dir, "row_dim"), table(spark, sf_dir, "row_serving"), row_key, ["canonical_leaf_id", "row_leaf_label"])
@@ -61,7 +67,7 @@ def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stated_values(p5_flat(spark, sf_dir))
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_units, p2_found, p4_found, p4_paths, p5_found, p5_flat)}
+QUERIES = {f.__name__: f for f in (p1_found, p1_units, p1_quality, p2_found, p4_found, p4_paths, p5_found, p5_flat)}
 
 
 ORACLES = {
