@@ -3,10 +3,13 @@
 from __future__ import annotations
 
 import json
-from collections.abc import Iterator
+from collections.abc import Callable, Iterable, Iterator
+from functools import partial
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -20,12 +23,22 @@ MARKS[[ord(","), ord(":")]] = True
 BLANK = np.zeros(256, bool)
 BLANK[[32, 9, 10, 13]] = True
 
-SCHEMA = (
-    "rel string, unit_id string, table_no int, row_no int, col_no int, title string, label_header string, "
-    "continued_from_previous string, section_id string, column_group string, leaf string, row_id string, row_type string, "
-    "level string, parent string, label string, value string, cell_state string"
-)
-COLUMNS = [part.split()[0] for part in SCHEMA.split(", ")]
+#: Relations in which records come out, and the fields of each besides its place; a field's name in JSON where it is another.
+RELATIONS = {
+    "unit": [], "unreadable": [], "table": ["title", "label_header", "continued_from_previous", "section_id"], "column": ["column_group", "leaf"],
+    "row": ["row_id", "row_type", "level", "parent", "label"], "value": ["value", "cell_state"],
+}
+MEMBER = {"column_group": "group"}
+PLACE = ["rel string", "unit_id string", "table_no int", "row_no int", "col_no int"]
+
+
+def schema_of(relations: Iterable[str]) -> str:
+    return ", ".join([*PLACE, *(f"{field} string" for rel, fields in RELATIONS.items() if rel in relations for field in fields)])
+
+
+SCHEMA = schema_of(RELATIONS)
+#: Member names that are looked for, by the number they get.
+NAMES = {name: i for i, name in enumerate(["extraction", "tables", "columns", "rows", "values", *(MEMBER.get(f, f) for fields in RELATIONS.values() for f in fields)])}
 
 
 def bitmaps(buf: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -125,23 +138,34 @@ class Index:
         self._check_scalars()
 
     def _check_scalars(self) -> None:
-        """Scalars and keys that no JSON text may hold make their document unreadable."""
-        keys: list[str | None] = []
-        texts: list[str | None] = []
-        strings: list[bool] = []
-        for s, child, a, b, k in zip(self.slot.tolist(), self.child.tolist(), self.lo.tolist(), self.hi.tolist(), self.key_at.tolist()):
-            try:
-                key = None
-                if k >= 0:
-                    key = _string(self.data[self.key_lo[k] : self.key_hi[k]])
-                text, is_string = (None, False) if child >= 0 else _scalar(self.data[a:b])
-            except ValueError:
-                self.ok[self.doc[s]] = False
-                key, text, is_string = None, None, False
-            keys.append(key)
-            texts.append(text)
-            strings.append(is_string)
-        self.slots = pd.DataFrame({"doc": self.doc[self.slot], "container": self.container, "child": self.child, "ordinal": self.ordinal, "key": pd.Series(keys, dtype=object), "text": pd.Series(texts, dtype=object), "string": strings})
+        """Keys and scalars as texts, each different one read once; those that no JSON text may hold make their document unreadable."""
+        plain = np.flatnonzero(self.child < 0)
+        texts, strings, good = _scalars(self._spans(self.lo[plain], self.hi[plain]))
+        named = np.flatnonzero(self.key_at >= 0)
+        at = self.key_at[named]
+        keys, are_strings, good_keys = _scalars(self._spans(self.key_lo[at], self.key_hi[at]), lambda text: NAMES.get(text, -1), int)
+        self.ok[self.doc[self.slot[plain[~good]]]] = False
+        self.ok[self.doc[self.slot[named[~(good_keys & are_strings)]]]] = False
+        text, key, string = np.full(len(self.slot), None, object), np.full(len(self.slot), -1), np.zeros(len(self.slot), bool)
+        text[plain], string[plain], key[named] = texts, strings, keys
+        self.slots = pd.DataFrame({"doc": self.doc[self.slot], "container": self.container, "child": self.child, "ordinal": self.ordinal, "key": key, "text": text, "string": string})
+
+    def _spans(self, lo: np.ndarray, hi: np.ndarray) -> pa.BinaryArray:
+        """The bytes of the spans, gathered at once."""
+        size = np.maximum(hi - lo, 0)
+        offsets = np.concatenate(([0], np.cumsum(size)))
+        places = np.arange(offsets[-1]) - np.repeat(offsets[:-1], size) + np.repeat(lo, size)
+        data = np.frombuffer(self.data, np.uint8)[places]
+        return pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(lo), [None, pa.py_buffer(offsets.astype(np.int64)), pa.py_buffer(data)])
+
+
+def _scalars(spans: pa.BinaryArray, use: Callable = lambda text: text, kind: type = object) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """What ``use`` makes of each scalar's text (null for null), whether it is a string, and whether it is JSON at all; every different one is read once."""
+    coded = pc.dictionary_encode(spans)
+    read = [_scalar(raw) for raw in coded.dictionary.to_pylist()]
+    codes = coded.indices.to_numpy(zero_copy_only=False)
+    pick = lambda values, kind: np.array([*values, None], object)[:-1].astype(kind)[codes]
+    return pick((use(r[0]) for r in read), kind), pick((r[1] for r in read), bool), pick((r[2] for r in read), bool)
 
 
 def _string(raw: bytes) -> str:
@@ -150,15 +174,18 @@ def _string(raw: bytes) -> str:
     return json.loads(raw) if b"\\" in raw or b'"' in raw[1:-1] or min(raw) < 32 else raw[1:-1].decode()
 
 
-def _scalar(raw: bytes) -> tuple[str | None, bool]:
-    """The text of a scalar (null for null), numbers and truth values as they are written."""
-    if raw[:1] == b'"':
-        return _string(raw), True
-    if raw == b"null":
-        return None, False
-    if raw not in (b"true", b"false"):
-        json.loads(raw)
-    return raw.decode(), False
+def _scalar(raw: bytes) -> tuple[str | None, bool, bool]:
+    """(text, is a string, is JSON) of a scalar, numbers and truth values as they are written."""
+    try:
+        if raw[:1] == b'"':
+            return _string(raw), True, True
+        if raw == b"null":
+            return None, False, True
+        if raw not in (b"true", b"false"):
+            json.loads(raw)
+        return raw.decode(), False, True
+    except ValueError:
+        return None, False, False
 
 
 def _members(slots: pd.DataFrame, of: pd.DataFrame, at: str, ordinal: str) -> pd.DataFrame:
@@ -172,49 +199,49 @@ def _members(slots: pd.DataFrame, of: pd.DataFrame, at: str, ordinal: str) -> pd
 
 def _holding(slots: pd.DataFrame, kind: np.ndarray, parents: pd.DataFrame, at: str, key: str) -> pd.DataFrame:
     """For each parent object the container that its member ``key`` holds."""
-    hit = slots.loc[(slots["key"] == key) & (slots["child"] >= 0), ["container", "child"]].drop_duplicates("container", keep="last")
+    hit = slots.loc[(slots["key"] == NAMES[key]) & (slots["child"] >= 0), ["container", "child"]].drop_duplicates("container", keep="last")
     out = parents[[at, "child"]].rename(columns={"child": "parent_opener"}).merge(hit, left_on="parent_opener", right_on="container")
     opener = out["child"].to_numpy(np.int64)
     return pd.DataFrame({at: out[at], "opener": opener, "is_object": kind[opener] == 123 if len(opener) else np.zeros(0, bool)})
 
 
-def _fields(slots: pd.DataFrame, rows: pd.DataFrame, names: dict[str, str]) -> pd.DataFrame:
-    """Scalar members of each row's object as columns; ``names`` is member -> column."""
-    have = slots.loc[slots["key"].isin(list(names)) & (slots["child"] < 0), ["container", "key", "text"]].drop_duplicates(["container", "key"], keep="last")
-    out = rows
-    for key, column in names.items():
-        part = have.loc[have["key"] == key].set_index("container")["text"]
-        out = out.assign(**{column: out["child"].map(part)})
-    return out
+def _fields(slots: pd.DataFrame, rows: pd.DataFrame, relation: str) -> pd.DataFrame:
+    """Scalar members of each row's object as the relation's columns; of repeated names the last counts."""
+    for field in RELATIONS[relation]:
+        part = slots.loc[(slots["key"] == NAMES[MEMBER.get(field, field)]) & (slots["child"] < 0), ["container", "text"]].drop_duplicates("container", keep="last")
+        rows = rows.assign(**{field: rows["child"].map(part.set_index("container")["text"])})
+    return rows
 
 
-def flatten_chunk(units: list[str], payloads: list[bytes]) -> pd.DataFrame:
-    """The linked rows of a chunk of payloads: relations unit, table, column, row, value, unreadable."""
+def flatten_chunk(units: list[str], payloads: list[bytes], relations: Iterable[str] = tuple(RELATIONS)) -> pd.DataFrame:
+    """The linked rows of a chunk of payloads, of the relations asked for."""
     ix = Index(payloads)
     slots, kind = ix.slots, ix.kind
     ids = np.array(units, object)
     good = np.flatnonzero(ix.ok & (ix.first >= 0))
-    frames = [pd.DataFrame({"rel": "unit", "unit": good}), pd.DataFrame({"rel": "unreadable", "unit": np.flatnonzero(~ix.ok | (ix.first < 0))})]
+    frames = {"unit": pd.DataFrame({"unit": good}), "unreadable": pd.DataFrame({"unit": np.flatnonzero(~ix.ok | (ix.first < 0))})}
     slots = slots.loc[ix.ok[slots["doc"].to_numpy()]] if len(slots) else slots
     roots = pd.DataFrame({"unit": good, "child": ix.first[good]})
     inner = _holding(slots, kind, roots, "unit", "extraction").rename(columns={"opener": "child"})
     roots = pd.concat([roots, inner[["unit", "child"]]], ignore_index=True)
     tables = _members(slots, _holding(slots, kind, roots, "unit", "tables"), "unit", "table_no")
     tables["table"] = np.arange(len(tables))
-    tables = _fields(slots, tables, {"title": "title", "label_header": "label_header", "continued_from_previous": "continued_from_previous", "section_id": "section_id"})
     place = tables.set_index("table")[["unit", "table_no"]]
-    columns = _members(slots, _holding(slots, kind, tables, "table", "columns"), "table", "col_no").join(place, on="table")
-    columns = _fields(slots, columns, {"group": "column_group", "leaf": "leaf"})
+    if "table" in relations:
+        frames["table"] = _fields(slots, tables, "table")
+    if "column" in relations:
+        frames["column"] = _fields(slots, _members(slots, _holding(slots, kind, tables, "table", "columns"), "table", "col_no").join(place, on="table"), "column")
     rows = _members(slots, _holding(slots, kind, tables, "table", "rows"), "table", "row_no").join(place, on="table")
     rows["row"] = np.arange(len(rows))
-    rows = _fields(slots, rows, {x: x for x in ("row_id", "row_type", "level", "parent", "label")})
-    values = _members(slots, _holding(slots, kind, rows, "row", "values"), "row", "col_no").join(rows.set_index("row")[["unit", "table_no", "row_no"]], on="row")
-    values = _fields(slots, values, {"value": "value", "cell_state": "cell_state"})
-    values["value"] = values["value"].where(values["child"] >= 0, values["text"])
-    frames += [tables.assign(rel="table"), columns.assign(rel="column"), rows.assign(rel="row"), values.assign(rel="value")]
-    out = pd.concat([f.drop(columns=["text"], errors="ignore") for f in frames], ignore_index=True)
+    if "row" in relations:
+        frames["row"] = _fields(slots, rows, "row")
+    if "value" in relations:
+        values = _members(slots, _holding(slots, kind, rows, "row", "values"), "row", "col_no").join(rows.set_index("row")[["unit", "table_no", "row_no"]], on="row")
+        values = _fields(slots, values, "value")
+        frames["value"] = values.assign(value=values["value"].where(values["child"] >= 0, values["text"]))
+    out = pd.concat([frames[rel].drop(columns="text", errors="ignore").assign(rel=rel) for rel in RELATIONS if rel in relations], ignore_index=True)
     out["unit_id"] = ids[out["unit"].to_numpy(np.int64)]
-    return out.reindex(columns=COLUMNS)
+    return out.reindex(columns=[part.split()[0] for part in schema_of(relations).split(", ")])
 
 
 def _unwrap(payload: str | None) -> bytes:
@@ -230,19 +257,19 @@ def _unwrap(payload: str | None) -> bytes:
     return text.encode("utf-8", "surrogatepass")
 
 
-def _batches(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _batches(frames: Iterator[pd.DataFrame], relations: Iterable[str] = tuple(RELATIONS)) -> Iterator[pd.DataFrame]:
     for pdf in frames:
         units, docs, size = [], [], 0
         for unit, payload in zip(pdf["unit_id"], pdf["payload"]):
             doc = _unwrap(payload)
             if docs and size + len(doc) > CHUNK_BYTES:
-                yield _typed(flatten_chunk(units, docs))
+                yield _typed(flatten_chunk(units, docs, relations))
                 units, docs, size = [], [], 0
             units.append(unit)
             docs.append(doc)
             size += len(doc)
         if docs:
-            yield _typed(flatten_chunk(units, docs))
+            yield _typed(flatten_chunk(units, docs, relations))
 
 
 def _typed(out: pd.DataFrame) -> pd.DataFrame:
@@ -255,8 +282,8 @@ def _typed(out: pd.DataFrame) -> pd.DataFrame:
     return out
 
 
-def flatten(payloads: DataFrame) -> DataFrame:
-    """Rows of SCHEMA from (unit_id, payload JSON text): all relations in one frame, told apart by ``rel``.
+def flatten(payloads: DataFrame, relations: Iterable[str] = tuple(RELATIONS)) -> DataFrame:
+    """Rows of SCHEMA from (unit_id, payload JSON text): all relations asked for in one frame, told apart by ``rel``.
 
     Rows keep their place (table_no, row_no, col_no from 0, null members counted) as their link to the row above
     them: unit < table < column, and table < row < value. A value may be an object with value and cell_state, a
@@ -265,7 +292,7 @@ def flatten(payloads: DataFrame) -> DataFrame:
     accepted. Payloads that are no JSON object (null, empty, cut off, malformed) give one row ``unreadable``.
     Of repeated member names the last counts. An empty table gives an empty result; other columns are ignored.
     """
-    return payloads.select("unit_id", "payload").mapInPandas(_batches, SCHEMA)
+    return payloads.select("unit_id", "payload").mapInPandas(partial(_batches, relations=tuple(relations)), schema_of(relations))
 
 
 def unit_payloads(parsed: DataFrame, parsed_raw: DataFrame) -> DataFrame:

@@ -64,7 +64,8 @@ def p5_flat(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return stated_values(p5_flat(spark, sf_dir))
+    payloads = unit_payloads(table(spark, sf_dir, "parsed"), table(spark, sf_dir, "parsed_raw"))
+    return stated_values(flatten(payloads, ["value"]))
 
 
 QUERIES = {f.__name__: f for f in (p1_found, p1_units, p1_quality, p2_found, p4_found, p4_paths, p5_found, p5_flat)}
