@@ -31,11 +31,9 @@ def page_token(text: Column) -> Column:
     return cell_number(t)
 
 
-def expand_pages(ranges: Column, most: int = 2_000) -> Column:
-    """"3,5-7" as a sorted array of pages; turned ranges are read the right way, other words skipped, at most ``most`` pages a range."""
+def expand_pages(ranges: Column) -> Column:
+    """"3,5-7" as a sorted array of pages, of at most six digits; turned ranges are read the right way, other words skipped."""
     parts = F.transform(F.split(F.regexp_replace(ranges, r"[–—]", "-"), ","), lambda x: F.trim(x))
-    a = lambda x: F.regexp_extract(x, r"^(\d{1,6})", 1).try_cast("int")
-    b = lambda x: F.regexp_extract(x, r"^\d{1,6}\s*-\s*(\d{1,6})$", 1).try_cast("int")
     good = F.filter(parts, lambda x: x.rlike(r"^\d{1,6}(\s*-\s*\d{1,6})?$"))
-    pages = F.transform(good, lambda x: F.sequence(F.least(a(x), F.coalesce(b(x), a(x))), F.least(F.greatest(a(x), F.coalesce(b(x), a(x))), F.least(a(x), F.coalesce(b(x), a(x))) + most - 1)))
-    return F.array_sort(F.array_distinct(F.flatten(pages)))
+    ends = F.transform(good, lambda x: F.transform(F.split(x, "-"), lambda y: F.trim(y).cast("int")))
+    return F.array_sort(F.array_distinct(F.flatten(F.transform(ends, lambda e: F.sequence(F.array_min(e), F.array_max(e))))))

@@ -10,6 +10,8 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
 
+from ledgerloom.runtime import small_side
+
 
 def latest_by(df: DataFrame, keys: Sequence[str], order: Sequence[str], ties: Sequence[str]) -> DataFrame:
     """One row a key: the one with the greatest ``order`` (nulls least), then the smallest ``ties``.
@@ -118,9 +120,9 @@ def signed_composition(facts: DataFrame, members: DataFrame, on: Sequence[str],
     declared members have a value.
     """
     declared = members.groupBy("item").agg(F.count("*").alias("declared"))
-    joined = facts.join(F.broadcast(members), list(on)).where(F.col(value).isNotNull())
+    joined = facts.join(small_side(members), list(on)).where(F.col(value).isNotNull())
     sums = joined.groupBy("item", *by).agg(F.sum(F.col("sign") * F.col(value)).alias("value"), F.count_distinct(*on).alias("members"))
-    return sums.join(F.broadcast(declared), "item").withColumn("complete", F.col("members") == F.col("declared"))
+    return sums.join(small_side(declared), "item").withColumn("complete", F.col("members") == F.col("declared"))
 
 
 def place_on_axis(facts: DataFrame, axis: DataFrame) -> DataFrame:

@@ -11,11 +11,11 @@ from ledgerloom.functions.text import label_key, plain, slug, squeeze, strip_foo
 from ledgerloom.functions.units import unit_of_heading, with_stated_unit
 from ledgerloom.functions.values import cell_number, cell_state
 from ledgerloom.operators.axes import AXES, column_members, resolve
-from ledgerloom.operators.generic import level_parent
+from ledgerloom.operators.generic import level_parent, strict_mode
 from ledgerloom.operators.hierarchy import table_links
 from ledgerloom.operators.structure import split_captions, whole_tables
 from ledgerloom.operators.totals import total_columns, verified_totals
-from ledgerloom.runtime import stage
+from ledgerloom.runtime import small_side, stage
 
 #: Column banners that name a legal entity, and the member that none means. Fixed values.
 ENTITIES = {"the group": "CONSOLIDATED", "group": "CONSOLIDATED", "the bank": "BANK_SOLO", "bank": "BANK_SOLO", "the company": "COMPANY_SOLO", "company": "COMPANY_SOLO"}
@@ -31,8 +31,12 @@ def raw_tables(units: DataFrame, filings: DataFrame) -> DataFrame:
     Input: units (unit_id, doc_id, tables), each unit once; filings (doc_id, institution, doc_period). A title that is
     nothing but a masthead changes place with a label header that says more.
     """
-    rows = units.select("unit_id", "doc_id", F.posexplode("tables").alias("at", "t")).where("t is not null")
-    rows = rows.withColumn("table_no", F.row_number().over(W.partitionBy("doc_id").orderBy("unit_id", "at")))
+    # numbers come from slim rows: how many tables the filing's earlier units have
+    present = F.filter("tables", lambda t: t.isNotNull())
+    before = W.partitionBy("doc_id").orderBy("unit_id").rowsBetween(W.unboundedPreceding, -1)
+    counts = units.select("unit_id", "doc_id", F.coalesce(F.size(present), F.lit(0)).alias("n")).select(c("unit_id").alias("u"), c("doc_id").alias("d"), F.coalesce(F.sum("n").over(before), F.lit(0)).cast("int").alias("before"))
+    numbered = units.join(small_side(counts), c("unit_id").eqNullSafe(c("u")) & c("doc_id").eqNullSafe(c("d")))
+    rows = numbered.select("unit_id", "doc_id", "before", F.posexplode(present).alias("at", "t")).withColumn("table_no", c("before") + c("at") + 1)
     rows = rows.join(filings.select("doc_id", "institution", "doc_period"), "doc_id", "left")
     words = lambda x: F.filter(F.split(F.regexp_replace(F.lower(F.coalesce(x, F.lit(""))), "[^a-z0-9]+", " "), " "), lambda w: w != "")
     extra = F.array_except(words(c("t.title")), F.concat(words(c("institution")), F.array(*[F.lit(w) for w in MASTHEAD])))
@@ -133,27 +137,19 @@ def build_star(units: DataFrame, filings: DataFrame, only: set[str] | None = Non
     cells = kept.select(*KEY, "row_id", F.posexplode("values").alias("at", "v")).select(*KEY, "row_id", (c("at") + 1).alias("col_id"), c("v.value").alias("value_raw"))
     cells = cells.withColumns({"cell_state": cell_state(c("value_raw")), "value_num": cell_number(c("value_raw"))})
     titled = stage(tables.select(*KEY, "unit_id", "institution", "doc_period", "title", "label_header", "section_id", "continued", read_period(c("title")).alias("t")))
-    no_unit = F.lit(None).cast("string")
-    facts = cells.join(cols, [*KEY, "col_id"]).join(rows.select(*KEY, "row_id", "label", c("period").alias("r_period"), c("period_span").alias("r_span"), "banner_period", "banner_span", *[c(a).alias(f"r_{a}") for a in AXES]), [*KEY, "row_id"]).join(titled.select(*KEY, "doc_period", "title", "label_header", "t"), KEY)
-    facts = with_stated_unit(facts.withColumns({"u": no_unit}), "unit", row_unit="u", row_label="label", col_unit="u", col_label="leaf", table_unit="u", table_title="title")
-    sources = [("col", c("period"), c("period_span")), ("row", c("r_period"), c("r_span")), ("row_banner", c("banner_period"), c("banner_span")), ("table_title", c("t.end"), c("t.span")), ("document", c("doc_period"), no_unit)]
-    chosen = F.coalesce(*[F.when(p.isNotNull(), F.struct(p.alias("period"), s.alias("period_span"), F.lit(n).alias("period_source"))) for n, p, s in sources])
-    facts = stage(facts.withColumn("chosen", chosen).select(
-        *KEY, "row_id", "col_id", "value_raw", "value_num", "cell_state", "unit", "chosen.*", span_start(c("chosen.period_span"), c("chosen.period")).alias("period_start"),
-        F.coalesce("legal_entity", F.lit("CONSOLIDATED")).alias("legal_entity"), *[F.coalesce(f"r_{a}", a, F.lit(total)).alias(a) for a, total in AXES.items()], "col_role",
-    ))
-    votes = facts.where("unit is not null").select(*KEY, "unit").distinct().groupBy("doc_id", "unit").count()
-    best = votes.groupBy("doc_id").agg(F.max("count").alias("top"))
-    modal = votes.join(best, "doc_id").where(c("count") == c("top")).groupBy("doc_id").agg(F.min("unit").alias("modal"), F.count("*").alias("ties")).where("ties = 1").select("doc_id", "modal")
     named = lambda df: df.withColumnRenamed("table_no", "table_id").withColumn("table_id", c("table_id").cast("string"))
     need = only or {"table_t", "col_dim", "row_dim", "cell_fact", "sums", "column_sums", "load_warning"}
-    when = facts.groupBy(*KEY).agg(F.max(F.when(c("period_source") == "col", c("period"))).alias("col_period"))
+    when = cells.select(*KEY, "col_id").distinct().join(cols.select(*KEY, "col_id", "period"), [*KEY, "col_id"]).groupBy(*KEY).agg(F.max("period").alias("col_period"))
     table_t = titled.join(when, KEY, "left").withColumn("table_period", F.coalesce(c("t.end"), c("col_period"), c("doc_period")))
     table_t = table_t.withColumn("table_id", F.concat_ws("|", F.coalesce("section_id", F.lit("")), slug(c("title")), c("table_period").cast("string"))).drop("t")
-    twice = table_t.groupBy("doc_id", "table_id").agg(F.count("*").alias("n")).where("n > 1")
-    ids = table_t.select(*KEY, "table_id")
     out = {"table_t": table_t, "col_dim": cols.drop("ambiguous", "banner_ambiguous")}
+    if not need - set(out):
+        return out
+    facts = stage(_facts(cells, cols, rows, titled))
+    ids = table_t.select(*KEY, "table_id")
     if "cell_fact" in need:
+        votes = facts.where("unit is not null").select(*KEY, "unit").distinct()
+        modal = strict_mode(votes, ["doc_id"], "unit").select("doc_id", c("mode").alias("modal"))
         out["cell_fact"] = facts.join(modal, "doc_id", "left").withColumn("unit", F.coalesce("unit", "modal")).drop("modal").join(ids, KEY)
     if "column_sums" in need:
         out["column_sums"] = total_columns(named(facts), named(cols))
@@ -162,11 +158,7 @@ def build_star(units: DataFrame, filings: DataFrame, only: set[str] | None = Non
         sums = verified_totals(named(rows), named(facts), named(column_units)).withColumn("table_no", c("table_id").cast("int")).drop("table_id")
         out["sums"] = sums = stage(sums)
     if "load_warning" in need:
-        warnings = wide.select("doc_id", "table_no", F.concat(F.lit("row "), c("row_id").cast("string"), F.lit(" is wider than the heading")).alias("warning"))
-        warnings = warnings.unionByName(ids.join(twice, ["doc_id", "table_id"]).select("doc_id", "table_no", F.concat(F.lit("table id comes twice: "), "table_id").alias("warning")))
-        doubtful = rows.where("ambiguous").select(*KEY, "label").unionByName(cols.where("ambiguous").select(*KEY, c("leaf").alias("label"))).unionByName(cols.where("banner_ambiguous").select(*KEY, c("banner").alias("label"))).distinct()
-        warnings = warnings.unionByName(doubtful.select(*KEY, F.concat(F.lit("label names members of several axes: "), "label").alias("warning")))
-        out["load_warning"] = warnings.unionByName(sums.where("sums_to is null").select("doc_id", "table_no", F.concat(F.lit("total "), c("row_id").cast("string"), F.lit(" not verified: "), "outcome").alias("warning")))
+        out["load_warning"] = _warnings(wide, ids, rows, cols, sums)
     if "row_dim" in need:
         parents = row_parents(rows, printed_links(tables), sums)
         sums_of = sums.where("sums_to is not null").select(*KEY, "row_id", "sums_to", "sums_sign")
@@ -174,6 +166,30 @@ def build_star(units: DataFrame, filings: DataFrame, only: set[str] | None = Non
     return out
 
 
+def _facts(cells: DataFrame, cols: DataFrame, rows: DataFrame, titled: DataFrame) -> DataFrame:
+    """Cells with their unit, period and its source, legal entity and axis members."""
+    no_unit = F.lit(None).cast("string")
+    facts = cells.join(cols, [*KEY, "col_id"]).join(rows.select(*KEY, "row_id", "label", c("period").alias("r_period"), c("period_span").alias("r_span"), "banner_period", "banner_span", *[c(a).alias(f"r_{a}") for a in AXES]), [*KEY, "row_id"]).join(titled.select(*KEY, "doc_period", "title", "label_header", "t"), KEY)
+    facts = with_stated_unit(facts.withColumn("u", no_unit), "unit", row_unit="u", row_label="label", col_unit="u", col_label="leaf", table_unit="u", table_title="title")
+    sources = [("col", c("period"), c("period_span")), ("row", c("r_period"), c("r_span")), ("row_banner", c("banner_period"), c("banner_span")), ("table_title", c("t.end"), c("t.span")), ("document", c("doc_period"), no_unit)]
+    chosen = F.coalesce(*[F.when(p.isNotNull(), F.struct(p.alias("period"), s.alias("period_span"), F.lit(n).alias("period_source"))) for n, p, s in sources])
+    return facts.withColumn("chosen", chosen).select(
+        *KEY, "row_id", "col_id", "value_raw", "value_num", "cell_state", "unit", "chosen.*", span_start(c("chosen.period_span"), c("chosen.period")).alias("period_start"),
+        F.coalesce("legal_entity", F.lit("CONSOLIDATED")).alias("legal_entity"), *[F.coalesce(f"r_{a}", a, F.lit(total)).alias(a) for a, total in AXES.items()], "col_role",
+    )
+
+
+def _warnings(wide: DataFrame, ids: DataFrame, rows: DataFrame, cols: DataFrame, sums: DataFrame) -> DataFrame:
+    """What was left out, is doubtful or could not be verified."""
+    twice = ids.groupBy("doc_id", "table_id").agg(F.count("*").alias("n")).where("n > 1")
+    doubtful = rows.where("ambiguous").select(*KEY, "label").unionByName(cols.where("ambiguous").select(*KEY, c("leaf").alias("label"))).unionByName(cols.where("banner_ambiguous").select(*KEY, c("banner").alias("label"))).distinct()
+    said = lambda df, *parts: df.select(*KEY, F.concat(*parts).alias("warning"))
+    out = said(wide, F.lit("row "), c("row_id").cast("string"), F.lit(" is wider than the heading"))
+    out = out.unionByName(said(ids.join(twice, ["doc_id", "table_id"]), F.lit("table id comes twice: "), c("table_id")))
+    out = out.unionByName(said(doubtful, F.lit("label names members of several axes: "), c("label")))
+    return out.unionByName(said(sums.where("sums_to is null"), F.lit("total "), c("row_id").cast("string"), F.lit(" not verified: "), c("outcome")))
+
+
 def breakdown_violations(star: dict[str, DataFrame]) -> DataFrame:
     """Verified members whose signed sum misses their total by more than a unit a member: must be empty."""
     facts = star["cell_fact"].where("value_num is not null and coalesce(unit, '') <> 'percent'").select(*KEY, "row_id", "col_id", "value_num")

@@ -22,11 +22,11 @@ def resolve_candidates(candidates: DataFrame, gap: float = 1.0) -> DataFrame:
     the cluster with the best tier wins, then the least deep, the most supported, the largest. Within it the most
     frequent value counts, equal ones by the smaller magnitude; the sign is that of most candidates.
     """
-    whole = W.partitionBy(*GRAIN)
-    rows = candidates.where("value_num is not null and not isnan(value_num)")
-    rows = rows.withColumn("any", F.max(F.coalesce("anchored", F.lit(False))).over(whole)).where("not any or anchored")
-    rows = gap_clusters(rows, GRAIN, F.abs("value_num"), ["place"], gap)
-    values = rows.groupBy(*GRAIN, "cluster", F.abs("value_num").alias("size")).agg(F.count("*").alias("n"), F.min("tier").alias("tier"), F.min("depth").alias("depth"), F.sum(F.signum("value_num")).alias("signs"), F.min_by("unit", F.struct("tier", "place")).alias("unit"))
+    rows = candidates.where("value_num is not null and not isnan(value_num)").withColumn("anchored", F.coalesce("anchored", F.lit(False)))
+    # equal values are one row before any window, so a window is as long as a metric has different values
+    sized = rows.groupBy(*GRAIN, "anchored", F.abs("value_num").alias("size")).agg(F.count("*").alias("n"), F.min("tier").alias("tier"), F.min("depth").alias("depth"), F.sum(F.signum("value_num")).alias("signs"), F.min_by("unit", F.struct("tier", "place")).alias("unit"))
+    values = sized.withColumn("any", F.max("anchored").over(W.partitionBy(*GRAIN))).where("not any or anchored")
+    values = gap_clusters(values, GRAIN, c("size"), ["size"], gap)
     best = F.min_by(F.struct("size", "unit"), F.struct((-c("n")), "size")).alias("b")
     clusters = values.groupBy(*GRAIN, "cluster").agg(best, F.sum("n").alias("n"), F.min("tier").alias("tier"), F.min("depth").alias("depth"), F.sum("signs").alias("signs"))
     rank = F.struct("tier", c("depth").isNull(), "depth", -c("n"), -c("b.size"))

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import difflib
 from dataclasses import dataclass, field, replace
 
 from pyspark.sql import DataFrame
@@ -142,12 +141,16 @@ def page_parity(cells: DataFrame, lines: DataFrame, words: DataFrame) -> DataFra
     asks = cells.where("value_num is not null").withColumns({"n": number(c("value_num")), "k": key(c("label"))})
     near = asks.join(lines.select("doc_id", "page", "line", key(c("text")).alias("lk")), ["doc_id", "page"])
     near = near.where(F.size(F.array_intersect("k", "lk")) >= 0.6 * F.size("k")).select("doc_id", "page", "cell_id", "line", "n")
-    on_line = near.join(printed.distinct(), ["doc_id", "page", "line", "n"]).select("doc_id", "page", "cell_id").distinct().withColumn("tier", F.lit("line"))
-    rest = asks.join(on_line, ["doc_id", "page", "cell_id"], "left_anti")
-    stock = printed.groupBy("doc_id", "page", "n").agg(F.count("*").alias("there"))
+    on_lines = printed.groupBy("doc_id", "page", "line", "n").agg(F.count("*").alias("there"))
+    # a cell asks on the first of its lines that has its number; a line gives each of its tokens once
+    first = near.join(on_lines, ["doc_id", "page", "line", "n"]).groupBy("doc_id", "page", "cell_id", "n").agg(F.min(F.struct("line", "there")).alias("l")).select("doc_id", "page", "cell_id", "n", "l.*")
+    on_line = first.withColumn("nth", F.row_number().over(W.partitionBy("doc_id", "page", "line", "n").orderBy("cell_id"))).where("nth <= there")
+    used = on_line.groupBy("doc_id", "page", "n").agg(F.count("*").alias("used"))
+    rest = asks.join(on_line.select("doc_id", "page", "cell_id"), ["doc_id", "page", "cell_id"], "left_anti")
+    stock = on_lines.groupBy("doc_id", "page", "n").agg(F.sum("there").alias("there")).join(used, ["doc_id", "page", "n"], "left").withColumn("left", c("there") - F.coalesce("used", F.lit(0)))
     order = W.partitionBy("doc_id", "page", "n").orderBy("cell_id")
-    on_page = rest.withColumn("nth", F.row_number().over(order)).join(stock, ["doc_id", "page", "n"]).where("nth <= there").select("doc_id", "page", "cell_id", F.lit("page").alias("tier"))
-    found = on_line.unionByName(on_page)
+    on_page = rest.withColumn("nth", F.row_number().over(order)).join(stock, ["doc_id", "page", "n"]).where("nth <= left").select("doc_id", "page", "cell_id", F.lit("page").alias("tier"))
+    found = on_line.select("doc_id", "page", "cell_id", F.lit("line").alias("tier")).unionByName(on_page)
     return asks.join(found, ["doc_id", "page", "cell_id"], "left").select("doc_id", "page", "cell_id", F.coalesce("tier", F.lit("missing")).alias("tier"))
 
 
@@ -183,41 +186,43 @@ class QuerySpec:
     problems: tuple[str, ...] = field(default=())
 
 
-#: Most names of one kind that are read to check a spec.
-MOST_NAMES = 50_000
+def _known(facts: DataFrame, column: str, asked: tuple[str, ...]) -> dict[str, tuple[str | None, list[str]]]:
+    """For each name asked for the stored one it is, case aside, and the three closest others."""
+    if not asked:
+        return {}
+    names = facts.where(c(column).isNotNull()).select(c(column).alias("name")).distinct()
+    pairs = names.select("name", F.explode(F.array(*[F.lit(x) for x in dict.fromkeys(asked)])).alias("asked"))
+    key, bare = F.lower("name"), F.lower(F.trim("asked"))
+    close = 1 - F.levenshtein(key, bare) / F.greatest(F.length(key), F.length(bare))
+    near = pairs.withColumn("close", close).where("close >= 0.5")
+    top = near.withColumn("place", F.row_number().over(W.partitionBy("asked").orderBy(c("close").desc(), "name"))).where("place <= 3")
+    got = top.select("asked", "name", "close").orderBy("asked", "place").collect()  # three for each name asked
+    return {x: (next((r["name"] for r in got if r["asked"] == x and r["close"] == 1), None), [r["name"] for r in got if r["asked"] == x]) for x in asked}
 
 
 def validate_spec(spec: QuerySpec, facts: DataFrame, most: int = 12) -> QuerySpec:
     """The spec completed: unknown names named with close ones, turned ranges put right, no more than ``most`` concepts.
 
-    The registry of names is what ``facts`` have; it is as small as the dictionary, and read once.
+    The names are those that ``facts`` have; they are compared where they are, and only the closest come back.
     """
-    names = sorted(r[0] for r in facts.select("concept_key").where("concept_key is not null").distinct().limit(MOST_NAMES + 1).collect())
-    houses = sorted(r[0] for r in facts.select("institution").where("institution is not null").distinct().limit(MOST_NAMES + 1).collect())
-    if max(len(names), len(houses)) > MOST_NAMES:
-        raise ValueError(f"more than {MOST_NAMES} names of concepts or institutions")
     problems, good = [], []
-    for have, known, what in ((spec.concepts, names, "concept"), (spec.institutions, houses, "institution")):
-        kept = []
-        for x in have:
-            exact = {k.lower(): k for k in known}.get(x.strip().lower())
-            if exact:
-                kept.append(exact)
-            else:
-                near = difflib.get_close_matches(x, known, 3)
-                problems.append(f"no {what} {x!r}" + (f"; close: {', '.join(near)}" if near else ""))
-        good.append(tuple(dict.fromkeys(kept)))
+    for asked, column, what in ((spec.concepts, "concept_key", "concept"), (spec.institutions, "institution", "institution")):
+        known = _known(facts, column, asked)
+        problems += [f"no {what} {x!r}" + (f"; close: {', '.join(near)}" if near else "") for x, (name, near) in known.items() if name is None]
+        good.append(tuple(dict.fromkeys(name for name, _ in known.values() if name is not None)))
     if len(good[0]) > most:
         problems.append(f"{len(good[0])} concepts; the first {most} are taken")
     start, end = spec.start, spec.end
     if start and end and start > end:
         start, end = end, start
-    return replace(spec, concepts=good[0][:most], institutions=good[1] or tuple(houses), start=start, end=end, problems=tuple(problems))
+    return replace(spec, concepts=good[0][:most], institutions=good[1], start=start, end=end, problems=tuple(problems))
 
 
 def run_spec(spec: QuerySpec, facts: DataFrame) -> DataFrame:
     """Facts that a validated spec asks for; every part becomes a filter that reaches the scan."""
-    out = facts.where(c("concept_key").isin(list(spec.concepts)) & c("institution").isin(list(spec.institutions)))
+    out = facts.where(c("concept_key").isin(list(spec.concepts)))
+    if spec.institutions:
+        out = out.where(c("institution").isin(list(spec.institutions)))
     if spec.start:
         out = out.where(c("period") >= F.lit(spec.start).cast("date"))
     if spec.end:

@@ -1,5 +1,7 @@
 import pytest
+from pyspark.sql import functions as F
 
+from ledgerloom.functions.values import expand_pages
 from ledgerloom.operators import serving as S
 from ledgerloom.plans import metric_queries
 from ledgerloom.plans.engine_queries import QUERIES
@@ -34,6 +36,19 @@ def test_long_lists_are_not_cut(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(metric_queries, "BROADCAST_ROWS", 2)
     with pytest.raises(ValueError):
         metric_queries.QUERIES["coverage_matrix"](spark, str(tmp_path))
-    monkeypatch.setattr(S, "MOST_NAMES", 2)
-    with pytest.raises(ValueError):
-        S.validate_spec(S.QuerySpec(("c0",)), spark.createDataFrame([(f"c{i}", "A") for i in range(3)], "concept_key string, institution string"))
+    facts = spark.createDataFrame([(f"c{i}", "A") for i in range(3)], "concept_key string, institution string")
+    spec = S.validate_spec(S.QuerySpec(("C2", "c9")), facts)
+    assert spec.concepts == ("c2",) and spec.institutions == () and spec.problems == ("no concept 'c9'; close: c0, c1, c2",)
+
+
+def test_wide_page_ranges(spark):
+    df = spark.createDataFrame([("1-5000, 7",), ("999999",)], "r string").select(expand_pages(F.col("r")).alias("p"))
+    assert [(len(x["p"]), x["p"][-1]) for x in df.collect()] == [(5000, 5000), (1, 999999)]
+
+
+def test_each_printed_token_serves_once(spark):
+    """Two cells of one label and number, printed once on its line and once elsewhere, and a third that is not printed any more."""
+    cells = spark.createDataFrame([("d", 1, i, "Costs", 5.0) for i in (1, 2, 3)], "doc_id string, page int, cell_id int, label string, value_num double")
+    lines = spark.createDataFrame([("d", 1, 1, "Costs 5"), ("d", 1, 2, "elsewhere 5")], "doc_id string, page int, line int, text string")
+    words = spark.createDataFrame([("d", 1, 1, "5"), ("d", 1, 2, "5")], "doc_id string, page int, line int, text string")
+    assert {x["cell_id"]: x["tier"] for x in S.page_parity(cells, lines, words).collect()} == {1: "line", 2: "page", 3: "missing"}
