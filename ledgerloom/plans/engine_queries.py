@@ -313,64 +313,6 @@ def cluster_gap(spark: SparkSession, d: str) -> DataFrame:
     return G.gap_clusters(base, ["institution", "concept_key", "period"], F.abs("value_num"), ["doc_id", "table_id", "row_id", "col_id"], 1.0).drop("value_num")
 
 
-_TIER = {"human_anchor": 0, "masterlist": 1, "alias": 2, "llm": 3}
-
-
-@query(f"""
-WITH {_CELL}, a AS (SELECT institution, concept_key, period, period_span, round(abs(value_num), 0) v, value_num, CASE identity_source WHEN 'human_anchor' THEN 0 WHEN 'masterlist' THEN 1 WHEN 'alias' THEN 2 WHEN 'llm' THEN 3 ELSE 4 END tier, row_hierarchy FROM v WHERE value_num IS NOT NULL AND concept_key IS NOT NULL),
-g AS (SELECT institution, concept_key, period, period_span, v, min(tier) tier, min(row_hierarchy) depth, count(*) support, max(value_num) value_num FROM a GROUP BY 1, 2, 3, 4, 5),
-r AS (SELECT *, count(*) OVER w candidates, row_number() OVER (PARTITION BY institution, concept_key, period, period_span ORDER BY tier, depth NULLS LAST, support DESC, v DESC) k FROM g WINDOW w AS (PARTITION BY institution, concept_key, period, period_span))
-SELECT institution, concept_key, period, period_span, value_num, support, candidates, CASE WHEN candidates = 1 THEN 'single' ELSE 'conflict' END AS resolved_by FROM r WHERE k = 1
-""")
-def conflict_resolution(spark: SparkSession, d: str) -> DataFrame:
-    """One value for each metric among those stated: best tier, least deep, most support, largest."""
-    keys = ["institution", "concept_key", "period", "period_span"]
-    tier = F.lit(4)
-    for name, rank in _TIER.items():
-        tier = F.when(c("identity_source") == name, rank).otherwise(tier)
-    base = cells(spark, d).where("value_num is not null and concept_key is not null").select(*keys, F.round(F.abs("value_num"), 0).alias("v"), "value_num", tier.alias("tier"), "row_hierarchy")
-    groups = base.groupBy(*keys, "v").agg(F.min("tier").alias("tier"), F.min("row_hierarchy").alias("depth"), F.count("*").alias("support"), F.max("value_num").alias("value_num"))
-    best = groups.groupBy(*keys).agg(F.min_by(F.struct("value_num", "support"), F.struct("tier", c("depth").isNull(), "depth", -c("support"), -c("v"))).alias("x"), F.count("*").alias("candidates"))
-    return best.select(*keys, "x.value_num", "x.support", "candidates", F.when(c("candidates") == 1, "single").otherwise("conflict").alias("resolved_by"))
-
-
-_ONE = """o AS (SELECT institution, concept_key, period, period_span, max(value_num) x FROM fact_metric WHERE segment_key = 'SEG_TOTAL' AND geo_key = 'GLOBAL' AND legal_entity = 'CONSOLIDATED' AND value_num IS NOT NULL AND NOT isnan(value_num) AND period IS NOT NULL GROUP BY 1, 2, 3, 4)"""
-
-
-def _one_each(spark: SparkSession, d: str) -> DataFrame:
-    """Whole-book metrics, one value each."""
-    rows = table(spark, d, "fact_metric").where("segment_key = 'SEG_TOTAL' and geo_key = 'GLOBAL' and legal_entity = 'CONSOLIDATED' and value_num is not null and not isnan(value_num) and period is not null")
-    return rows.groupBy("institution", "concept_key", "period", "period_span").agg(F.max("value_num").alias("x"))
-
-
-@query(f"""
-WITH {_ONE}, b AS (SELECT institution, period, x, lag(x) OVER (PARTITION BY institution, period_span ORDER BY period) prev, period_span FROM o WHERE concept_key = 'bs.assets'),
-a AS (SELECT institution, period, max(x + coalesce(prev, x)) / 2 avg_assets FROM b GROUP BY 1, 2)
-SELECT o.institution, o.period, o.period_span, round(100 * o.x / avg_assets, 6) AS ratio FROM o JOIN a USING (institution, period) WHERE concept_key = 'pnl.income' AND avg_assets <> 0
-""")
-def prev_period_avg_ratio(spark: SparkSession, d: str) -> DataFrame:
-    """Income over the mean of this and the previous period's assets, in per cent; the first period has only its own."""
-    one = _one_each(spark, d)
-    order = W.partitionBy("institution", "period_span").orderBy("period")
-    assets = one.where("concept_key = 'bs.assets'").withColumn("prev", F.lag("x").over(order)).groupBy("institution", "period").agg((F.max(c("x") + F.coalesce("prev", "x")) / 2).alias("avg_assets"))
-    return one.where("concept_key = 'pnl.income'").join(assets, ["institution", "period"]).where("avg_assets <> 0").select("institution", "period", "period_span", F.round(100 * c("x") / c("avg_assets"), 6).alias("ratio"))
-
-
-_RATIOS = [("cost_income", "pnl.staff_outlay", "pnl.income"), ("loans_to_deposits", "bs.lending.gross", "bs.deposits"), ("equity_to_assets", "bs.equity", "bs.assets"), ("npa_ratio", "npa.gross", "bs.lending.gross")]
-
-
-@query(f"""
-WITH {_ONE}, f(ratio, num, den) AS (VALUES {", ".join(f"('{a}', '{b}', '{e}')" for a, b, e in _RATIOS)})
-SELECT a.institution, a.period, ratio, round(100 * max(a.x) / max(b.x), 6) AS value FROM f JOIN o a ON a.concept_key = num JOIN o b ON b.concept_key = den AND b.institution = a.institution AND b.period = a.period GROUP BY 1, 2, 3 HAVING max(b.x) <> 0
-""")
-def derived_ratios(spark: SparkSession, d: str) -> DataFrame:
-    """Declared ratios over the wide pivot of metrics; no ratio where a part is missing or the base is 0."""
-    names = sorted({x for _, a, b in _RATIOS for x in (a, b)})
-    wide = _one_each(spark, d).where(c("concept_key").isin(names)).groupBy("institution", "period").pivot("concept_key", names).agg(F.max("x"))
-    made = F.array(*[F.struct(F.lit(r).alias("ratio"), F.round(F.try_divide(100 * c(f"`{a}`"), c(f"`{b}`")), 6).alias("value")) for r, a, b in _RATIOS])
-    return wide.select("institution", "period", F.explode(made).alias("r")).select("institution", "period", "r.*").where("value is not null")
-
-
 @query("""
 WITH s AS (SELECT institution, concept_key, period, period_span, segment_key, max(value_num) x FROM fact_metric WHERE value_num IS NOT NULL AND NOT isnan(value_num) AND segment_key <> 'SEG_TOTAL' AND geo_key = 'GLOBAL' AND legal_entity = 'CONSOLIDATED' GROUP BY 1, 2, 3, 4, 5),
 m AS (SELECT count(DISTINCT segment_key) n FROM fact_metric WHERE segment_key <> 'SEG_TOTAL'),

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.functions.labels import caption_key, caption_parts, filing_family, segment
+from ledgerloom.functions.labels import caption_key, caption_parts, filing_family
 from ledgerloom.operators import metrics as M
 from ledgerloom.runtime import BROADCAST_ROWS, table
 
@@ -40,16 +40,75 @@ def _built(spark: SparkSession, d: str) -> DataFrame:
     return M.resolve_candidates(rows)
 
 
-@query()
+_G = ", ".join(M.GRAIN)
+_BUILT = f"""{_CELL}, a0 AS (SELECT institution, concept_key, period, period_span, coalesce(segment_key, 'SEG_TOTAL') segment_key, coalesce(geo_key, 'GLOBAL') geo_key, coalesce(industry_key, 'IND_TOTAL') industry_key, coalesce(legal_entity, 'CONSOLIDATED') legal_entity, value_num, unit,
+ CASE identity_source WHEN 'human_anchor' THEN 0 WHEN 'masterlist' THEN 1 WHEN 'alias' THEN 2 WHEN 'llm' THEN 3 ELSE 4 END tier, row_hierarchy depth, doc_id || '/' || table_id || '/' || lpad(row_id::VARCHAR, 6, '0') || '/' || lpad(col_id::VARCHAR, 6, '0') place FROM v WHERE concept_key IS NOT NULL AND value_num IS NOT NULL AND NOT isnan(value_num)),
+a1 AS (SELECT *, bool_or(tier = 0) OVER (PARTITION BY {_G}) anchored FROM a0), a2 AS (SELECT * FROM a1 WHERE NOT anchored OR tier = 0),
+s AS (SELECT {_G}, abs(value_num) size, count(*) n, min(tier) tier, min(depth) depth, sum(sign(value_num)) signs, first(unit ORDER BY tier, place) unit FROM a2 GROUP BY ALL),
+s1 AS (SELECT *, CASE WHEN size - lag(size) OVER (PARTITION BY {_G} ORDER BY size) > 1.0 THEN 1 ELSE 0 END fresh FROM s), s2 AS (SELECT *, sum(fresh) OVER (PARTITION BY {_G} ORDER BY size) cluster FROM s1),
+k AS (SELECT {_G}, cluster, first(size ORDER BY n DESC, size) size, first(unit ORDER BY n DESC, size) unit, sum(n)::BIGINT n, min(tier) tier, min(depth) depth, sum(signs) signs FROM s2 GROUP BY ALL),
+w AS (SELECT *, row_number() OVER (PARTITION BY {_G} ORDER BY tier, depth NULLS LAST, n DESC, size DESC) place, sum(n) OVER (PARTITION BY {_G}) n_candidates, count(*) OVER (PARTITION BY {_G}) n_clusters, min(tier) OVER (PARTITION BY {_G}) t0, max(tier) OVER (PARTITION BY {_G}) t1 FROM k),
+built AS (SELECT {_G}, CASE WHEN signs < 0 THEN -size ELSE size END AS value_num, unit, n_candidates::BIGINT n_candidates, n_clusters, CASE WHEN n_candidates = 1 THEN 'single' WHEN n_clusters = 1 THEN 'cluster' WHEN t0 < t1 THEN 'tier' ELSE 'conflict' END AS resolved_by FROM w WHERE place = 1)"""
+
+
+@query(f"WITH {_BUILT} SELECT * FROM built")
+def conflict_resolution(spark: SparkSession, d: str) -> DataFrame:
+    """One value a metric from all records that state it: anchors, clusters, tiers, depth, support, size."""
+    return _built(spark, d)
+
+
+@query(f"""
+WITH {_BUILT}, o AS (SELECT institution, concept_key, min(unit) u FROM built WHERE unit IS NOT NULL GROUP BY 1, 2 HAVING count(DISTINCT unit) = 1), a AS (SELECT concept_key, min(unit) u FROM built WHERE unit IS NOT NULL GROUP BY 1 HAVING count(DISTINCT unit) = 1)
+SELECT b.* EXCLUDE (unit), coalesce(b.unit, o.u, a.u) AS unit FROM built b LEFT JOIN o ON o.institution = b.institution AND o.concept_key = b.concept_key LEFT JOIN a ON a.concept_key = b.concept_key
+""")
 def metric_build(spark: SparkSession, d: str) -> DataFrame:
-    """One value a metric from all records that state it."""
+    """The same with the missing units that only one reading allows."""
     return M.infer_units(_built(spark, d))
 
 
-@query()
+@query(f"""
+WITH {_BUILT}, x AS (SELECT {_G}, max(value_num) a, 1 ia FROM built GROUP BY ALL), y AS (SELECT {_G}, max(value_num) FILTER (NOT isnan(value_num)) b, 1 ib FROM fact_metric GROUP BY ALL),
+z AS (SELECT {_G}, max(a) a, max(b) b, max(ia) ia, max(ib) ib FROM (SELECT {_G}, a, NULL::DOUBLE b, ia, 0 ib FROM x UNION ALL SELECT {_G}, NULL, b, 0, ib FROM y) GROUP BY {_G})
+SELECT CASE WHEN ib = 0 THEN 'only_built' WHEN ia = 0 THEN 'only_stored' WHEN coalesce(abs(a - b) <= 0.5, a IS NULL AND b IS NULL) THEN 'same' ELSE 'differs' END AS status, count(*) AS metrics FROM z GROUP BY 1
+""")
 def metric_compare(spark: SparkSession, d: str) -> DataFrame:
     """Metrics built anew beside the stored ones of an earlier run."""
-    return M.compare_metrics(_built(spark, d), table(spark, d, "fact_metric")).groupBy("status").agg(F.count("*").alias("metrics"))
+    stored = table(spark, d, "fact_metric").withColumn("value_num", F.when(~F.isnan("value_num"), c("value_num")))
+    return M.compare_metrics(_built(spark, d), stored).groupBy("status").agg(F.count("*").alias("metrics"))
+
+
+_STORED = f"stored AS (SELECT {_G}, max(value_num) value_num FROM fact_metric WHERE value_num IS NOT NULL AND NOT isnan(value_num) AND period IS NOT NULL GROUP BY ALL)"
+
+
+def _stored(spark: SparkSession, d: str) -> DataFrame:
+    """Stored metrics, one value each."""
+    rows = table(spark, d, "fact_metric").where("value_num is not null and not isnan(value_num) and period is not null")
+    return rows.groupBy(*M.GRAIN).agg(F.max("value_num").alias("value_num"))
+
+
+@query(f"""
+WITH {_STORED}, s AS (SELECT *, lag(value_num) OVER (PARTITION BY institution, concept_key, period_span, segment_key, geo_key, industry_key, legal_entity ORDER BY period) AS prev FROM stored)
+SELECT {_G}, value_num, coalesce((value_num + prev) / 2, value_num, prev) AS average FROM s
+""")
+def prev_period_avg_ratio(spark: SparkSession, d: str) -> DataFrame:
+    """Every metric with the mean of its value and the one of the period before, which ratios on averages divide by."""
+    return M.period_average(_stored(spark, d))
+
+
+#: Ratios in per cent: name, part, base.
+RATIOS = [("cost_income", "pnl.staff_outlay", "pnl.income"), ("loans_to_deposits", "bs.lending.gross", "bs.deposits"), ("equity_to_assets", "bs.equity", "bs.assets"), ("npa_ratio", "npa.gross", "bs.lending.gross")]
+_K = ", ".join(k for k in M.GRAIN if k != "concept_key")
+_SAME = " AND ".join(f"a.{k} IS NOT DISTINCT FROM b.{k}" for k in M.GRAIN if k != "concept_key")
+
+
+@query(f"""
+WITH {_STORED}, f(ratio, num, den) AS (VALUES {", ".join(f"('{a}', '{b}', '{e}')" for a, b, e in RATIOS)}), r AS (SELECT {", ".join(f"a.{k}" for k in M.GRAIN if k != "concept_key")}, ratio AS concept_key, 100 * a.value_num / b.value_num AS value_num FROM f JOIN stored a ON a.concept_key = num JOIN stored b ON b.concept_key = den AND {_SAME} WHERE b.value_num <> 0)
+SELECT {_G}, value_num, 'reported' AS origin FROM stored UNION ALL SELECT {_G}, value_num, 'derived' FROM r WHERE NOT EXISTS (SELECT 1 FROM stored b WHERE b.concept_key = r.concept_key AND {_SAME.replace('a.', 'r.')})
+""")
+def derived_ratios(spark: SparkSession, d: str) -> DataFrame:
+    """Stored metrics and declared ratios, filled in where nothing is reported; none where a part is missing or the base is 0."""
+    declared = [(name, F.try_divide(100 * c(f"`{part}`"), c(f"`{base}`")), [part, base]) for name, part, base in RATIOS]
+    return M.formulas(_stored(spark, d), declared)
 
 
 @query("""
@@ -92,7 +151,10 @@ def coverage_matrix(spark: SparkSession, d: str) -> DataFrame:
     return M.coverage_matrix(declared, rows, _cells(spark, d))
 
 
-@query()
+@query(f"""
+WITH {_CELL}, t AS (SELECT doc_id, table_id, list_sort(list(coalesce(value_raw, ''))) s, count(*) FILTER (identity_source = 'human_anchor') anchors, max(row_hierarchy) depth FROM v GROUP BY 1, 2), k AS (SELECT *, count(*) OVER (PARTITION BY doc_id, s) copies, first_value(table_id) OVER (PARTITION BY doc_id, s ORDER BY anchors DESC, depth DESC, table_id) canonical_id FROM t)
+SELECT doc_id, table_id, canonical_id, table_id <> canonical_id AS quarantined FROM k WHERE copies > 1
+""")
 def canonical_tables(spark: SparkSession, d: str) -> DataFrame:
     """Of tables of one filing that print the same values the one that is kept."""
     cells = _cells(spark, d)
@@ -105,9 +167,3 @@ def caption_keys(spark: SparkSession, d: str) -> DataFrame:
     """Captions of all tables as keys, with their breakdowns, and the kinds of their filings."""
     rows = _cells(spark, d).select("doc_id", "table_id", "table_title").distinct()
     return rows.select("doc_id", "table_id", caption_key(c("table_title")).alias("key"), caption_parts(c("table_title"))["breakdown"].alias("breakdown"), filing_family(c("doc_id")).alias("family"))
-
-
-@query()
-def label_segments(spark: SparkSession, d: str) -> DataFrame:
-    """Row labels as identity segments."""
-    return table(spark, d, "row_dim").select("row_leaf_label").distinct().withColumn("segment", segment(c("row_leaf_label")))
