@@ -8,9 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerloom.functions.labels import segment
-from ledgerloom.functions.text import FOOTNOTE, HYPHENS, INVISIBLE, NARROW, SPACES, WIDE
 from ledgerloom.operators import checks as K
 from ledgerloom.operators import curate as U
+from ledgerloom.plans import sql as Q
 from ledgerloom.runtime import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -32,23 +32,6 @@ def query(sql: str | None = None):
     return register
 
 
-def plain_sql(x: str) -> str:
-    """plain in DuckDB's SQL."""
-    there, here = SPACES + WIDE + HYPHENS + INVISIBLE, " " * len(SPACES) + NARROW + "-" * len(HYPHENS)
-    there, here = (y.replace("'", "''") for y in (there, here))
-    return f"trim(translate({x}, '{there}', '{here}'))"
-
-
-def _segments(source: str, x: str) -> str:
-    """CTEs w and g: the source with its words, then with ``segment``."""
-    mark = FOOTNOTE.replace("'", "''")
-    text = plain_sql(f"translate({x}, '⁰¹²³⁴⁵⁶⁷⁸⁹', '')")
-    bare = f"trim(regexp_replace({text}, '{mark}+\\s*$', '', 'i'))"
-    words = f"regexp_extract_all(lower(replace(CASE WHEN {bare} = '' THEN {text} ELSE {bare} END, '&', ' and ')), '[\\p{{L}}\\p{{M}}\\p{{Nd}}\\p{{Nl}}]+')"
-    return f"""w AS (SELECT *, {words} AS words FROM {source}),
-g AS (SELECT * EXCLUDE (words), CASE WHEN len(words) > 1 AND regexp_full_match(words[-1], '(19|20)[0-9][0-9]|[0-9][0-9]?') THEN array_to_string(words[:-2], '_') WHEN len(words) > 0 THEN array_to_string(list_append(words[:-2], regexp_replace(words[-1], '([\\p{{L}}])[0-9]{{1,2}}$', '\\1')), '_') ELSE '' END AS segment FROM w)"""
-
-
 def cells(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "v_cell").dropDuplicates(CELL_KEY)
 
@@ -181,7 +164,7 @@ _MERE = rf"^(as|at|of|on|for|the|in|period|year|half|quarter|ended|\s|[(),.:;-])
 
 
 @query(f"""
-WITH {_TABLES}, s AS (SELECT unit_id, table_no, row_no AS row_id, coalesce(r.row_type, 'data') kind, coalesce(trim(r.label), '') = '' AS blank, {_FILLED} AS valued, coalesce(regexp_matches(lower({plain_sql('r.label')}), '{_MERE}'), false) AS period FROM r WHERE r IS NOT NULL),
+WITH {_TABLES}, s AS (SELECT unit_id, table_no, row_no AS row_id, coalesce(r.row_type, 'data') kind, coalesce(trim(r.label), '') = '' AS blank, {_FILLED} AS valued, coalesce(regexp_matches(lower({Q.plain('r.label')}), '{_MERE}'), false) AS period FROM r WHERE r IS NOT NULL),
 l AS (SELECT *, coalesce(bool_or(valued) OVER (PARTITION BY unit_id, table_no ORDER BY row_id ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING), false) AS later FROM s)
 SELECT unit_id, table_no, row_id, CASE WHEN blank OR kind = 'note' THEN 'EXCLUDED' WHEN valued AND period THEN 'PERIOD_ROW' WHEN valued THEN 'DATA' WHEN period THEN 'PERIOD_BANNER' WHEN kind = 'section_header' THEN 'SECTION_HEADER' WHEN later THEN 'BANNER' ELSE 'EXCLUDED' END AS row_class FROM l
 """)
@@ -276,7 +259,7 @@ def year_columns(spark: SparkSession, d: str) -> DataFrame:
 
 
 @query(f"""
-WITH s AS (SELECT DISTINCT doc_id, table_id, row_id, table_type_id, row_leaf_label AS label, canonical_leaf_id FROM row_dim WHERE table_type_id IS NOT NULL), {_segments('s', 'label')}
+WITH s AS (SELECT DISTINCT doc_id, table_id, row_id, table_type_id, row_leaf_label AS label, canonical_leaf_id FROM row_dim WHERE table_type_id IS NOT NULL), {Q.segments('s', 'label')}
 SELECT table_type_id, segment, count(DISTINCT doc_id) AS filings, count(*) AS seen, min(label) AS sample FROM g WHERE segment <> '' GROUP BY 1, 2 HAVING NOT bool_or(coalesce(trim(canonical_leaf_id) <> '', false))
 """)
 def propose_rows(spark: SparkSession, d: str) -> DataFrame:
@@ -285,7 +268,7 @@ def propose_rows(spark: SparkSession, d: str) -> DataFrame:
     return U.propose_rows(rows)
 
 
-@query(f"WITH s AS (SELECT DISTINCT row_leaf_label FROM row_dim), {_segments('s', 'row_leaf_label')} SELECT row_leaf_label, CASE WHEN row_leaf_label IS NOT NULL THEN segment END AS segment FROM g")
+@query(f"WITH s AS (SELECT DISTINCT row_leaf_label FROM row_dim), {Q.segments('s', 'row_leaf_label')} SELECT row_leaf_label, CASE WHEN row_leaf_label IS NOT NULL THEN segment END AS segment FROM g")
 def label_segments(spark: SparkSession, d: str) -> DataFrame:
     """Row labels as identity segments."""
     return table(spark, d, "row_dim").select("row_leaf_label").distinct().withColumn("segment", segment(c("row_leaf_label")))
@@ -306,7 +289,7 @@ def fuzzy_labels(spark: SparkSession, d: str) -> DataFrame:
 
 
 @query(f"""
-WITH {_TABLES} SELECT unit_id, table_no, substr(sha1(concat_ws(chr(30), coalesce({plain_sql('t.title')}, ''), coalesce(array_to_string(list_transform(t.columns, lambda x: coalesce({plain_sql('x.leaf')}, '')), chr(31)), ''), coalesce(array_to_string(list_transform(t.rows[1:3], lambda x: coalesce({plain_sql('x.label')}, '')), chr(31)), ''))), 1, 12) AS fingerprint FROM tt
+WITH {_TABLES} SELECT unit_id, table_no, substr(sha1(concat_ws(chr(30), coalesce({Q.plain('t.title')}, ''), coalesce(array_to_string(list_transform(t.columns, lambda x: coalesce({Q.plain('x.leaf')}, '')), chr(31)), ''), coalesce(array_to_string(list_transform(t.rows[1:3], lambda x: coalesce({Q.plain('x.label')}, '')), chr(31)), ''))), 1, 12) AS fingerprint FROM tt
 """)
 def table_fingerprints(spark: SparkSession, d: str) -> DataFrame:
     """What tells each extracted table."""

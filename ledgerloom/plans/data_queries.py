@@ -9,6 +9,7 @@ from ledgerloom.operators.compare import diff_copies
 from ledgerloom.operators.hierarchy import hierarchy, table_links
 from ledgerloom.operators.nested import flatten, stated_values, unit_payloads
 from ledgerloom.operators.units import changed_by_unit, judge_units, read_units, standardise_units, stated_part
+from ledgerloom.plans.engine_queries import UNITS_SQL
 from ledgerloom.runtime import stage, table
 
 
@@ -72,6 +73,7 @@ QUERIES = {f.__name__: f for f in (p1_found, p1_units, p1_quality, p2_found, p4_
 
 
 ORACLES = {
+    "p1_found": f"WITH {UNITS_SQL} SELECT DISTINCT doc_id, table_id, row_id, col_id FROM units JOIN factors ON code = unit_code WHERE value_num IS NOT NULL AND NOT isnan(value_num) AND value_num <> 0 AND value_num * factor <> value_num",
     "p2_found": """
 WITH r1 AS (SELECT DISTINCT doc_id, table_id, row_id, nullif(canonical_leaf_id, '') c, nullif(row_leaf_label, '') l FROM row_dim),
 r2 AS (SELECT DISTINCT doc_id, table_id, row_id, nullif(canonical_leaf_id, '') c, nullif(row_leaf_label, '') l FROM row_serving),

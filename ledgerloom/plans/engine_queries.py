@@ -10,11 +10,12 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ledgerloom.functions.periods import is_flow, period_label, read_period, span_rank, span_start
-from ledgerloom.functions.text import FOOTNOTE, HYPHENS, INVISIBLE, NARROW, SPACES, WIDE, label_key, slug
+from ledgerloom.functions.text import label_key, slug
 from ledgerloom.functions.units import with_stated_unit
 from ledgerloom.functions.values import cell_number, cell_state, expand_pages
 from ledgerloom.operators import axes as A
 from ledgerloom.operators import generic as G
+from ledgerloom.plans import sql as Q
 from ledgerloom.runtime import small_side, stage, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -164,7 +165,10 @@ def fiscal_period_label(spark: SparkSession, d: str) -> DataFrame:
     return base.select("period", "period_span", period_label(c("period"), c("period_span")).alias("label"), span_start(c("period_span"), c("period")).alias("starts"), span_rank(c("period_span")).alias("span_rank"))
 
 
-@query()
+@query(f"""
+WITH {_CELL}, h AS (SELECT col_leaf_label, count(*) AS cells FROM v GROUP BY 1), {Q.period('h', 'col_leaf_label', 'p', True)}
+SELECT col_leaf_label, cells, fin AS "end", span, {Q.starts('span', 'fin')} AS start, rest FROM p
+""")
 def period_parse(spark: SparkSession, d: str) -> DataFrame:
     """Periods read from the column headings, beside the stored ones."""
     heads = cells(spark, d).groupBy("col_leaf_label").agg(F.count("*").alias("cells"))
@@ -423,7 +427,13 @@ def parse_value(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "cell_fact").select("value_raw").distinct().select("value_raw", cell_state(c("value_raw")).alias("state"), cell_number(c("value_raw")).alias("number"))
 
 
-@query()
+_UNIT_PLACES = f"""{Q.unit_of_cell('value_raw')} AS u_cell, CASE WHEN row_unit IS NOT NULL THEN {Q.unit_code('row_unit')} ELSE {Q.unit_of_label('row_leaf_label')} END AS u_row,
+ CASE WHEN col_unit IS NOT NULL THEN {Q.unit_code('col_unit')} ELSE {Q.unit_of_heading('col_leaf_label')} END AS u_col, CASE WHEN table_unit IS NOT NULL THEN {Q.unit_code('table_unit')} ELSE {Q.unit_of_label('table_title')} END AS u_table"""
+#: Records with the unit that counts.
+UNITS_SQL = f"{Q.SPELT}, {_CELL}, n AS (SELECT *, {_UNIT_PLACES} FROM v), units AS (SELECT *, coalesce(u_cell, CASE WHEN u_row = 'percent' THEN u_row END, u_col, u_row, u_table) AS unit_code FROM n)"
+
+
+@query(f"WITH {UNITS_SQL} SELECT doc_id, table_id, row_id, col_id, unit_code FROM units")
 def parse_unit(spark: SparkSession, d: str) -> DataFrame:
     """The unit that counts for every cell."""
     return with_stated_unit(cells(spark, d)).select("doc_id", "table_id", "row_id", "col_id", "unit_code")
@@ -459,20 +469,11 @@ def axis_exclusivity(spark: SparkSession, d: str) -> DataFrame:
     return A.exclusive(base, ["t"], {x: A.AXES[x] for x in ("segment_key", "industry_key")}).drop("ambiguous")
 
 
-def _label_key_sql(x: str) -> str:
-    """label_key in DuckDB's SQL."""
-    there, here, mark = SPACES + WIDE + HYPHENS + INVISIBLE, " " * len(SPACES) + NARROW + "-" * len(HYPHENS), FOOTNOTE.replace("'", "''")
-    there, here = (y.replace("'", "''") for y in (there, here))
-    text = f"trim(translate({x}, '{there}', '{here}'))"
-    bare = f"trim(regexp_replace({text}, '{mark}+\\s*$', '', 'i'))"
-    return f"lower(trim(regexp_replace(CASE WHEN {bare} = '' THEN {text} ELSE {bare} END, '\\s+', ' ', 'g')))"
-
-
 @query(f"""
 WITH r AS (SELECT doc_id, table_id, row_id, min(row_leaf_label) AS label FROM row_dim GROUP BY 1, 2, 3),
-x AS (SELECT {_label_key_sql('row_leaf_label')} AS k, segment_key AS s, industry_key AS i, geo_key AS g FROM row_dim UNION ALL SELECT {_label_key_sql('label')}, NULL, NULL, geo_key FROM geo_dim),
+x AS (SELECT {Q.label_key('row_leaf_label')} AS k, segment_key AS s, industry_key AS i, geo_key AS g FROM row_dim UNION ALL SELECT {Q.label_key('label')}, NULL, NULL, geo_key FROM geo_dim),
 m AS (SELECT k, CASE WHEN min(s) = max(s) THEN min(s) END AS s, CASE WHEN min(i) = max(i) THEN min(i) END AS i, CASE WHEN min(g) = max(g) THEN min(g) END AS g FROM x WHERE k <> '' GROUP BY k),
-l AS (SELECT r.*, s, i, g, coalesce(s <> 'SEG_TOTAL', false)::INT AS ms, coalesce(i <> 'IND_TOTAL', false)::INT AS mi, coalesce(g <> 'GLOBAL', false)::INT AS mg, (s IS NOT NULL)::INT + (i IS NOT NULL)::INT + (g IS NOT NULL)::INT AS n FROM r LEFT JOIN m ON k = {_label_key_sql('label')}),
+l AS (SELECT r.*, s, i, g, coalesce(s <> 'SEG_TOTAL', false)::INT AS ms, coalesce(i <> 'IND_TOTAL', false)::INT AS mi, coalesce(g <> 'GLOBAL', false)::INT AS mg, (s IS NOT NULL)::INT + (i IS NOT NULL)::INT + (g IS NOT NULL)::INT AS n FROM r LEFT JOIN m ON k = {Q.label_key('label')}),
 c AS (SELECT doc_id, table_id, count(*) FILTER (n = 1 AND ms = 1) AS ns, count(*) FILTER (n = 1 AND mi = 1) AS ni, count(*) FILTER (n = 1 AND mg = 1) AS ng FROM l GROUP BY 1, 2),
 h AS (SELECT l.*, ms + mi + mg > 1 AS several, (ms = 1 AND ns >= 2)::INT AS hs, (mi = 1 AND ni >= 2)::INT AS hi, (mg = 1 AND ng >= 2)::INT AS hg FROM l JOIN c USING (doc_id, table_id))
 SELECT doc_id, table_id, row_id, CASE WHEN NOT several OR (hs = 1 AND hi + hg = 0) THEN s END AS segment_key, CASE WHEN NOT several OR (hi = 1 AND hs + hg = 0) THEN i END AS industry_key, CASE WHEN NOT several OR (hg = 1 AND hs + hi = 0) THEN g END AS geo_key, several AND hs + hi + hg <> 1 AS ambiguous FROM h

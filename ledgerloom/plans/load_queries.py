@@ -10,6 +10,8 @@ from ledgerloom.operators import identity as I
 from ledgerloom.operators import serving as S
 from ledgerloom.operators import structure as X
 from ledgerloom.operators.load import breakdown_violations, build_star
+from ledgerloom.plans import load_sql as L
+from ledgerloom.plans import sql as Q
 from ledgerloom.runtime import table
 
 QUERIES, ORACLES = {}, {}
@@ -41,37 +43,37 @@ def star(spark: SparkSession, d: str, *only: str) -> dict[str, DataFrame]:
     return build_star(units(spark, d), table(spark, d, "filing"), set(only), axis_members(spark, d))
 
 
-@query
+@query(sql=L.CELLS_SQL)
 def load_cells(spark: SparkSession, d: str) -> DataFrame:
     """Facts of the parsed units: value, state, unit, period and its source, axis members of the row, else the column, else the whole book."""
     return star(spark, d, "cell_fact")["cell_fact"]
 
 
-@query
+@query(sql=L.ROWS_SQL)
 def load_rows(spark: SparkSession, d: str) -> DataFrame:
     """Row axis: parents, verified totals, periods of rows and banners."""
     return star(spark, d, "row_dim")["row_dim"]
 
 
-@query
+@query(sql=L.COLUMNS_SQL)
 def load_columns(spark: SparkSession, d: str) -> DataFrame:
     """Column axis: banners, periods, legal entities, roles."""
     return star(spark, d, "col_dim")["col_dim"]
 
 
-@query
+@query(sql=L.TABLES_SQL)
 def load_tables(spark: SparkSession, d: str) -> DataFrame:
     """Tables with their ids."""
     return star(spark, d, "table_t")["table_t"]
 
 
-@query
+@query(sql=L.WARNINGS_SQL)
 def load_warnings(spark: SparkSession, d: str) -> DataFrame:
     """What the loader left out or could not verify."""
     return star(spark, d, "load_warning")["load_warning"]
 
 
-@query
+@query(sql=L.SUMS_SQL)
 def verified_totals(spark: SparkSession, d: str) -> DataFrame:
     """Members of totals with their signs, and totals that could not be verified."""
     return star(spark, d, "sums")["sums"]
