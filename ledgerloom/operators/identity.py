@@ -27,7 +27,7 @@ def path_variants(path: Column) -> Column:
 def first_entries(master: DataFrame) -> DataFrame:
     """The list with its first entry for each (bank, type, path); input bank, table_type_id, line_ordinal, canonical_leaf_id, full_path, source_family."""
     keyed = master.withColumn("path", norm_path(c("full_path")))
-    return keyed.groupBy("bank", "table_type_id", "path").agg(F.min_by(F.struct("canonical_leaf_id", "line_ordinal", "source_family"), "line_ordinal").alias("e")).select("bank", "table_type_id", "path", "e.*")
+    return keyed.groupBy("bank", "table_type_id", "path").agg(F.min_by(F.struct("canonical_leaf_id", "line_ordinal", "source_family"), F.struct(c("line_ordinal").isNull(), "line_ordinal", "canonical_leaf_id")).alias("e")).select("bank", "table_type_id", "path", "e.*")
 
 
 def locate(tables: DataFrame, paths: DataFrame, master: DataFrame, aliases: DataFrame | None = None) -> DataFrame:

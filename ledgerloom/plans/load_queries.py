@@ -79,13 +79,13 @@ def verified_totals(spark: SparkSession, d: str) -> DataFrame:
     return star(spark, d, "sums")["sums"]
 
 
-@query
+@query(sql=L.COLUMN_SUMS_SQL)
 def column_reconcile(spark: SparkSession, d: str) -> DataFrame:
     """Total columns against the columns they add up."""
     return star(spark, d, "column_sums")["column_sums"]
 
 
-@query
+@query(sql=L.BREAKDOWNS_SQL)
 def check_breakdowns(spark: SparkSession, d: str) -> DataFrame:
     """Breakdowns that miss their own total: none."""
     return breakdown_violations(star(spark, d, "cell_fact", "sums"))
@@ -98,13 +98,13 @@ def _tables(spark: SparkSession, d: str) -> DataFrame:
     return rows.select("doc_id", F.row_number().over(W.partitionBy("doc_id").orderBy("unit_id", "at")).alias("table_no"), c("t.title").alias("title"), c("t.columns").alias("columns"), c("t.rows").alias("rows"))
 
 
-@query
+@query(sql=L.WHOLE_SQL)
 def merge_continuations(spark: SparkSession, d: str) -> DataFrame:
     """Tables joined with the parts that continue them."""
     return X.merge_continuations(_tables(spark, d)).select("doc_id", "table_no", "title", F.size("rows").alias("rows"), "parts")
 
 
-@query
+@query(sql=L.DATE_BLOCKS_SQL)
 def split_date_blocks(spark: SparkSession, d: str) -> DataFrame:
     """Rows with the period block they stand in, where a table stacks several."""
     rows = _tables(spark, d).select("doc_id", "table_no", F.posexplode("rows").alias("at", "r"))
@@ -112,7 +112,11 @@ def split_date_blocks(spark: SparkSession, d: str) -> DataFrame:
     return X.split_blocks(rows, ["doc_id", "table_no"]).select("doc_id", "table_no", "row_id", "block", "caption")
 
 
-@query
+@query(sql="""
+WITH v AS (SELECT DISTINCT * FROM v_cell), r AS (SELECT DISTINCT doc_id || '/' || table_id AS id, doc_id, row_id, concat_ws('|', min(row_leaf_label), string_agg(coalesce(value_raw, ''), '|' ORDER BY col_id)) x FROM v GROUP BY doc_id, table_id, row_id), c AS (SELECT DISTINCT id, doc_id || '|' || x AS x FROM r),
+n AS (SELECT id, count(*) n FROM c GROUP BY 1), p AS (SELECT a.id a, b.id b, count(*) shared FROM c a JOIN c b ON a.x = b.x AND a.id < b.id GROUP BY 1, 2)
+SELECT p.a, p.b, shared, greatest(x.n, y.n) AS larger FROM p JOIN n x ON x.id = p.a JOIN n y ON y.id = p.b WHERE shared >= 0.9 * greatest(x.n, y.n)
+""")
 def duplicate_tables(spark: SparkSession, d: str) -> DataFrame:
     """Tables of one filing that print at least nine tenths of the same rows."""
     rows = table(spark, d, "v_cell").dropDuplicates(["doc_id", "table_id", "row_id", "col_id"])
@@ -127,7 +131,15 @@ def _master(spark: SparkSession, d: str) -> DataFrame:
     return first.select(F.lit("*").alias("bank"), "table_type_id", F.regexp_extract("canonical_leaf_id", r"(\d+)$", 1).cast("int").alias("line_ordinal"), "canonical_leaf_id", "label", c("label").alias("full_path"), F.lit(None).cast("string").alias("source_family"))
 
 
-@query
+@query(sql=r"""
+WITH p AS (SELECT DISTINCT doc_id, table_id, row_id, row_leaf_label path FROM row_dim), m0 AS (SELECT table_type_id kind, canonical_leaf_id leaf, min(row_leaf_label) label FROM row_dim WHERE canonical_leaf_id <> '' AND table_type_id IS NOT NULL GROUP BY 1, 2),
+m1 AS (SELECT kind, leaf, lower(trim(regexp_replace(label, '\s+', ' ', 'g'))) path, try_cast(nullif(regexp_extract(leaf, '([0-9]+)$', 1), '') AS INT) o FROM m0 WHERE label IS NOT NULL), m AS (SELECT * FROM m1 QUALIFY row_number() OVER (PARTITION BY kind, path ORDER BY o NULLS LAST, leaf) = 1),
+n AS (SELECT kind, count(*) declared FROM m GROUP BY 1), q AS (SELECT DISTINCT doc_id, table_id, row_id, lower(trim(regexp_replace(path, '\s+', ' ', 'g'))) path FROM p WHERE path IS NOT NULL),
+h AS (SELECT doc_id, table_id, kind, count(DISTINCT path) matched FROM q JOIN m USING (path) GROUP BY 1, 2, 3), l AS (SELECT h.*, declared, matched / declared AS share FROM h JOIN n USING (kind) WHERE matched >= 2 AND matched >= 0.5 * declared),
+k AS (SELECT *, count(*) OVER (PARTITION BY doc_id, table_id) claims, row_number() OVER (PARTITION BY doc_id, table_id ORDER BY share DESC, matched DESC, kind) rk, row_number() OVER (PARTITION BY kind ORDER BY share DESC, matched DESC, doc_id, table_id) best FROM l),
+k2 AS (SELECT *, rk = 1 OR claims > 2 AS kept FROM k), k3 AS (SELECT *, bool_or(kept) OVER (PARTITION BY kind) anyone FROM k2), f AS (SELECT doc_id, table_id, kind FROM k3 WHERE kept OR (NOT anyone AND best = 1))
+SELECT doc_id, table_id, row_id, kind AS table_type_id, leaf AS canonical_leaf_id, 'path' AS how FROM q JOIN f USING (doc_id, table_id) JOIN m USING (kind, path) QUALIFY row_number() OVER (PARTITION BY doc_id, table_id, row_id ORDER BY kind, leaf) = 1
+""")
 def identity_stamps(spark: SparkSession, d: str) -> DataFrame:
     """Row identities found again from the labels alone: tables located, contests decided, leaves copied from the list."""
     rows = table(spark, d, "row_dim").select("doc_id", "table_id", "row_id", c("row_leaf_label").alias("path")).distinct()

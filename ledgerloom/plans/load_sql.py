@@ -101,3 +101,19 @@ WARNINGS_SQL = f"""WITH {_TO_FACTS}, {SUMS} SELECT {_K}, 'row ' || row_id || ' i
 UNION ALL SELECT {_K}, 'table id comes twice: ' || table_id FROM ta QUALIFY count(*) OVER (PARTITION BY doc_id, table_id) > 1
 UNION ALL SELECT {_K}, 'label names members of several axes: ' || label FROM (SELECT DISTINCT {_K}, label FROM re WHERE ambiguous UNION SELECT DISTINCT {_K}, leaf FROM co WHERE ambiguous UNION SELECT DISTINCT {_K}, banner FROM co WHERE banner_ambiguous)
 UNION ALL SELECT {_K}, 'total ' || row_id || ' not verified: ' || outcome FROM su WHERE sums_to IS NULL"""
+COLUMN_SUMS_SQL = f"""WITH {_TO_FACTS}, h AS (SELECT {_K}, min(col_id) AS total_col FROM co WHERE trim(lower(leaf)) = 'total' GROUP BY ALL), s AS (SELECT fa.doc_id, fa.table_no, total_col, row_id, max(value_num) FILTER (col_id = total_col) AS total, sum(value_num) FILTER (col_id <> total_col) AS parts, count(*) FILTER (col_id <> total_col) AS n FROM fa JOIN h USING ({_K}) WHERE value_num IS NOT NULL GROUP BY ALL)
+SELECT doc_id, table_no::VARCHAR AS table_id, total_col, count(*) AS "rows", count(*) FILTER (abs(parts - total) <= greatest(1, n)) AS agreeing, bool_and(abs(parts - total) <= greatest(1, n)) AS reconciled FROM s WHERE total IS NOT NULL AND n > 0 GROUP BY ALL"""
+BREAKDOWNS_SQL = f"""WITH {_TO_FACTS}, {SUMS}, f AS (SELECT {_K}, row_id, col_id, value_num FROM fa WHERE value_num IS NOT NULL AND coalesce(unit, '') <> 'percent'), s AS (SELECT f.doc_id, f.table_no, sums_to AS row_id, col_id, sum(sums_sign * value_num) AS "sum", count(*) AS n FROM su JOIN f USING ({_K}, row_id) WHERE sums_to IS NOT NULL GROUP BY ALL)
+SELECT s.*, f.value_num FROM s JOIN f USING ({_K}, row_id, col_id) WHERE abs("sum" - value_num) > greatest(n, 1) + 1"""
+_PLAIN_TABLES = """u AS (SELECT unit_id, any_value(doc_id) doc_id, any_value(tables) tables FROM parsed GROUP BY 1), t0 AS (SELECT unit_id, doc_id, unnest(tables) t, generate_subscripts(tables, 1) AS pos FROM u),
+tb AS (SELECT doc_id, (row_number() OVER (PARTITION BY doc_id ORDER BY unit_id, pos))::INT AS table_no, t.title AS title, t.columns AS cols, t.rows AS rws FROM t0 WHERE t IS NOT NULL)"""
+DATE_BLOCKS_SQL = f"""WITH {_PLAIN_TABLES}, r0 AS (SELECT {_K}, unnest(rws) r, generate_subscripts(rws, 1)::INT AS row_id FROM tb), r1 AS (SELECT {_K}, row_id, r.row_type AS row_type, r.label AS label, coalesce(len(list_filter(r."values", lambda v: coalesce(trim(v.value) <> '', false))) > 0, false) AS valued FROM r0), {Q.period('r1', 'label', 'rp', True)},
+h AS (SELECT *, coalesce(row_type IN ('section_header', 'sub_header') AND NOT valued AND {Q.mere_period('rest')}, false) AS head FROM rp), b AS (SELECT *, sum(head::INT) OVER w AS blk, last_value(CASE WHEN head THEN label END IGNORE NULLS) OVER w AS cap FROM h WINDOW w AS (PARTITION BY {_K} ORDER BY row_id)),
+n AS (SELECT {_K}, max(blk) AS n, bool_and(has) FILTER (blk > 0) AS each FROM (SELECT {_K}, blk, bool_or(NOT head AND valued) AS has FROM b GROUP BY ALL) GROUP BY ALL)
+SELECT b.doc_id, b.table_no, row_id, CASE WHEN n >= 2 AND each THEN blk ELSE 0 END AS block, CASE WHEN n >= 2 AND each THEN cap END AS caption FROM b JOIN n USING ({_K})"""
+_BARE = Q.label_key("regexp_replace(title, '\\s*\\(?\\s*(continued|cont''?d\\.?)\\s*\\)?\\s*', ' ', 'gi')")
+_HEADS = "list_transform(cols, lambda x: concat_ws('|', " + Q.label_key('x."group"') + ", " + Q.label_key("x.leaf") + "))"
+#: Continued tables: a chain's rows one after the other; headings that come twice in a table are not told apart here.
+WHOLE_SQL = f"""WITH {_PLAIN_TABLES}, b AS (SELECT *, {_BARE} AS bare, coalesce(regexp_matches(title, '\\(?(continued|cont''?d)', 'i'), false) AS marked, {_HEADS} AS heads FROM tb),
+g AS (SELECT *, coalesce(marked AND bare = lag(bare) OVER w AND len(list_filter(heads, lambda x: NOT list_contains(lag(heads) OVER w, x))) = 0, false) AS goes_on FROM b WINDOW w AS (PARTITION BY doc_id ORDER BY table_no)), f AS (SELECT *, last_value(CASE WHEN NOT goes_on THEN table_no END IGNORE NULLS) OVER (PARTITION BY doc_id ORDER BY table_no) AS first_no FROM g)
+SELECT doc_id, first_no AS table_no, first(title ORDER BY table_no) AS title, coalesce(sum(len(rws)), 0)::INT AS "rows", count(*) AS parts FROM f GROUP BY doc_id, first_no"""

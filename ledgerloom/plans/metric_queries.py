@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ledgerloom.functions.labels import caption_key, caption_parts, filing_family
 from ledgerloom.operators import metrics as M
+from ledgerloom.plans import sql as Q
 from ledgerloom.runtime import BROADCAST_ROWS, table
 
 QUERIES, ORACLES = {}, {}
@@ -162,7 +163,15 @@ def canonical_tables(spark: SparkSession, d: str) -> DataFrame:
     return M.pick_canonical(tables, cells.select("doc_id", "table_id", F.coalesce("value_raw", F.lit("")).alias("value_raw")))
 
 
-@query()
+_TITLE = "list_filter(regexp_split_to_array(trim(table_title), '\\s+'), lambda w: w <> '' AND NOT regexp_replace(lower(w), '[^a-z]', '', 'g') IN ('cont', 'contd', 'continued'))"
+_PANELS = "list_filter(list_transform(regexp_split_to_array(body, '[—–]| - '), lambda x: trim(x)), lambda x: x <> '')"
+
+
+@query(f"""
+WITH {_CELL}, a AS (SELECT DISTINCT doc_id, table_id, table_title FROM v), b AS (SELECT *, {_TITLE} AS ws FROM a), b2 AS (SELECT * EXCLUDE (ws), array_to_string(CASE WHEN len(ws) > 1 AND regexp_full_match(ws[1], '[0-9]+(\\.[0-9]+)*\\.?') THEN ws[2:] ELSE ws END, ' ') AS body FROM b),
+s AS (SELECT *, {_PANELS} AS panels FROM b2), s2 AS (SELECT *, array_to_string(panels, ' ') AS joined FROM s), {Q.segments('s2', 'joined', False)}
+SELECT doc_id, table_id, segment AS key, CASE WHEN len(panels) > 1 AND list_contains(regexp_extract_all(lower(panels[-1]), '[\\p{{L}}\\p{{M}}\\p{{Nd}}]+'), 'by') THEN panels[-1] END AS breakdown, nullif(array_to_string(regexp_extract_all(regexp_extract(lower(doc_id), '^.*?_?(?:[1-4]q|[12]h|fy|9m)[0-9]{{2,4}}_(.*)$', 1), '[a-z0-9]+'), '_'), '') AS family FROM g
+""")
 def caption_keys(spark: SparkSession, d: str) -> DataFrame:
     """Captions of all tables as keys, with their breakdowns, and the kinds of their filings."""
     rows = _cells(spark, d).select("doc_id", "table_id", "table_title").distinct()

@@ -29,12 +29,13 @@ def label_key(x: str) -> str:
     return f"lower({squeeze(strip_footnotes(plain(x)))})"
 
 
-def segments(source: str, x: str) -> str:
+def segments(source: str, x: str, is_data: bool = True) -> str:
     """CTEs w and g: the source with the words of a label, then with its ``segment``."""
+    dropped = "(19|20)[0-9][0-9]|[0-9][0-9]?" if is_data else "[0-9][0-9]?"
     bare = strip_footnotes(plain(f"translate({x}, '⁰¹²³⁴⁵⁶⁷⁸⁹', '')"))
     words = f"regexp_extract_all(lower(replace({bare}, '&', ' and ')), '[\\p{{L}}\\p{{M}}\\p{{Nd}}\\p{{Nl}}]+')"
     return f"""w AS (SELECT *, {words} AS words FROM {source}),
-g AS (SELECT * EXCLUDE (words), CASE WHEN len(words) > 1 AND regexp_full_match(words[-1], '(19|20)[0-9][0-9]|[0-9][0-9]?') THEN array_to_string(words[:-2], '_') WHEN len(words) > 0 THEN array_to_string(list_append(words[:-2], regexp_replace(words[-1], '([\\p{{L}}])[0-9]{{1,2}}$', '\\1')), '_') ELSE '' END AS segment FROM w)"""
+g AS (SELECT * EXCLUDE (words), CASE WHEN len(words) > 1 AND regexp_full_match(words[-1], '{dropped}') THEN array_to_string(words[:-2], '_') WHEN len(words) > 0 THEN array_to_string(list_append(words[:-2], regexp_replace(words[-1], '([\\p{{L}}])[0-9]{{1,2}}$', '\\1')), '_') ELSE '' END AS segment FROM w)"""
 
 
 # --- values ---------------------------------------------------------------------------------------------------------------
