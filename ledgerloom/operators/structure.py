@@ -189,7 +189,7 @@ def duplicate_tables(rows: DataFrame, share: float = 0.9) -> DataFrame:
     pairs = one.select(c("id").alias("a"), "content").join(one.select(c("id").alias("b"), "content"), "content").where("a < b").groupBy("a", "b").agg(F.count("*").alias("shared"))
     pairs = pairs.join(size.select(c("id").alias("a"), c("n").alias("na")), "a").join(size.select(c("id").alias("b"), c("n").alias("nb")), "b").withColumn("larger", F.greatest("na", "nb"))
     near = pairs.where(c("shared") >= share * c("larger")).select("a", "b", "shared", "larger")
-    exact = member.where("id <> first").select(c("first").alias("a"), c("id").alias("b"), F.lit(None).cast("long").alias("shared"), F.lit(None).cast("long").alias("larger"))
+    exact = member.where("id <> first").join(size.withColumnRenamed("id", "first"), "first").select(c("first").alias("a"), c("id").alias("b"), c("n").alias("shared"), c("n").alias("larger"))
     return near.unionByName(exact)
 
 
