@@ -250,3 +250,20 @@ def table_links(units: DataFrame) -> DataFrame:
     answer = F.coalesce(c("by_nth"), c("by_id"), c("by_label"))
     found = found.select("scope", "at", F.coalesce(answer.cast("string"), F.concat(F.lit("?"), "named")).alias("parent"))
     return rows.select("scope", "at").join(found, ["scope", "at"], "left").select("scope", c("at").cast("string").alias("node"), "parent")
+
+
+def leaked_tables(tables: DataFrame, sections: DataFrame) -> DataFrame:
+    """Tables that say they belong to another section than the unit they came with: (doc_id, table_no, unit_section, echo, owner).
+
+    ``tables``: doc_id, table_no, unit_section, echo (a section's id or number); ``sections``: doc_id, section_id, section_no,
+    parent_section. An echo that names the unit's own section or one above it is right, one that names no section is left to
+    the unit; the others would be loaded twice. Sections above come from the intervals of one tour, not from walking up.
+    """
+    c = F.col
+    tour = stage(hierarchy(sections.select(c("doc_id").alias("scope"), c("section_id").alias("node"), c("parent_section").alias("parent"))).select(c("scope").alias("doc_id"), c("node").alias("section_id"), "entry", "exit"))
+    names = sections.select("doc_id", "section_id", F.explode(F.array_distinct(F.array_compact(F.array("section_id", "section_no")))).alias("echo")).groupBy("doc_id", "echo").agg(F.min("section_id").alias("owner"))
+    asked = tables.withColumn("echo", F.trim("echo")).where("echo <> '' and unit_section is not null").join(names, ["doc_id", "echo"])
+    own = tour.select("doc_id", c("section_id").alias("unit_section"), c("entry").alias("at"))
+    of = tour.select("doc_id", c("section_id").alias("owner"), "entry", "exit")
+    placed = asked.join(own, ["doc_id", "unit_section"]).join(of, ["doc_id", "owner"])
+    return placed.where(~((c("entry") <= c("at")) & (c("at") < c("exit")))).select("doc_id", "table_no", "unit_section", "echo", "owner")

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from ledgerloom.functions.periods import clamp_year, let, mere_period, read_period, span_start
+from ledgerloom.functions.periods import BESIDE, UNIT_TOKENS, clamp_year, let, mere_period, read_period, span_start
 from ledgerloom.functions.text import label_key, plain, slug, squeeze, strip_footnotes
 from ledgerloom.functions.units import unit_of_heading, with_stated_unit
 from ledgerloom.functions.values import cell_number, cell_state
@@ -19,6 +19,8 @@ from ledgerloom.runtime import small_side, stage
 
 #: Column banners that name a legal entity, and the member that none means. Fixed values.
 ENTITIES = {"the group": "CONSOLIDATED", "group": "CONSOLIDATED", "the bank": "BANK_SOLO", "bank": "BANK_SOLO", "the company": "COMPANY_SOLO", "company": "COMPANY_SOLO"}
+#: Words of a heading that do not describe its column.
+NO_WORDS = {*" ".join(ENTITIES).split(), "restated", "unaudited", "audited"}
 #: Words of which a masthead consists besides the institution's own name. Fixed values.
 MASTHEAD = ["and", "its", "subsidiaries", "group", "limited", "ltd", "holdings", "bank", "banking", "corporation", "the", "plc", "berhad"]
 KEY = ["doc_id", "table_no"]
@@ -56,6 +58,12 @@ def column_axis(tables: DataFrame) -> DataFrame:
     # a banner that repeats in front of the leaf's own words ("The Group Q1 2020") is read from the leaf
     own, above = read_period(c("leaf"), True), read_period(c("banner"), True)
     cols = cols.withColumns({"own": own, "above": above})
+    # a period beside other words dates a column only if all such columns have the same words there: a measure's name flattened
+    # into the axis; words that differ describe the columns
+    words = F.array_join(F.filter(F.split("own.rest", " "), lambda w: w.rlike("[a-z0-9]") & ~w.isin(*BESIDE, *UNIT_TOKENS, *NO_WORDS)), " ")
+    cols = cols.withColumn("words", F.nullif(words, F.lit("")))
+    kinds = F.size(F.collect_set("words").over(W.partitionBy(*KEY)))
+    cols = cols.withColumn("gap", c("words").isNotNull() & (kinds > 1)).withColumn("own", F.when(~c("gap"), c("own")))
     cols = cols.withColumn("p", F.coalesce("own", "above")).withColumn("k", clamp_year(F.when(c("own").isNotNull(), c("leaf")).otherwise(c("banner")), c("p.end"), c("p.span"), c("doc_period")))
     entity = F.create_map(*[F.lit(x) for item in ENTITIES.items() for x in item])
     named = let(squeeze(F.lower(plain(F.coalesce(c("banner"), F.lit(""))))), lambda b: entity[F.nullif(b, F.lit(""))])
@@ -66,7 +74,7 @@ def column_axis(tables: DataFrame) -> DataFrame:
     role = F.when(c("leaf").rlike(r"(?i)^\s*(\+\s*/\s*\(?-\)?|change|movement|variance|% chg)"), "derived").when(c("leaf").rlike(r"(?i)^\s*notes?\s*$"), "reference")
     return cols.select(
         *KEY, "col_id", "banner", "leaf", F.when(c("banner").isNotNull(), rank + 99).alias("banner_id"), F.when(c("p").isNotNull(), c("k.end")).alias("period"),
-        F.when(c("p").isNotNull(), c("k.span")).alias("period_span"), F.coalesce(named, leading).alias("legal_entity"), role.alias("col_role"),
+        F.when(c("p").isNotNull(), c("k.span")).alias("period_span"), F.coalesce(named, leading).alias("legal_entity"), role.alias("col_role"), "gap",
     )
 
 
@@ -142,7 +150,7 @@ def build_star(units: DataFrame, filings: DataFrame, only: set[str] | None = Non
     when = cells.select(*KEY, "col_id").distinct().join(cols.select(*KEY, "col_id", "period"), [*KEY, "col_id"]).groupBy(*KEY).agg(F.max("period").alias("col_period"))
     table_t = titled.join(when, KEY, "left").withColumn("table_period", F.coalesce(c("t.end"), c("col_period"), c("doc_period")))
     table_t = table_t.withColumn("table_id", F.concat_ws("|", F.coalesce("section_id", F.lit("")), slug(c("title")), c("table_period").cast("string"))).drop("t")
-    out = {"table_t": table_t, "col_dim": cols.drop("ambiguous", "banner_ambiguous")}
+    out = {"table_t": table_t, "col_dim": cols.drop("ambiguous", "banner_ambiguous", "gap")}
     if not need - set(out):
         return out
     facts = stage(_facts(cells, cols, rows, titled))
@@ -158,7 +166,7 @@ def build_star(units: DataFrame, filings: DataFrame, only: set[str] | None = Non
         sums = verified_totals(named(rows), named(facts), named(column_units)).withColumn("table_no", c("table_id").cast("int")).drop("table_id")
         out["sums"] = sums = stage(sums)
     if "load_warning" in need:
-        out["load_warning"] = _warnings(wide, ids, rows, cols, sums)
+        out["load_warning"] = _warnings(wide, table_t, rows, cols, sums, titled)
     if "row_dim" in need:
         parents = row_parents(rows, printed_links(tables), sums)
         sums_of = sums.where("sums_to is not null").select(*KEY, "row_id", "sums_to", "sums_sign")
@@ -179,13 +187,23 @@ def _facts(cells: DataFrame, cols: DataFrame, rows: DataFrame, titled: DataFrame
     )
 
 
-def _warnings(wide: DataFrame, ids: DataFrame, rows: DataFrame, cols: DataFrame, sums: DataFrame) -> DataFrame:
+def undated(table_t: DataFrame, cols: DataFrame, titled: DataFrame) -> DataFrame:
+    """(KEY, table_period): tables that neither a column nor their own period puts at the filing's date, and whose title does not say why."""
+    has = cols.groupBy(*KEY).agg(F.max("period").alias("any")).join(cols.join(titled.select(*KEY, "doc_period"), KEY).where("period = doc_period").select(*KEY, F.lit(True).alias("has")).distinct(), KEY, "left")
+    dated = titled.where("t.end is not null").select(*KEY)
+    return table_t.join(has, KEY).where("any is not null and has is null and doc_period is not null and table_period <> doc_period").join(dated, KEY, "left_anti").select(*KEY, "table_period")
+
+
+def _warnings(wide: DataFrame, table_t: DataFrame, rows: DataFrame, cols: DataFrame, sums: DataFrame, titled: DataFrame) -> DataFrame:
     """What was left out, is doubtful or could not be verified."""
+    ids = table_t.select(*KEY, "table_id")
     twice = ids.groupBy("doc_id", "table_id").agg(F.count("*").alias("n")).where("n > 1")
     doubtful = rows.where("ambiguous").select(*KEY, "label").unionByName(cols.where("ambiguous").select(*KEY, c("leaf").alias("label"))).unionByName(cols.where("banner_ambiguous").select(*KEY, c("banner").alias("label"))).distinct()
     said = lambda df, *parts: df.select(*KEY, F.concat(*parts).alias("warning"))
     out = said(wide, F.lit("row "), c("row_id").cast("string"), F.lit(" is wider than the heading"))
     out = out.unionByName(said(ids.join(twice, ["doc_id", "table_id"]), F.lit("table id comes twice: "), c("table_id")))
+    out = out.unionByName(said(cols.where("gap"), F.lit("heading is a period beside words of its own: "), c("leaf")))
+    out = out.unionByName(said(undated(table_t, cols, titled), F.lit("filing's period is not among the table's, latest "), c("table_period").cast("string")))
     out = out.unionByName(said(doubtful, F.lit("label names members of several axes: "), c("label")))
     return out.unionByName(said(sums.where("sums_to is null"), F.lit("total "), c("row_id").cast("string"), F.lit(" not verified: "), c("outcome")))
 

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from ledgerloom.operators.load import ENTITIES, MASTHEAD
+from ledgerloom.functions.periods import BESIDE, UNIT_TOKENS
+from ledgerloom.operators.load import ENTITIES, MASTHEAD, NO_WORDS
 from ledgerloom.plans import sql as Q
 
 _K = "doc_id, table_no"
@@ -27,14 +28,17 @@ def exclusive(source: str, out: str) -> str:
 {out} AS (SELECT {_K}, id, label, CASE WHEN NOT several OR (hs = 1 AND hi + hg = 0) THEN s END AS seg, CASE WHEN NOT several OR (hi = 1 AND hs + hg = 0) THEN i END AS ind, CASE WHEN NOT several OR (hg = 1 AND hs + hi = 0) THEN g END AS geo, several AND hs + hi + hg <> 1 AS ambiguous FROM {out}h)"""
 
 
+_NO_WORDS = ", ".join(f"'{w}'" for w in sorted(NO_WORDS | BESIDE | UNIT_TOKENS))
 _END, _SPAN = Q.clamped("CASE WHEN own THEN leaf ELSE banner END", "CASE WHEN own THEN own_fin ELSE fin END", "CASE WHEN own THEN own_span ELSE span END", "doc_period")
 COLUMNS = f"""{_ENTITY}, c0 AS (SELECT {_K}, doc_period, unnest(cols) col, generate_subscripts(cols, 1)::INT AS col_id FROM tb),
 c1 AS (SELECT {_K}, doc_period, col_id, CASE WHEN NOT coalesce({Q.squeeze('lower(col."group")')} = {Q.squeeze('lower(col.leaf)')}, false) THEN col."group" END AS banner, col.leaf AS leaf FROM c0),
-{Q.period('c1', 'leaf', 'pl', True)}, c2 AS (SELECT * EXCLUDE (fin, span, rest), fin AS own_fin, span AS own_span, rest IS NOT NULL AS own FROM pl), {Q.period('c2', 'banner', 'pb', True)},
+{Q.period('c1', 'leaf', 'pl', True)}, 
+pw AS (SELECT *, nullif(array_to_string(list_filter(string_split(rest, ' '), lambda w: regexp_matches(w, '[a-z0-9]') AND NOT w IN ({_NO_WORDS})), ' '), '') AS words FROM pl), pg AS (SELECT *, words IS NOT NULL AND (SELECT count(DISTINCT words) FROM pw x WHERE x.doc_id = pw.doc_id AND x.table_no = pw.table_no) > 1 AS gap FROM pw),
+c2 AS (SELECT * EXCLUDE (fin, span, rest, words), fin AS own_fin, span AS own_span, rest IS NOT NULL AND NOT gap AS own FROM pg), {Q.period('c2', 'banner', 'pb', True)},
 c3 AS (SELECT *, min(col_id) OVER (PARTITION BY {_K}, banner) AS first_of FROM pb),
 c4 AS (SELECT {_K}, col_id, banner, leaf, CASE WHEN banner IS NOT NULL THEN (dense_rank() OVER (PARTITION BY {_K} ORDER BY banner IS NULL, first_of) + 99)::INT END AS banner_id, CASE WHEN own OR rest IS NOT NULL THEN {_END} END AS period, CASE WHEN own OR rest IS NOT NULL THEN {_SPAN} END AS period_span,
  coalesce((SELECT entity FROM entities WHERE k = {Q.squeeze(f"lower({Q.plain('banner')})")}), (SELECT entity FROM entities WHERE k = regexp_extract(lower({Q.squeeze(Q.plain('leaf'))}), '^(the (group|bank|company))\\b', 1))) AS legal_entity,
- CASE WHEN regexp_matches(leaf, '^\\s*(\\+\\s*/\\s*\\(?-\\)?|change|movement|variance|% chg)', 'i') THEN 'derived' WHEN regexp_matches(leaf, '^\\s*notes?\\s*$', 'i') THEN 'reference' END AS col_role FROM c3),
+ CASE WHEN regexp_matches(leaf, '^\\s*(\\+\\s*/\\s*\\(?-\\)?|change|movement|variance|% chg)', 'i') THEN 'derived' WHEN regexp_matches(leaf, '^\\s*notes?\\s*$', 'i') THEN 'reference' END AS col_role, gap FROM c3),
 cp AS (SELECT {_K}, col_id AS id, leaf AS label FROM c4 UNION ALL SELECT DISTINCT {_K}, banner_id, banner FROM c4 WHERE banner_id IS NOT NULL), {exclusive('cp', 'ce')},
 co AS (SELECT c4.*, coalesce(a.seg, b.seg) AS segment_key, coalesce(a.ind, b.ind) AS industry_key, coalesce(a.geo, b.geo) AS geo_key, a.ambiguous, coalesce(b.ambiguous, false) AS banner_ambiguous FROM c4 LEFT JOIN ce a ON a.doc_id = c4.doc_id AND a.table_no = c4.table_no AND a.id = c4.col_id LEFT JOIN ce b ON b.doc_id = c4.doc_id AND b.table_no = c4.table_no AND b.id = c4.banner_id)"""
 
@@ -100,6 +104,8 @@ FROM ro JOIN pa USING ({_K}, row_id) LEFT JOIN (SELECT * FROM su WHERE sums_to I
 WARNINGS_SQL = f"""WITH {_TO_FACTS}, {SUMS} SELECT {_K}, 'row ' || row_id || ' is wider than the heading' AS warning FROM sz WHERE n > width AND n > 0
 UNION ALL SELECT {_K}, 'table id comes twice: ' || table_id FROM ta QUALIFY count(*) OVER (PARTITION BY doc_id, table_id) > 1
 UNION ALL SELECT {_K}, 'label names members of several axes: ' || label FROM (SELECT DISTINCT {_K}, label FROM re WHERE ambiguous UNION SELECT DISTINCT {_K}, leaf FROM co WHERE ambiguous UNION SELECT DISTINCT {_K}, banner FROM co WHERE banner_ambiguous)
+UNION ALL SELECT {_K}, 'heading is a period beside words of its own: ' || leaf FROM co WHERE gap
+UNION ALL SELECT {_K}, 'filing''s period is not among the table''s, latest ' || table_period FROM ta WHERE doc_period IS NOT NULL AND table_period <> doc_period AND (SELECT count(*) FROM co WHERE co.doc_id = ta.doc_id AND co.table_no = ta.table_no AND co.period IS NOT NULL) > 0 AND NOT EXISTS (SELECT 1 FROM co WHERE co.doc_id = ta.doc_id AND co.table_no = ta.table_no AND co.period = ta.doc_period) AND NOT EXISTS (SELECT 1 FROM tt WHERE tt.doc_id = ta.doc_id AND tt.table_no = ta.table_no AND tt.fin IS NOT NULL)
 UNION ALL SELECT {_K}, 'total ' || row_id || ' not verified: ' || outcome FROM su WHERE sums_to IS NULL"""
 COLUMN_SUMS_SQL = f"""WITH {_TO_FACTS}, h AS (SELECT {_K}, min(col_id) AS total_col FROM co WHERE trim(lower(leaf)) = 'total' GROUP BY ALL), s AS (SELECT fa.doc_id, fa.table_no, total_col, row_id, max(value_num) FILTER (col_id = total_col) AS total, sum(value_num) FILTER (col_id <> total_col) AS parts, count(*) FILTER (col_id <> total_col) AS n FROM fa JOIN h USING ({_K}) WHERE value_num IS NOT NULL GROUP BY ALL)
 SELECT doc_id, table_no::VARCHAR AS table_id, total_col, count(*) AS "rows", count(*) FILTER (abs(parts - total) <= greatest(1, n)) AS agreeing, bool_and(abs(parts - total) <= greatest(1, n)) AS reconciled FROM s WHERE total IS NOT NULL AND n > 0 GROUP BY ALL"""

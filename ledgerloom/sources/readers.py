@@ -73,6 +73,73 @@ def read_list(spark: SparkSession, path: str, columns: list[str]) -> DataFrame:
     return files.mapInPandas(run, schema)
 
 
+ANCHOR_COLUMNS = ["bank", "concept", "section", "row_order", "table_type_id", "canonical_leaf_id", "sign", "canonical_col_id", "row_dim_key", "filter_by"]
+#: What the files of an anchor set are called behind its name: plain anchors, and members of sums. Fixed values.
+ANCHOR_FILES = ("_anchors.csv", "_formulaanchors.csv")
+
+
+def _anchor_lines(spark: SparkSession, path: str) -> DataFrame:
+    """Lines of all anchor files under ``path``, with the set they belong to and whether they are of its formula file."""
+    found = None
+    for formula, suffix in enumerate(ANCHOR_FILES):
+        lines = read_list(spark, f"{path}/*{suffix}", ANCHOR_COLUMNS) if _any(spark, f"{path}/*{suffix}") else None
+        if lines is not None:
+            name = F.regexp_extract("file", rf"([^/]+){suffix}$", 1)
+            lines = lines.select(*ANCHOR_COLUMNS, name.alias("anchor_set"), F.lit(bool(formula)).alias("formula"), "line")
+            found = lines if found is None else found.unionByName(lines)
+    if found is None:
+        kinds = ", ".join(f"{x} string" for x in ANCHOR_COLUMNS)
+        found = spark.createDataFrame([], f"{kinds}, anchor_set string, formula boolean, line int")
+    return found
+
+
+def _any(spark: SparkSession, pattern: str) -> bool:
+    at = spark._jvm.org.apache.hadoop.fs.Path(pattern)
+    return bool(at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(at))
+
+
+def read_anchors(spark: SparkSession, path: str, anchor_set: str | None = None) -> DataFrame:
+    """Anchors as compose_items reads them, and their place in the grid; of one set, as sets are never mixed, or of all.
+
+    Columns: anchor_set, bank, concept, section, row_order, table_type_id, canonical_leaf_id, sign, member_ordinal,
+    canonical_col_id, row_dim_key, filter_by. The plain file's members come before the formula file's; a line without a bank or
+    concept is none; a missing sign is 1; the first row order and the first section of a concept hold for all its members.
+    """
+    rows = _anchor_lines(spark, path).where("bank is not null and concept is not null")
+    if anchor_set is not None:
+        rows = rows.where(c("anchor_set") == anchor_set)
+    one = ["anchor_set", "bank", "concept"]
+    order = W.partitionBy(*one).orderBy("formula", "line")
+    whole = order.rowsBetween(W.unboundedPreceding, W.unboundedFollowing)
+    return rows.select(
+        *one, F.first("section", True).over(whole).alias("section"), F.first(c("row_order").try_cast("int"), True).over(whole).alias("row_order"), "table_type_id", "canonical_leaf_id",
+        F.coalesce(c("sign").try_cast("int"), F.lit(1)).alias("sign"), F.row_number().over(order).alias("member_ordinal"), "canonical_col_id", "row_dim_key", "filter_by",
+    )
+
+
+def anchor_sets(spark: SparkSession, path: str) -> DataFrame:
+    """(anchor_set, anchors, members, orphan): the sets there are; a formula file without its plain one is an orphan."""
+    lines = _anchor_lines(spark, path)
+    sums = lines.groupBy("anchor_set").agg(F.count(F.when(~c("formula"), 1)).alias("anchors"), F.count(F.when(c("formula"), 1)).alias("members"))
+    return sums.withColumn("orphan", (c("anchors") == 0) & (c("members") > 0))
+
+
+def anchor_declarations(spark: SparkSession, path: str) -> DataFrame:
+    """(bank, table_type_id, canonical_leaf_id, anchor_set, concept): every declared address once, as first declared by set, file and line."""
+    rows = _anchor_lines(spark, path).where("bank is not null and table_type_id is not null and canonical_leaf_id is not null")
+    first = F.min(F.struct("anchor_set", "formula", "line", "concept")).alias("f")
+    return rows.groupBy("bank", "table_type_id", "canonical_leaf_id").agg(first).select("bank", "table_type_id", "canonical_leaf_id", "f.anchor_set", "f.concept")
+
+
+def rebuildable(sections: DataFrame, units: DataFrame, names: list[str] | None = None) -> DataFrame:
+    """(doc_id): filings with a table of contents and cached units, of those whose id contains any of ``names``."""
+    found = sections.select("doc_id").distinct().join(units.select("doc_id").distinct(), "doc_id", "left_semi")
+    for i, name in enumerate(names or []):
+        hit = F.lower("doc_id").contains(name.lower())
+        wanted = hit if i == 0 else wanted | hit
+    return found.where(wanted) if names else found
+
+
 def richest_root(roots: DataFrame) -> DataFrame:
     """Of several artefact roots of a document (doc_id, path, n_geometry, n_units) the richest."""
     order = W.partitionBy("doc_id").orderBy(c("n_geometry").desc(), c("n_units").desc(), "path")

@@ -75,3 +75,28 @@ def test_curation(spark):
     assert sorted((r["k"], r["n"]) for r in U.benchmark_rows(bench, ["k"], "2020-01-01", ["n"]).collect()) == [("a", 1), ("b", 3)]
     sections = spark.createDataFrame([("d", "1", None, 1), ("d", "1.1", "1", 2), ("d", "2", None, 5), ("d", "3", None, 7)], "doc_id string, section_id string, parent_section string, seq int")
     assert sorted((r["section_id"], r["first_seq"], r["last_seq"]) for r in U.section_units(sections).collect()) == [("1.1", 2, 4), ("2", 5, 6), ("3", 7, 7)]
+
+
+def test_leaked_tables(spark):
+    from ledgerloom.operators.hierarchy import leaked_tables
+
+    sections = spark.createDataFrame([("d", "a", "1", None), ("d", "b", "1.1", "a"), ("d", "c", "2", None)], "doc_id string, section_id string, section_no string, parent_section string")
+    tables = spark.createDataFrame([("d", 1, "b", "2"), ("d", 2, "b", "1"), ("d", 3, "b", "b"), ("d", 4, "a", "b"), ("d", 5, "b", "nowhere"), ("d", 6, "b", None)], "doc_id string, table_no int, unit_section string, echo string")
+    assert sorted((r["table_no"], r["owner"]) for r in leaked_tables(tables, sections).collect()) == [(1, "c"), (4, "b")]
+
+
+def test_anchor_files(spark, tmp_path):
+    from ledgerloom.sources.readers import anchor_declarations, anchor_sets, read_anchors, rebuildable
+
+    head = "bank,concept,row_order,section,table_type_id,canonical_leaf_id,sign,filter_by\n"
+    (tmp_path / "main_anchors.csv").write_text("﻿\n" + head + "B,Net,2,Income,FS,a,,\nB,Net,9,Other,FS,b,-1,typo\nC,Net,1,,FS,a,1,\n,Lost,1,,FS,a,1,\n")
+    (tmp_path / "main_formulaanchors.csv").write_text(head + "B,Net,5,,FS,c,1,\n")
+    (tmp_path / "lone_formulaanchors.csv").write_text(head + "B,Alone,1,,FS,a,1,\n")
+    got = [tuple(r) for r in read_anchors(spark, str(tmp_path), "main").orderBy("bank", "member_ordinal").select("bank", "canonical_leaf_id", "sign", "member_ordinal", "row_order", "section", "filter_by").collect()]
+    assert got == [("B", "a", 1, 1, 2, "Income", None), ("B", "b", -1, 2, 2, "Income", "typo"), ("B", "c", 1, 3, 2, "Income", None), ("C", "a", 1, 1, 1, None, None)]
+    assert sorted(tuple(r) for r in anchor_sets(spark, str(tmp_path)).collect()) == [("lone", 0, 1, True), ("main", 4, 1, False)]
+    assert {(r["bank"], r["canonical_leaf_id"]): r["anchor_set"] for r in anchor_declarations(spark, str(tmp_path)).collect()} == {("B", "a"): "lone", ("B", "b"): "main", ("B", "c"): "main", ("C", "a"): "main"}
+    (tmp_path / "none").mkdir()
+    assert read_anchors(spark, str(tmp_path / "none")).count() == 0
+    docs = spark.createDataFrame([("A_1",), ("b_2",), ("c",)], "doc_id string")
+    assert [r[0] for r in rebuildable(docs, docs.where("doc_id <> 'c'"), ["a_"]).collect()] == ["A_1"] and rebuildable(docs, docs).count() == 3

@@ -149,3 +149,18 @@ def test_filing_in_two_batches(spark, tmp_path):
     assert counts == [{"d1": one, "d2": one}, {"d1": 2 * one, "d2": one}, {"d1": 2 * one}]
     at_once = build_star(spark.createDataFrame([("u1", "d1", [INCOME]), ("u2", "d1", [INCOME])], UNITS), filings)["cell_fact"]
     assert at_once.count() == 2 * one
+
+
+def test_period_gates(spark):
+    """Words beside the periods of headings: the same everywhere they are a measure's name, different ones describe the columns; and a table of another date."""
+    from ledgerloom.operators.load import column_axis
+
+    def heads(*leaves):
+        return {**INCOME, "columns": [{"group": None, "leaf": x} for x in leaves], "rows": [r("Fees", *["1"] * len(leaves))]}
+
+    units = spark.createDataFrame([("u1", "d1", [heads("Note 3 2023", "Note 4 2022"), heads("2023 yield", "2022 yield"), heads("FY1999")])], UNITS)
+    star = build_star(units, spark.createDataFrame(FILINGS, "doc_id string, institution string, doc_period date"))
+    periods = {(x["table_no"], x["col_id"]): x["period"] and x["period"].year for x in star["col_dim"].collect()}
+    assert periods == {(1, 1): None, (1, 2): None, (2, 1): 2023, (2, 2): 2022, (3, 1): 1999}
+    said = sorted((x["table_no"], x["warning"].split(":")[0].split(",")[0]) for x in star["load_warning"].collect())
+    assert [x for x in said if x[0] == 1] == [(1, "heading is a period beside words of its own")] * 2 and (3, "filing's period is not among the table's") in said
