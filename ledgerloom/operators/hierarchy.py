@@ -89,8 +89,8 @@ def _open_cycles(parent: np.ndarray, on_cycle: np.ndarray) -> np.ndarray:
     return opened
 
 
-def rank_scopes(pdf: pd.DataFrame) -> pd.DataFrame:
-    """All scopes of a batch at once: rows (scope, node, parent) to rows of SCHEMA."""
+def rank_scopes(pdf: pd.DataFrame, paths: bool = True) -> pd.DataFrame:
+    """All scopes of a batch at once: rows (scope, node, parent) to rows of SCHEMA; path is null unless asked for."""
     pdf = pdf.sort_values(["scope", "node"], kind="stable").reset_index(drop=True)
     n = len(pdf)
     place = pd.Series(np.arange(n), index=pd.MultiIndex.from_frame(pdf[["scope", "node"]]))
@@ -105,9 +105,9 @@ def rank_scopes(pdf: pd.DataFrame) -> pd.DataFrame:
     start = np.full(codes.max() + 1 if n else 0, np.iinfo(np.int64).max)
     np.minimum.at(start, codes, entry)
     names = pdf["node"].to_numpy(object)
-    path = np.empty(n, object)
+    path = np.full(n, None, object)
     at = np.argsort(depth, kind="stable")
-    for level in np.split(at, np.flatnonzero(np.diff(depth[at])) + 1) if n else []:
+    for level in np.split(at, np.flatnonzero(np.diff(depth[at])) + 1) if n and paths else []:
         above = links[level]
         path[level] = [names[v] if u < 0 else f"{path[u]} > {names[v]}" for v, u in zip(level, above)]
     endless = on_cycle[root]
@@ -118,7 +118,7 @@ def rank_scopes(pdf: pd.DataFrame) -> pd.DataFrame:
     })
 
 
-def _by_joins(nodes: DataFrame) -> DataFrame:
+def _by_joins(nodes: DataFrame, paths: bool = True) -> DataFrame:
     """The same for scopes too large for one task: pointer doubling by joins, twice log2(nodes) rounds.
 
     Doubling replaces the peeling here, which would need as many joins as the deepest tree has levels: a node
@@ -149,7 +149,7 @@ def _by_joins(nodes: DataFrame) -> DataFrame:
     links = links.join(on_cycle.withColumn("in_cycle", F.lit(True)), ["scope", "node"], "left").join(cuts, ["scope", "node"], "left")
     links = stage(links.select("scope", "node", "parent", F.when(c("cut").isNull(), c("up")).alias("up"), F.coalesce("in_cycle", F.lit(False)).alias("in_cycle")))
     # root, depth and path by doubling
-    state = links.select("scope", "node", c("up").alias("ptr"), F.when(c("up").isNull(), c("node")).otherwise(c("up")).alias("root"), F.when(c("up").isNull(), 0).otherwise(1).alias("depth"), c("node").alias("path"))
+    state = links.select("scope", "node", c("up").alias("ptr"), F.when(c("up").isNull(), c("node")).otherwise(c("up")).alias("root"), F.when(c("up").isNull(), 0).otherwise(1).alias("depth"), (c("node") if paths else F.lit(None).cast("string")).alias("path"))
     merge = {"root": F.coalesce("root2", "root"), "depth": c("depth") + F.coalesce("depth2", F.lit(0)), "path": F.when(c("path2").isNull(), c("path")).otherwise(F.concat_ws(" > ", "path2", "path"))}
     state = stage(state)
     for _ in range(rounds):
@@ -171,11 +171,17 @@ def _tour_ranks(tree: DataFrame, rounds: int, double) -> DataFrame:
 
     c = F.col
     arc = lambda x, way: F.concat(x, F.lit(way))
-    # siblings in order; the children of one node are sorted by range in its own window only to find the next one
-    kin = W.partitionBy("scope", "up").orderBy("node")
-    kids = tree.select("scope", "node", "up", F.lead("node").over(kin).alias("next_kin"), F.row_number().over(kin).alias("nth"))
+    # siblings in order: ranges of the whole order are parts, so that one node's children may fill many; within a part a window
+    # tells the next one, and between parts the first child of the next part that has any
+    family = ["scope", "up"]
+    parts = tree.select(*family, "node").repartitionByRange(parallelism(tree.sparkSession), *family, "node").withColumn("part", F.spark_partition_id())
+    parts = stage(parts)
+    ends = parts.groupBy(*family, "part").agg(F.min("node").alias("head"), F.max("node").alias("node"))
+    ends = ends.withColumns({"after": F.lead("head").over(W.partitionBy(*family).orderBy("part")), "nth": F.row_number().over(W.partitionBy(*family).orderBy("part"))})
+    beside = parts.select(*family, "node", F.lead("node").over(W.partitionBy(*family, "part").orderBy("node")).alias("next_here"))
+    kids = beside.join(ends.select("scope", "node", "after"), ["scope", "node"], "left").select(*family, "node", F.coalesce("next_here", "after").alias("next_kin"))
     kids = stage(kids)
-    first = kids.where("nth = 1 and up is not null").select("scope", c("up").alias("node"), c("node").alias("first"))
+    first = ends.where("nth = 1 and up is not null").select("scope", c("up").alias("node"), c("head").alias("first"))
     both = kids.join(first, ["scope", "node"], "left")
     down = both.select("scope", arc(c("node"), ">").alias("node"), F.when(c("first").isNotNull(), arc(c("first"), ">")).otherwise(arc(c("node"), "<")).alias("ptr"))
     up = both.select("scope", arc(c("node"), "<").alias("node"), F.when(c("next_kin").isNotNull(), arc(c("next_kin"), ">")).when(c("up").isNotNull(), arc(c("up"), "<")).alias("ptr"))
@@ -187,8 +193,8 @@ def _tour_ranks(tree: DataFrame, rounds: int, double) -> DataFrame:
     return placed.groupBy("scope", "node").agg(F.max(F.when(c("way") == ">", c("place"))).alias("entry"), F.max(F.when(c("way") == "<", c("place"))).alias("exit"))
 
 
-def hierarchy(links: DataFrame, task_nodes: int = TASK_NODES) -> DataFrame:
-    """Every node once, with root, depth, path and tour interval; input (scope, node, parent), all strings.
+def hierarchy(links: DataFrame, task_nodes: int = TASK_NODES, paths: bool = True) -> DataFrame:
+    """Every node once, with root, depth, path (null without ``paths``) and tour interval; input (scope, node, parent), all strings.
 
     v is below u just if they share the scope and entry(u) < entry(v) < exit(u); ``descendants`` counts them. A null
     parent, or one that is not a node of the scope, ends the chain: that node is a root. Nodes on a cycle have
@@ -208,10 +214,10 @@ def hierarchy(links: DataFrame, task_nodes: int = TASK_NODES) -> DataFrame:
     buckets = max(1, min(parallelism(nodes.sparkSession), (n or 0) // 2000 + 1), -(-(n or 0) // BATCH_NODES))
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        return rank_scopes(pdf[["scope", "node", "parent"]])
+        return rank_scopes(pdf[["scope", "node", "parent"]], paths)
 
     out = small.withColumn("bucket", F.pmod(F.xxhash64("scope"), F.lit(buckets))).groupBy("bucket").applyInPandas(run, SCHEMA)
-    return out.unionByName(_by_joins(big)) if (most or 0) > task_nodes else out
+    return out.unionByName(_by_joins(big, paths)) if (most or 0) > task_nodes else out
 
 
 def table_links(units: DataFrame) -> DataFrame:

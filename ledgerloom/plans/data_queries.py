@@ -48,15 +48,15 @@ def _links(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sections.unionByName(places).unionByName(rows)
 
 
-def p4_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
+def p4_paths(spark: SparkSession, sf_dir: str, paths: bool = True) -> DataFrame:
     """Every node with its root, depth, path, interval of descendants and whether it is on a circle."""
-    found = hierarchy(_links(spark, sf_dir))
+    found = hierarchy(_links(spark, sf_dir), paths=paths)
     split = F.split("scope", r"\|", 2)
     return found.select(split[0].alias("rel"), split[1].alias("scope_id"), F.col("node").alias("node_id"), F.col("parent").alias("parent_id"), F.col("root").alias("root_id"), "depth", "entry", "exit", "descendants", "in_cycle", "path")
 
 
 def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return p4_paths(spark, sf_dir).where("parent_id is not null").select("rel", "scope_id", "node_id", "root_id")
+    return p4_paths(spark, sf_dir, paths=False).where("parent_id is not null").select("rel", "scope_id", "node_id", "root_id")
 
 
 def p5_flat(spark: SparkSession, sf_dir: str) -> DataFrame:
