@@ -180,13 +180,18 @@ def duplicate_tables(rows: DataFrame, share: float = 0.9) -> DataFrame:
     """(a, b, shared, larger): tables that share at least ``share`` of the larger one's distinct rows; input (id, content).
 
     Exact copies are one class by an order-free signature; an inverted index by row content joins only the classes'
-    first members, so copies do not multiply. Rows printed in more than half of all tables still count.
+    first members, so copies do not multiply; the index holds each table's rarest rows only, as many as could all be missing and one more.
     """
     classes = multiset_signature(rows, ["id"], "content").groupBy("signature").agg(F.min("id").alias("first"), F.count("*").alias("copies"))
     member = multiset_signature(rows, ["id"], "content").join(classes, "signature").select("id", "first", "copies")
     one = rows.join(member.where("id = first").select("id"), "id", "left_semi").select("id", "content").distinct()
     size = one.groupBy("id").agg(F.count("*").alias("n"))
-    pairs = one.select(c("id").alias("a"), "content").join(one.select(c("id").alias("b"), "content"), "content").where("a < b").groupBy("a", "b").agg(F.count("*").alias("shared"))
+    # tables that share so much share one of the few rarest rows of each, so only those are an index
+    seen = one.groupBy("content").agg(F.count("*").alias("seen"))
+    rarest = one.join(seen, "content").join(size, "id").withColumn("place", F.row_number().over(W.partitionBy("id").orderBy("seen", "content"))).where(c("place") <= c("n") - F.ceil(share * c("n")) + 1)
+    asked = rarest.select(c("id").alias("a"), "content").join(rarest.select(c("id").alias("b"), "content"), "content").where("a < b").select("a", "b").distinct()
+    common = asked.join(one.withColumnRenamed("id", "a"), "a").join(one.withColumnRenamed("id", "b"), ["b", "content"])
+    pairs = common.groupBy("a", "b").agg(F.count("*").alias("shared"))
     pairs = pairs.join(size.select(c("id").alias("a"), c("n").alias("na")), "a").join(size.select(c("id").alias("b"), c("n").alias("nb")), "b").withColumn("larger", F.greatest("na", "nb"))
     near = pairs.where(c("shared") >= share * c("larger")).select("a", "b", "shared", "larger")
     exact = member.where("id <> first").join(size.withColumnRenamed("id", "first"), "first").select(c("first").alias("a"), c("id").alias("b"), c("n").alias("shared"), c("n").alias("larger"))

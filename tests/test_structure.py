@@ -188,3 +188,14 @@ def test_slices_do_not_add_up(spark):
     anchors = spark.createDataFrame([("All", "B", "FS_INCOME", "a", 1, 1, None, None, None), ("Retail", "B", "FS_INCOME", "a", 1, 1, None, "", "RETAIL"), ("Column", "B", "FS_INCOME", "a", 1, 1, None, "c1", " "), ("Rest", "B", "FS_INCOME", "a", 1, 1, None, None, None), ("Rest", "B", "FS_INCOME", "a", -1, 2, None, None, "RETAIL")], schema)
     got = {x["concept"]: (x["value"], x["complete"]) for x in S.compose_items(served, anchors, axis).collect()}
     assert got == {"All": (100.0, True), "Retail": (60.0, True), "Column": (7.0, True), "Rest": (40.0, True)}
+
+
+def test_near_duplicates_against_brute_force(spark):
+    import random
+
+    rng = random.Random(5)
+    tables = {f"t{i}": {f"r{rng.randrange(6)}" for _ in range(3)} | {f"x{i // 3}.{j}" for j in range(rng.randrange(2, 22))} for i in range(24)}
+    rows = spark.createDataFrame([(k, x) for k, v in tables.items() for x in v], "id string, content string")
+    got = {(r["a"], r["b"]): (r["shared"], r["larger"]) for r in X.duplicate_tables(rows).collect()}
+    want = {(a, b): (len(tables[a] & tables[b]), max(len(tables[a]), len(tables[b]))) for a in tables for b in tables if a < b}
+    assert got == {k: v for k, v in want.items() if v[0] >= 0.9 * v[1]} and got
