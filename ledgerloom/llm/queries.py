@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -77,6 +80,19 @@ def p6_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reliability
 
 
+def p6_agreement(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """For each field how many survivors by precedence truth discovery also finds, and how many it does not."""
+    truths = p6_truth(spark, sf_dir).select(*[F.col(k).alias(f"t_{k}") for k in METRIC], F.col("field_name").alias("t_field"), F.col("value").alias("truth"))
+    fields = F.create_map(F.lit("value_num"), F.format_string("%.8e", "value_num"), F.lit("unit"), F.col("unit"), F.lit("line_no"), F.col("line_no"))
+    records = _metrics(spark, sf_dir).select(*[F.col(x).alias(f"r_{x}") for x in RECORD], fields.alias("fields"))
+    found = p6_found(spark, sf_dir)
+    same = [F.col(x).eqNullSafe(F.col(f"r_{x}")) for x in RECORD]
+    stated = found.join(records, reduce(and_, same)).select(*METRIC, "field_name", F.col("fields")[F.col("field_name")].alias("stated"))
+    both = stated.join(truths, reduce(and_, [F.col(k).eqNullSafe(F.col(f"t_{k}")) for k in METRIC] + [F.col("field_name") == F.col("t_field")]))
+    agreed = (F.col("stated") == F.col("truth")).cast("long")
+    return both.groupBy("field_name").agg(F.count("*").alias("survivors"), F.sum(agreed).alias("same"), F.sum(1 - agreed).alias("other"))
+
+
 def _mapped(spark: SparkSession, sf_dir: str) -> DataFrame:
     aliases = table(spark, sf_dir, "canonical_leaf_alias").select("alias_id", F.col("table_type_id").alias("scope"), F.col("alias_row_label_norm").alias("label"))
     entries = table(spark, sf_dir, "concept_map").select(F.col("table_type").alias("scope"), F.col("label_norm").alias("label"), F.col("concept_key").alias("concept"))
@@ -120,7 +136,7 @@ def p10_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return truncation_rates(documents, find_truncated(documents))
 
 
-QUERIES = {f.__name__: f for f in (p3_found, p3_groups, p6_found, p6_truth, p6_sources, p7_found, p7_scores, p8_ids, p9_mix, p9_shares, p10_found, p10_rates)}
+QUERIES = {f.__name__: f for f in (p3_found, p3_groups, p6_found, p6_truth, p6_sources, p6_agreement, p7_found, p7_scores, p8_ids, p9_mix, p9_shares, p10_found, p10_rates)}
 
 ORACLES = {
     "p6_found": """

@@ -41,31 +41,38 @@ def discover_truth(claims: DataFrame, keys: list[str], prior: dict[str, float] |
     field, value and source, so a hot key or source is combined before it is shuffled. Null values make no
     claim; a null source is the source ''; no claims give empty results.
     """
-    counted = claims.where("value is not null").groupBy(*keys, "field_name", "value", F.coalesce("source", F.lit("")).alias("source")).agg(F.count("*").alias("votes"))
-    counted = stage(counted)
+    c, metric = F.col, [*keys, "field_name"]
+    counted = stage(claims.where("value is not null").groupBy(*metric, "value", F.coalesce("source", F.lit("")).alias("source")).agg(F.count("*").alias("votes")))
+    # only fields with several values are voted on; the others are right whatever the reliabilities, and count for their sources once
+    spread = counted.groupBy(*metric).agg(F.min("value").alias("least"), F.max("value").alias("most"))
+    marked = stage(_null_safe(counted, spread, metric))
+    contested, agreed = marked.where("least <> most").drop("least", "most"), marked.where("least = most").drop("least", "most")
+    sure = stage(agreed.groupBy("source").agg(F.sum("votes").alias("sure")))
     known = F.create_map(*[F.lit(x) for item in (prior or {"": 0.8}).items() for x in item])
-    weights = cut(counted.select("source").distinct().withColumn("weight", F.coalesce(known[F.col("source")], F.lit(0.8))))
-    truths = None
-    for _ in range(rounds):
-        voted = counted.join(small_side(weights), "source")
+    weights = cut(counted.select("source").distinct().withColumn("weight", F.coalesce(known[c("source")], F.lit(0.8))))
+
+    def vote(rows: DataFrame) -> DataFrame:
         # log odds: a source that is right more often than not adds to its value, two weak ones can outvote a strong one
-        odds = F.greatest(F.lit(0.01), F.log(F.col("weight") / (1 - F.col("weight"))))
-        support = voted.groupBy(*keys, "field_name", "value").agg(F.sum(odds * F.col("votes")).alias("support"))
-        support = support.withColumn("support", F.round("support", 9))
-        best = support.groupBy(*keys, "field_name").agg(F.max(F.struct(F.col("support").alias("s"))).alias("m"), F.sum("support").alias("total"))
-        held = _null_safe(support, best, [*keys, "field_name"])
-        top = held.where("support = m.s").groupBy(*keys, "field_name").agg(F.min("value").alias("value"), F.max("support").alias("support"), F.max("total").alias("total"))
-        truths = stage(top)
-        right = _null_safe(counted, truths.select(*keys, "field_name", F.col("value").alias("truth")), [*keys, "field_name"])
-        now = right.groupBy("source").agg(((F.sum(F.when(F.col("value") == F.col("truth"), F.col("votes")).otherwise(0)) + 4) / (F.sum("votes") + 5)).alias("now"))
-        both = weights.join(now, "source")
-        moved = both.agg(F.max(F.abs(F.col("now") - F.col("weight")))).first()[0]
-        weights = cut(both.select("source", F.least(F.lit(0.999), F.col("now")).alias("weight")))
+        odds = F.greatest(F.lit(0.01), F.log(c("weight") / (1 - c("weight"))))
+        support = rows.join(small_side(weights), "source").groupBy(*metric, "value").agg(F.round(F.sum(odds * c("votes")), 9).alias("support"))
+        # the best value and the sum of all, in one aggregation that combines before the shuffle
+        best = F.min(F.struct((-c("support")).alias("s"), "value")).alias("b")
+        return support.groupBy(*metric).agg(best, F.sum("support").alias("total")).select(*metric, "b.value", (-c("b.s")).alias("support"), "total")
+
+    for _ in range(rounds):
+        truths = stage(vote(contested))
+        right = _null_safe(contested, truths.select(*metric, c("value").alias("truth")), metric)
+        seen = right.groupBy("source").agg(F.sum(F.when(c("value") == c("truth"), c("votes")).otherwise(0)).alias("right"), F.sum("votes").alias("votes"))
+        both = weights.join(seen, "source", "left").join(sure, "source", "left").fillna(0, ["right", "votes", "sure"])
+        both = both.withColumn("now", (c("right") + c("sure") + 4) / (c("votes") + c("sure") + 5))
+        moved = both.agg(F.max(F.abs(c("now") - c("weight")))).first()[0]
+        weights = cut(both.select("source", F.least(F.lit(0.999), c("now")).alias("weight")))
         if moved is None or moved <= within:
             break
     else:
         raise RuntimeError(f"reliabilities still move by {moved} after {rounds} rounds")
-    return truths.withColumn("confidence", F.when(F.col("total") > 0, F.col("support") / F.col("total"))).drop("total"), weights.withColumnRenamed("weight", "reliability")
+    truths = truths.unionByName(vote(agreed))
+    return truths.select(*metric, "value", "support", F.when(c("total") > 0, c("support") / c("total")).alias("confidence")), weights.withColumnRenamed("weight", "reliability")
 
 
 def _null_safe(left: DataFrame, right: DataFrame, on: list[str]) -> DataFrame:
