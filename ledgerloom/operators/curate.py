@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 
 from ledgerloom.functions.labels import segment
 from ledgerloom.functions.periods import mere_period, read_period
-from ledgerloom.functions.text import plain
+from ledgerloom.functions.text import label_key, plain, squeeze
+from ledgerloom.functions.values import cell_number
 from ledgerloom.runtime import small_side
 
 c = F.col
@@ -197,3 +198,56 @@ def section_units(sections: DataFrame) -> DataFrame:
     ends = sections.groupBy("doc_id").agg(F.max("seq").alias("end"))
     upto = F.lead("first_seq").over(W.partitionBy("doc_id").orderBy("first_seq", "section_id"))
     return leaves.withColumn("next", upto).join(ends, "doc_id").select("doc_id", "section_id", "first_seq", F.greatest(c("first_seq"), F.coalesce(c("next") - 1, c("end"))).alias("last_seq"))
+
+
+def known_by_key(rows: DataFrame) -> DataFrame:
+    """(table_type_id, alias, canonical_leaf_id): labels without an identity that differ from a resolved one of their type only by footnotes, case or blanks.
+
+    Input: table_type_id, label, canonical_leaf_id. A key that stands for several identities of a type gives no alias.
+    """
+    keyed = rows.where("table_type_id is not null").withColumn("key", label_key(c("label"))).where("key <> ''")
+    resolved = keyed.where("canonical_leaf_id <> ''").groupBy("table_type_id", "key").agg(F.min("canonical_leaf_id").alias("leaf"), F.max("canonical_leaf_id").alias("last")).where("leaf = last")
+    labels = keyed.groupBy("table_type_id", "key", "label").agg(F.max(F.coalesce(c("canonical_leaf_id") != "", F.lit(False))).alias("resolved")).where("not resolved")
+    return labels.join(resolved, ["table_type_id", "key"]).select("table_type_id", c("label").alias("alias"), c("leaf").alias("canonical_leaf_id"))
+
+
+def repaired_headings(tables: DataFrame, keys: list[str]) -> DataFrame:
+    """(keys, columns, rows): tables whose columns are headed by single letters, with the labels of their first rows in place of the letters.
+
+    A reader that cannot place stacked headings names the columns A, B, C and leaves the headings as rows without values on
+    top. Only a table all of whose columns are such letters, and which has as many such rows on top, is changed: those rows go.
+    """
+    filled = lambda r: F.exists(r["values"], lambda v: F.coalesce(F.trim(v["value"]) != "", F.lit(False)))
+    n = F.size("columns")
+    letters = (n > 0) & F.forall("columns", lambda x: F.coalesce(F.trim(x["leaf"]).rlike("^[A-Za-z]$"), F.lit(False)))
+    top = F.slice("rows", F.lit(1), F.greatest(n, F.lit(0)))
+    ready = F.coalesce(letters & (F.size("rows") > n) & F.forall(top, lambda r: ~F.coalesce(filled(r), F.lit(False)) & (F.coalesce(F.trim(r["label"]), F.lit("")) != "")), F.lit(False))
+    headed = F.zip_with("columns", top, lambda x, r: x.withField("leaf", r["label"]))
+    rest = F.slice("rows", n + 1, F.greatest(F.size("rows"), F.lit(1)))
+    return tables.select(*keys, F.when(ready, headed).otherwise(c("columns")).alias("columns"), F.when(ready, rest).otherwise(c("rows")).alias("rows"))
+
+
+def display_name(title: Column) -> Column:
+    """A title as it is shown: blanks squeezed, one wholly in capitals as a sentence."""
+    t = squeeze(plain(title))
+    return F.when((t == F.upper(t)) & t.rlike(r"\p{L}{4}"), F.concat(F.upper(F.substring(t, 1, 1)), F.lower(F.substring(t, 2, 1 << 20)))).otherwise(t)
+
+
+def typed_text(text: Column) -> Column:
+    """What a printed token is when it is typed in: ``empty``, ``number``, ``period`` or ``text``."""
+    t = plain(F.coalesce(text, F.lit("")))
+    period = F.coalesce(mere_period(read_period(t)["rest"]), F.lit(False))
+    return F.when(t == "", "empty").when(cell_number(t).isNotNull(), "number").when(period, "period").otherwise("text")
+
+
+def stage_states(events: DataFrame, by: str, stages: list[str]) -> DataFrame:
+    """(by, stage, state): how far each one is: ``done`` up to the furthest stage reached, ``skipped`` for those before it that never came, ``next``, ``pending``.
+
+    Input: by, event_type. Events of no declared stage count for none.
+    """
+    known = F.array(*[F.lit(s) for s in stages])
+    place = F.array_position(known, c("event_type")).cast("int")
+    reached = events.withColumn("place", place).groupBy(by).agg(F.max("place").alias("far"), F.collect_set(F.when(c("place") > 0, c("event_type"))).alias("seen"))
+    rows = reached.select(by, "far", "seen", F.posexplode(known).alias("at", "stage")).withColumn("at", c("at") + 1)
+    state = F.when(F.array_contains("seen", c("stage")), "done").when(c("at") < c("far"), "skipped").when(c("at") == c("far") + 1, "next").otherwise("pending")
+    return rows.select(by, "stage", state.alias("state"))

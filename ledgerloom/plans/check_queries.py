@@ -5,12 +5,17 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ledgerloom.functions.labels import segment
+from ledgerloom.functions.periods import mere_period, read_period
+from ledgerloom.functions.text import plain, squeeze
+from ledgerloom.functions.units import unit_code
 from ledgerloom.operators import checks as K
 from ledgerloom.operators import curate as U
 from ledgerloom.plans import sql as Q
+from ledgerloom.plans.load_sql import WARNINGS_SQL
 from ledgerloom.runtime import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -356,3 +361,80 @@ def shown_values(spark: SparkSession, d: str) -> DataFrame:
     shown = F.regexp_replace(F.regexp_replace(F.format_number(value, 2), r"(\.\d*?)0+$", "$1"), r"\.$", "")
     rows = table(spark, d, "cell_fact").select("value_raw", "value_num").distinct()
     return rows.withColumn("shown", F.coalesce(shown, "value_raw"))
+
+
+@query(f"""
+SELECT regexp_replace(split_part(warning, ':', 1), '[0-9]+', 'N', 'g') AS category, count(*) AS warnings, count(DISTINCT doc_id) AS filings FROM ({WARNINGS_SQL}) GROUP BY 1
+""")
+def warning_counts(spark: SparkSession, d: str) -> DataFrame:
+    """How many warnings of each kind the loader gives, and in how many filings."""
+    from ledgerloom.plans.load_queries import star
+
+    kind = F.regexp_replace(F.substring_index("warning", ":", 1), "[0-9]+", "N")
+    return star(spark, d, "load_warning")["load_warning"].groupBy(kind.alias("category")).agg(F.count("*").alias("warnings"), F.count_distinct("doc_id").alias("filings"))
+
+
+@query(f"""
+WITH h AS (SELECT DISTINCT col_leaf_label AS label FROM v_cell UNION SELECT DISTINCT row_leaf_label FROM v_cell), {Q.period('h', 'label', 'p', True)} SELECT label, {Q.mere_period('rest')} AS is_period FROM p
+""")
+def period_labels(spark: SparkSession, d: str) -> DataFrame:
+    """Which headings and row labels are nothing but a period."""
+    cells_ = table(spark, d, "v_cell")
+    labels = cells_.select(c("col_leaf_label").alias("label")).distinct().unionByName(cells_.select(c("row_leaf_label").alias("label")).distinct()).distinct()
+    return labels.withColumn("is_period", F.coalesce(mere_period(read_period(c("label"), True)["rest"]), F.lit(False)))
+
+
+@query(f"""
+WITH h AS (SELECT DISTINCT value_raw, {Q.plain("coalesce(value_raw, '')")} AS token FROM cell_fact), {Q.period('h', 'token', 'p', False)}
+SELECT value_raw, CASE WHEN token = '' THEN 'empty' WHEN {Q.number('token')} IS NOT NULL THEN 'number' WHEN {Q.mere_period('rest')} THEN 'period' ELSE 'text' END AS kind FROM p
+""")
+def typed_cells(spark: SparkSession, d: str) -> DataFrame:
+    """What each printed token is when it is typed in."""
+    return table(spark, d, "cell_fact").select("value_raw").distinct().withColumn("kind", U.typed_text(c("value_raw")))
+
+
+_SHOWN = Q.squeeze(Q.plain("table_title"))
+
+
+@query(f"""
+WITH t AS (SELECT DISTINCT doc_id, table_id, table_title, {_SHOWN} AS s FROM v_cell), n AS (SELECT doc_id, table_id, CASE WHEN s = upper(s) AND regexp_matches(s, '[\\p{{L}}]{{4}}') THEN upper(left(s, 1)) || lower(substr(s, 2)) ELSE s END AS name FROM t), k AS (SELECT doc_id, table_id, min(name) AS name FROM n GROUP BY 1, 2),
+r AS (SELECT *, row_number() OVER (PARTITION BY doc_id, name ORDER BY table_id) AS i FROM k) SELECT doc_id, table_id, CASE WHEN i > 1 THEN name || ' (' || i || ')' ELSE name END AS name FROM r
+""")
+def display_names(spark: SparkSession, d: str) -> DataFrame:
+    """Tables by the names they are shown under; equal names of a filing are numbered."""
+    names = table(spark, d, "v_cell").select("doc_id", "table_id", "table_title").distinct().groupBy("doc_id", "table_id").agg(F.min(U.display_name(c("table_title"))).alias("name"))
+    nth = F.row_number().over(W.partitionBy("doc_id", "name").orderBy("table_id"))
+    return names.withColumn("i", nth).select("doc_id", "table_id", F.when(c("i") > 1, F.concat("name", F.lit(" ("), c("i").cast("string"), F.lit(")"))).otherwise(c("name")).alias("name"))
+
+
+@query(f"""
+WITH {Q.SPELT}, {_TABLES}, x AS (SELECT unit_id, table_no, unnest(t.columns) col, generate_subscripts(t.columns, 1) - 1 AS col_no FROM tt)
+SELECT unit_id, table_no, col_no, concat_ws(' › ', CASE WHEN NOT coalesce({Q.squeeze('lower(col."group")')} = {Q.squeeze('lower(col.leaf)')}, false) THEN {Q.squeeze(Q.plain('col."group"'))} END, {Q.squeeze(Q.plain('col.leaf'))}) AS chain, {Q.unit_code('col.leaf')} IS NOT NULL AS unit_only FROM x
+""")
+def column_chains(spark: SparkSession, d: str) -> DataFrame:
+    """Column headings with what stands above them, and whether they are nothing but a unit."""
+    cols = _tables(spark, d).select("unit_id", "table_no", F.posexplode("columns").alias("col_no", "col"))
+    echo = F.coalesce(squeeze(F.lower("col.group")) == squeeze(F.lower("col.leaf")), F.lit(False))
+    chain = F.concat_ws(" › ", F.when(~echo, squeeze(plain(c("col.group")))), squeeze(plain(c("col.leaf"))))
+    return cols.select("unit_id", "table_no", "col_no", chain.alias("chain"), unit_code(c("col.leaf")).isNotNull().alias("unit_only"))
+
+
+@query(f"""
+WITH k AS (SELECT table_type_id, row_leaf_label AS label, canonical_leaf_id AS leaf, {Q.label_key('row_leaf_label')} AS k FROM row_dim WHERE table_type_id IS NOT NULL), r AS (SELECT table_type_id, k, min(leaf) AS leaf FROM k WHERE leaf <> '' AND k <> '' GROUP BY 1, 2 HAVING min(leaf) = max(leaf)),
+l AS (SELECT table_type_id, k, label FROM k WHERE k <> '' GROUP BY 1, 2, 3 HAVING NOT bool_or(coalesce(leaf <> '', false))) SELECT l.table_type_id, label AS alias, r.leaf AS canonical_leaf_id FROM l JOIN r USING (table_type_id, k)
+""")
+def footnote_aliases(spark: SparkSession, d: str) -> DataFrame:
+    """Labels that are another spelling of a resolved one."""
+    return U.known_by_key(table(spark, d, "row_dim").select("table_type_id", c("row_leaf_label").alias("label"), "canonical_leaf_id").distinct())
+
+
+STAGES = ["view", "click", "purchase"]
+
+
+@query(f"""
+WITH s(stage, place) AS (VALUES {", ".join(f"('{x}', {i})" for i, x in enumerate(STAGES, 1))}), u AS (SELECT user_id, max(place) AS far FROM events LEFT JOIN s ON stage = event_type GROUP BY 1), e AS (SELECT DISTINCT user_id, event_type FROM events)
+SELECT u.user_id, stage, CASE WHEN e.user_id IS NOT NULL THEN 'done' WHEN place < far THEN 'skipped' WHEN place = far + 1 THEN 'next' ELSE 'pending' END AS state FROM u CROSS JOIN s LEFT JOIN e ON e.user_id = u.user_id AND e.event_type = stage
+""")
+def stage_states(spark: SparkSession, d: str) -> DataFrame:
+    """How far each user's events have come."""
+    return U.stage_states(table(spark, d, "events").select("user_id", "event_type"), "user_id", STAGES)

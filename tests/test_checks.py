@@ -100,3 +100,14 @@ def test_anchor_files(spark, tmp_path):
     assert read_anchors(spark, str(tmp_path / "none")).count() == 0
     docs = spark.createDataFrame([("A_1",), ("b_2",), ("c",)], "doc_id string")
     assert [r[0] for r in rebuildable(docs, docs.where("doc_id <> 'c'"), ["a_"]).collect()] == ["A_1"] and rebuildable(docs, docs).count() == 3
+
+
+def test_letter_headings(spark):
+    v = lambda *xs: [{"value": x, "cell_state": None} for x in xs]
+    row = lambda label, values: {"row_id": None, "row_type": None, "level": 0, "parent": None, "label": label, "values": values}
+    letters = [{"group": "G", "leaf": "A"}, {"group": None, "leaf": "b"}]
+    plain = [{"group": None, "leaf": "2020"}, {"group": None, "leaf": "B"}]
+    stacked = [row("2025", None), row("2024", v("", None)), row("Fees", v("1", "2"))]
+    df = spark.createDataFrame([("u", 0, letters, stacked), ("u", 1, plain, stacked), ("u", 2, letters, stacked[1:]), ("u", 3, letters, None), ("u", 4, None, stacked), ("u", 5, [], [])], TABLE)
+    got = {r["table_no"]: ([x["leaf"] for x in r["columns"] or []], len(r["rows"] or [])) for r in U.repaired_headings(df, ["unit_id", "table_no"]).collect()}
+    assert got == {0: (["2025", "2024"], 1), 1: (["2020", "B"], 3), 2: (["A", "b"], 2), 3: (["A", "b"], 0), 4: ([], 3), 5: ([], 0)}
