@@ -105,6 +105,7 @@ def read_period(c: Column, column: bool = False) -> Column:
     if column:
         t = F.regexp_replace(t, r"[¹²³⁰-⁹]+|\s*\((?:\d+|[a-z])\)", "")
     found = let(tokens(t), lambda words: let(F.array_join(F.transform(words, _class), ""), lambda code: _first(words, code, RULES + (IN_COLUMNS if column else IN_CAPTIONS))))
+    found = F.when(c.rlike(r"[0-9\uff10-\uff19]"), found)  # every rule has figures in it
     return let(found, lambda m: F.when(m.isNotNull(), F.struct(m["end"].alias("end"), m["span"].alias("span"), span_start(m["span"], m["end"]).alias("start"), m["rest"].alias("rest"))))
 
 

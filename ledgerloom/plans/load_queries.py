@@ -12,7 +12,7 @@ from ledgerloom.operators import structure as X
 from ledgerloom.operators.load import breakdown_violations, build_star
 from ledgerloom.plans import load_sql as L
 from ledgerloom.plans import sql as Q
-from ledgerloom.runtime import table
+from ledgerloom.runtime import stage, table
 
 QUERIES, ORACLES = {}, {}
 c = F.col
@@ -156,7 +156,7 @@ def _served(spark: SparkSession, d: str) -> DataFrame:
         "institution", c("institution").alias("bank"), F.upper(F.when(c("table_type") == "balance", "fs_balance").otherwise(c("table_type"))).alias("table_type_id"), c("concept_key").alias("canonical_leaf_id"), F.lit(None).cast("string").alias("canonical_col_id"),
         "period", "period_span", "geo_key", "segment_key", "industry_key", "legal_entity", role.alias("col_role"), "value_num", "unit", "doc_period", "doc_id", "table_id", "row_id", "col_id",
     )
-    return S.latest_facts(S.servable(facts))
+    return stage(S.latest_facts(S.servable(facts)))  # read for the anchors, the axis and the items
 
 
 ANCHORS = [("Net interest", "RESULTS", "pnl.interest_earned_on_lending", 1, 1), ("Net interest", "RESULTS", "pnl.interest_paid_on_funding", -1, 2), ("Assets", "FS_BALANCE", "bs.assets", 1, 1), ("Fees", "RESULTS", "pnl.fees", 1, 1)]

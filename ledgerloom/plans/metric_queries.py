@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ledgerloom.functions.labels import caption_key, caption_parts, filing_family
 from ledgerloom.operators import metrics as M
 from ledgerloom.plans import sql as Q
-from ledgerloom.runtime import BROADCAST_ROWS, table
+from ledgerloom.runtime import BROADCAST_ROWS, stage, table
 
 QUERIES, ORACLES = {}, {}
 c = F.col
@@ -64,7 +64,7 @@ SELECT b.* EXCLUDE (unit), coalesce(b.unit, o.u, a.u) AS unit FROM built b LEFT
 """)
 def metric_build(spark: SparkSession, d: str) -> DataFrame:
     """The same with the missing units that only one reading allows."""
-    return M.infer_units(_built(spark, d))
+    return M.infer_units(stage(_built(spark, d)))
 
 
 @query(f"""
