@@ -217,6 +217,26 @@ def regions_in_windows(regions: DataFrame, windows: DataFrame) -> DataFrame:
     return both.where("kind = 1").select("doc_id", "page", "at", c("region").alias("region_id"), c("inside").alias("section_id"))
 
 
+def windows_of_regions(regions: DataFrame, windows: DataFrame, last_page: int) -> DataFrame:
+    """(doc_id, region_id, section_id): every window that a region (doc_id, page, region_id, y0, y1) has some height in.
+
+    ``windows`` as section_windows gives them; one without an end reaches to ``last_page``. Windows are laid out by page, so
+    regions meet only those of their own page; a region on the border of two sections belongs to both.
+    """
+    upto = F.coalesce("to_page", F.lit(last_page))
+    pages = windows.select("doc_id", "section_id", "page", "y", "to_page", "to_y", F.explode(F.sequence("page", F.greatest(c("page"), upto))).alias("p"))
+    span = pages.select("doc_id", c("p").alias("page"), "section_id", F.when(c("p") == c("page"), c("y")).alias("top"), F.when(c("p") == c("to_page"), c("to_y")).alias("bottom"))
+    inside = (c("top").isNull() | (c("y1") > c("top"))) & (c("bottom").isNull() | (c("y0") < c("bottom")))
+    return regions.join(span, ["doc_id", "page"]).where(inside).select("doc_id", "region_id", "section_id").distinct()
+
+
+def outer_boxes(boxes: DataFrame) -> DataFrame:
+    """Boxes (doc_id, page, box_id, x0, y0, x1, y1) that lie strictly inside no other of their page."""
+    b = boxes.select("doc_id", "page", *[c(x).alias(f"{x}b") for x in ("x0", "y0", "x1", "y1")])
+    inner = boxes.join(b, ["doc_id", "page"]).where((c("x0") > c("x0b")) & (c("x1") < c("x1b")) & (c("y0") > c("y0b")) & (c("y1") < c("y1b"))).select("doc_id", "page", "box_id").distinct()
+    return boxes.join(inner, ["doc_id", "page", "box_id"], "left_anti")
+
+
 def nested_regions(boxes: DataFrame, least: float = 0.9) -> DataFrame:
     """Boxes (doc_id, page, box_id, x0, y0, x1, y1) that lie to at least ``least`` of their area in a larger one of the page."""
     area = (c("x1") - c("x0")) * (c("y1") - c("y0"))

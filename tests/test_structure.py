@@ -199,3 +199,12 @@ def test_near_duplicates_against_brute_force(spark):
     got = {(r["a"], r["b"]): (r["shared"], r["larger"]) for r in X.duplicate_tables(rows).collect()}
     want = {(a, b): (len(tables[a] & tables[b]), max(len(tables[a]), len(tables[b]))) for a in tables for b in tables if a < b}
     assert got == {k: v for k, v in want.items() if v[0] >= 0.9 * v[1]} and got
+
+
+def test_windows_and_boxes(spark):
+    sections = spark.createDataFrame([("d", "a", 1, 0.0), ("d", "b", 1, 50.0), ("d", "c", 3, 20.0)], "doc_id string, section_id string, page int, y double")
+    regions = spark.createDataFrame([("d", 1, "r1", 10.0, 40.0), ("d", 1, "r2", 40.0, 60.0), ("d", 2, "r3", 0.0, 90.0), ("d", 3, "r4", 10.0, 30.0), ("d", 4, "r5", 0.0, 5.0), ("d", 1, "r6", 50.0, 60.0)], "doc_id string, page int, region_id string, y0 double, y1 double")
+    got = sorted((r["region_id"], r["section_id"]) for r in X.windows_of_regions(regions, X.section_windows(sections), 4).collect())
+    assert got == [("r1", "a"), ("r2", "a"), ("r2", "b"), ("r3", "b"), ("r4", "b"), ("r4", "c"), ("r5", "c"), ("r6", "b")]
+    boxes = spark.createDataFrame([("d", 1, i, *xs) for i, xs in enumerate([(0.0, 0.0, 9.0, 9.0), (1.0, 1.0, 2.0, 2.0), (0.0, 3.0, 4.0, 4.0)])] + [("d", 2, 9, 1.0, 1.0, 2.0, 2.0)], "doc_id string, page int, box_id int, x0 double, y0 double, x1 double, y1 double")
+    assert sorted(r["box_id"] for r in X.outer_boxes(boxes).collect()) == [0, 2, 9]
