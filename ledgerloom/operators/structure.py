@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
@@ -10,7 +12,7 @@ from pyspark.sql import functions as F
 from ledgerloom.functions.periods import mere_period, read_period
 from ledgerloom.functions.text import label_key
 from ledgerloom.functions.units import unit_of_label
-from ledgerloom.operators.generic import multiset_signature
+from ledgerloom.runtime import small_side, stage
 
 c = F.col
 _HEADS = ("section_header", "sub_header")
@@ -176,26 +178,40 @@ def apply_geometry(rows: DataFrame, keys: list[str]) -> DataFrame:
     return out.select(*keys, "row_id", F.when(c("all"), F.coalesce("label_clean", "label")).otherwise(c("label")).alias("label"), F.when(c("all"), F.coalesce(c("rank").cast("int"), c("level"))).otherwise(c("level")).alias("level"), "merged")
 
 
-def duplicate_tables(rows: DataFrame, share: float = 0.9) -> DataFrame:
+def duplicate_tables(rows: DataFrame, share: float = 0.9, copies: bool = False) -> DataFrame:
     """(a, b, shared, larger): tables that share at least ``share`` of the larger one's distinct rows; input (id, content).
 
-    Exact copies are one class by an order-free signature; an inverted index by row content joins only the classes'
-    first members, so copies do not multiply; the index holds each table's rarest rows only, as many as could all be missing and one more.
+    A table is staged once, as the digests of its distinct rows (128 bits, equal just for equal rows but for chance). Tables
+    with the same rows are one class, of which only the first is compared with others: the answer pairs it with each of its
+    copies, with ``copies`` the copies with each other and with all that the first is paired with, too. An inverted index
+    brings tables together; it holds only rows that several tables have, of each table the rarest ones, as many as could all be missing and one more.
     """
-    classes = multiset_signature(rows, ["id"], "content").groupBy("signature").agg(F.min("id").alias("first"), F.count("*").alias("copies"))
-    member = multiset_signature(rows, ["id"], "content").join(classes, "signature").select("id", "first", "copies")
-    one = rows.join(member.where("id = first").select("id"), "id", "left_semi").select("id", "content").distinct()
-    size = one.groupBy("id").agg(F.count("*").alias("n"))
-    # tables that share so much share one of the few rarest rows of each, so only those are an index
-    seen = one.groupBy("content").agg(F.count("*").alias("seen"))
-    rarest = one.join(seen, "content").join(size, "id").withColumn("place", F.row_number().over(W.partitionBy("id").orderBy("seen", "content"))).where(c("place") <= c("n") - F.ceil(share * c("n")) + 1)
-    asked = rarest.select(c("id").alias("a"), "content").join(rarest.select(c("id").alias("b"), "content"), "content").where("a < b").select("a", "b").distinct()
-    common = asked.join(one.withColumnRenamed("id", "a"), "a").join(one.withColumnRenamed("id", "b"), ["b", "content"])
-    pairs = common.groupBy("a", "b").agg(F.count("*").alias("shared"))
-    pairs = pairs.join(size.select(c("id").alias("a"), c("n").alias("na")), "a").join(size.select(c("id").alias("b"), c("n").alias("nb")), "b").withColumn("larger", F.greatest("na", "nb"))
-    near = pairs.where(c("shared") >= share * c("larger")).select("a", "b", "shared", "larger")
-    exact = member.where("id <> first").join(size.withColumnRenamed("id", "first"), "first").select(c("first").alias("a"), c("id").alias("b"), c("n").alias("shared"), c("n").alias("larger"))
-    return near.unionByName(exact)
+    part = F.lit(Decimal(str(share)))  # as a decimal: 0.9 of ten rows is nine
+    digest = F.base64(F.unhex(F.md5("content")))
+    printed = rows.groupBy("id").agg(F.array_sort(F.collect_set(digest)).alias("rows"))
+    printed = stage(printed.select("id", "rows", F.size("rows").alias("n"), F.md5(F.array_join("rows", "")).alias("signature")))
+    classes = printed.groupBy("signature").agg(F.min("id").alias("first"), F.count("*").alias("copies")).where("copies > 1").select("signature", "first")
+    member = stage(printed.select("id", "n", "signature").join(classes, "signature").select("id", "first", "n"))
+    one = printed.join(small_side(member.where("id <> first").select("id")), "id", "left_anti")
+    each = one.select("id", "n", F.explode("rows").alias("content"))
+    seen = stage(each.groupBy("content").agg(F.count("*").alias("seen")).where("seen > 1"))
+    # rows that no other table has come first in the order of rarity, so they count without being there
+    by_id = W.partitionBy("id")
+    common = each.join(small_side(seen), "content").withColumns({"place": F.row_number().over(by_id.orderBy("seen", "content")), "common": F.count("*").over(by_id)})
+    rarest = stage(common.where(c("place") <= c("common") - F.ceil(part * c("n")) + 1).select("id", "n", "content"))
+    other = rarest.select(c("id").alias("b"), c("n").alias("nb"), "content")
+    asked = rarest.select(c("id").alias("a"), c("n").alias("na"), "content").join(other, "content").where((c("a") < c("b")) & (F.least("na", "nb") >= part * F.greatest("na", "nb")))
+    asked = stage(asked.select("a", "b", F.greatest("na", "nb").alias("larger")).distinct())
+    left, right = one.select(c("id").alias("a"), c("rows").alias("rows_a")), one.select(c("id").alias("b"), c("rows").alias("rows_b"))
+    right = right.join(small_side(asked.select("b").distinct()), "b", "left_semi")
+    pairs = left.join(small_side(asked), "a").join(right, "b").select("a", "b", F.size(F.array_intersect("rows_a", "rows_b")).alias("shared"), "larger")
+    near = pairs.where(c("shared") >= part * c("larger"))
+    x, y = member.select("first", c("id").alias("x")), member.select("first", c("id").alias("y"), "n")
+    exact = x.join(y, "first").where("x < y" if copies else "x = first and x < y").select(c("x").alias("a"), c("y").alias("b"), c("n").alias("shared"), c("n").alias("larger"))
+    if copies:
+        near = near.join(x.withColumnRenamed("first", "a"), "a", "left").join(y.drop("n").withColumnRenamed("first", "b"), "b", "left").withColumns({"a": F.coalesce("x", "a"), "b": F.coalesce("y", "b")})
+        near = near.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), "shared", "larger")
+    return near.unionByName(exact).withColumns({k: c(k).cast("long") for k in ("shared", "larger")})
 
 
 def section_windows(sections: DataFrame) -> DataFrame:

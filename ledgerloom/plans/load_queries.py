@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import add
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -119,9 +122,13 @@ SELECT p.a, p.b, shared, greatest(x.n, y.n) AS larger FROM p JOIN n x ON x.id =
 """)
 def duplicate_tables(spark: SparkSession, d: str) -> DataFrame:
     """Tables of one filing that print at least nine tenths of the same rows."""
-    rows = table(spark, d, "v_cell").dropDuplicates(["doc_id", "table_id", "row_id", "col_id"])
-    content = rows.groupBy("doc_id", "table_id", "row_id").agg(F.concat_ws("|", F.min("row_leaf_label"), F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("col_id", F.coalesce("value_raw", F.lit("")).alias("x")))), lambda y: y["x"]), "|")).alias("content"))
-    return X.duplicate_tables(content.select(F.concat_ws("/", "doc_id", "table_id").alias("id"), F.concat_ws("|", "doc_id", "content").alias("content")))
+    cells = table(spark, d, "v_cell")
+    # one exchange: the rows of a table and its cells stay together; what else a record says only tells whether it is repeated
+    nulls = reduce(add, [F.when(c(x).isNull(), F.lit(1 << i)).otherwise(0) for i, x in enumerate(cells.columns)])
+    cell = F.struct(F.coalesce("col_id", F.lit(2**31 - 1)).alias("at"), F.coalesce("value_raw", F.lit("")).alias("x"), F.xxhash64(nulls, *cells.columns).alias("record"))
+    cells = cells.select(F.concat("doc_id", F.lit("/"), "table_id").alias("id"), "doc_id", "row_id", "row_leaf_label", cell.alias("cell")).where("id is not null").repartition("id")
+    rows = cells.groupBy("id", "doc_id", "row_id").agg(F.min("row_leaf_label").alias("label"), F.array_sort(F.collect_set("cell")).alias("cells"))
+    return X.duplicate_tables(rows.select("id", F.concat_ws("|", "doc_id", "label", F.array_join(F.transform("cells", lambda y: y["x"]), "|")).alias("content")), copies=True)
 
 
 def _master(spark: SparkSession, d: str) -> DataFrame:
