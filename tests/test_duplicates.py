@@ -1,3 +1,5 @@
+import pytest
+
 import __spark_entry__ as entry_module
 import verify
 from ledgerloom.operators import structure as X
@@ -24,9 +26,12 @@ def test_query_is_its_sql_and_reads_the_cells_once(spark, tmp_path):
     assert not [f for f in df.inputFiles() if "v_cell" in f]
 
 
-def test_copies_are_paired_as_asked(spark):
+@pytest.mark.parametrize("broadcast", [True, False])
+def test_copies_are_paired_as_asked(spark, monkeypatch, broadcast):
     import random
 
+    if not broadcast:
+        monkeypatch.setattr(X, "small_side", lambda df: df)
     rng = random.Random(3)
     sets = [frozenset(f"x{j}" for j in range(rng.randrange(1, 24))) | {f"r{rng.randrange(3)}"} for _ in range(14)]
     tables = {f"t{i:02d}": sets[i % 14] for i in range(40)}
